@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trisect.functions.keys import join_groups
+from trisect.functions.keys import hash_prefix, join_groups
 from trisect.session import lookup
 
 BUCKETS = 1024
@@ -165,3 +165,20 @@ def at_positions(
         .where(F.col("_target.position").between(F.col("_end") - F.col("_rows") + 1, F.col("_end")))
         .select(*by, F.col("_target.label").alias("label"), "n", *order)
     )
+
+
+def order_by_value(df: DataFrame, value: Column, tie: Column, keep_columns: Sequence[str] = ()) -> DataFrame:
+    """Prepare rows for ranking by a double and, among equals, by a row hash; nulls come last.
+
+    Adds ``_at``, ``_tie`` and ``_bucket``. A bucket that holds one frequent value, or the nulls,
+    is spread out by row hash, so that a value shared by many rows is not ranked in one task.
+    """
+    rows = df.select(*keep_columns, value.alias("_at"), tie.alias("_tie"))
+    fitted = fit_buckets(rows, ["_at"])["_at"]
+    spread = F.when(F.col("_part").isin(*fitted.single, fitted.missing), hash_prefix(F.col("_tie"))).otherwise(0)
+    return add_buckets(rows, {"_at": fitted}, {"_at": "_part"}).select(
+        *keep_columns,
+        F.coalesce("_at", F.lit(math.inf)).alias("_at"),
+        "_tie",
+        F.struct(F.col("_part").alias("part"), spread.alias("spread")).alias("_bucket"),
+    )

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from trisect.functions.keys import SEED, hash_prefix, join_groups, ordinal, row_hash
 from trisect.operators.quantiles import long_quantiles
-from trisect.operators.ranking import add_buckets, at_positions, fit_buckets, running_totals
+from trisect.operators.ranking import add_buckets, at_positions, fit_buckets, order_by_value, running_totals
 from trisect.session import keep, lookup
 
 # Fixed values
@@ -125,30 +125,18 @@ def _by_cut_points(df: DataFrame, spec: SplitSpec) -> Column:
 
 def _time_split(df: DataFrame, spec: SplitSpec) -> DataFrame:
     """Chronological split by shares; equal times are ordered by row hash, null times come last."""
-    narrow = df.select(
-        *spec.by, ordinal(df, spec.time).alias("at"), row_hash(spec.key, spec.seed).alias("tie")
-    )
-    fitted = fit_buckets(narrow, ["at"])["at"]
-    binned = add_buckets(narrow, {"at": fitted}, {"at": "part"})
-    # A bucket of one frequent time, and that of the null times, is spread out by row hash.
-    spread = F.when(F.col("part").isin(*fitted.single, fitted.missing), hash_prefix(F.col("tie"))).otherwise(0)
-    rows = binned.select(
-        *spec.by,
-        F.struct("part", spread.alias("spread")).alias("bucket"),
-        F.coalesce("at", F.lit(math.inf)).alias("at"),
-        "tie",
-    )
+    rows = order_by_value(df, ordinal(df, spec.time), row_hash(spec.key, spec.seed), spec.by)
     positions = {
         "first": lambda n: F.floor(F.lit(float(spec.train)) * n),
         "second": lambda n: F.floor(F.lit(float(spec.train + spec.test)) * n),
     }
-    found = at_positions(rows, spec.by, "bucket", ["at", "tie"], positions)
+    found = at_positions(rows, spec.by, "_bucket", ["_at", "_tie"], positions)
     cuts = found.groupBy(*spec.by).agg(
-        F.max(F.when(F.col("label") == "first", F.struct("at", "tie"))).alias("first"),
-        F.max(F.when(F.col("label") == "second", F.struct("at", "tie"))).alias("second"),
+        F.max(F.when(F.col("label") == "first", F.struct("_at", "_tie"))).alias("first"),
+        F.max(F.when(F.col("label") == "second", F.struct("_at", "_tie"))).alias("second"),
     )
     here = F.struct(
-        F.coalesce(ordinal(df, spec.time), F.lit(math.inf)).alias("at"), row_hash(spec.key, spec.seed).alias("tie")
+        F.coalesce(ordinal(df, spec.time), F.lit(math.inf)).alias("_at"), row_hash(spec.key, spec.seed).alias("_tie")
     )
     # Without a row at a position (a share of zero rows) nothing lies before the cut.
     return _assign(
@@ -262,12 +250,8 @@ def add_blocks(df: DataFrame, order: str, key: Sequence[str], block_rows: int, n
 
     Every row needs its own rank here, so the table is shuffled once, by order bucket.
     """
-    rows = df.withColumns({"_at": ordinal(df, order), "_tie": row_hash(key)})
-    fitted = fit_buckets(rows.select("_at"), ["_at"])["_at"]
-    binned = add_buckets(rows, {"_at": fitted}, {"_at": "_part"})
-    spread = F.when(F.col("_part").isin(*fitted.single, fitted.missing), hash_prefix(F.col("_tie"))).otherwise(0)
-    placed = binned.withColumn("_bucket", F.struct("_part", spread.alias("spread"))).withColumn("_one", F.lit(1))
-    ranked = running_totals(placed, [], "_bucket", [F.asc_nulls_last("_at"), "_tie"], ["_one"])
+    rows = order_by_value(df, ordinal(df, order), row_hash(key), df.columns).withColumn("_one", F.lit(1))
+    ranked = running_totals(rows, [], "_bucket", [F.col("_at"), F.col("_tie")], ["_one"])
     return ranked.select(*df.columns, F.floor(F.col("_one_before") / block_rows).cast("long").alias(name))
 
 
