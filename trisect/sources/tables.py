@@ -88,23 +88,32 @@ def from_arrays(spark: SparkSession, x: np.ndarray | pd.DataFrame, y, label: str
 
 @dataclass(frozen=True)
 class Ingested:
-    """Rows that fit the schema, and the text of those that do not."""
+    """Rows that fit the schema, and the raw rows that do not, with the columns at fault."""
 
     valid: DataFrame
     rejected: DataFrame
 
 
 def ingest(spark: SparkSession, path: str, schema: T.StructType, file_format: str = "json", **options) -> Ingested:
-    """Typed read of text files; rows with a value that does not fit are set apart, not dropped."""
-    known = T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType())])
-    reader = spark.read.schema(known).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW)
+    """Typed read of flat JSON or CSV files; rows with a value that does not fit are set apart.
+
+    Values are read as text and cast one by one, so a bad value is told from a missing one. In
+    ``rejected`` the column ``faults`` lists the columns at fault; for a line that cannot be
+    parsed at all it holds the name of the raw text column, ``_bad_row``.
+    """
+    raw = T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema], T.StructField(BAD_ROW, T.StringType())])
+    reader = spark.read.schema(raw).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW)
     if file_format == "csv":
         reader = reader.option("header", True)
     rows = reader.options(**options).format(file_format).load(path)
-    bad = F.col(BAD_ROW).isNotNull()
-    # Selecting every column keeps the parser from skipping those that a later count does not need.
+    fault = lambda name, bad: F.when(bad, F.lit(name))
+    faults = [fault(BAD_ROW, F.col(BAD_ROW).isNotNull())] + [
+        fault(f.name, F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()) for f in schema
+    ]
+    checked = rows.withColumn("faults", F.array_compact(F.array(*faults)))
     return Ingested(
-        rows.where(~bad).drop(BAD_ROW), rows.where(bad).select(F.col(BAD_ROW).alias("text"))
+        checked.where(F.size("faults") == 0).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]),
+        checked.where(F.size("faults") > 0),
     )
 
 
