@@ -21,6 +21,14 @@ def hash_prefix(row_hash: Column, digits: int = 4) -> Column:
     return F.conv(F.substring(row_hash, 1, digits), 16, 10).cast("int")
 
 
+def prefix_digits(n: int, rows_per_bucket: int = 1_000_000) -> int:
+    """Hex digits of a hash needed to cut ``n`` rows into buckets of about ``rows_per_bucket``."""
+    digits = 1
+    while digits < 7 and n / 16**digits > rows_per_bucket:
+        digits += 1
+    return digits
+
+
 def ordinal(df: DataFrame, name: str) -> Column:
     """An order-preserving double for a numeric, boolean or temporal column; NaN becomes null.
 
@@ -70,6 +78,9 @@ def join_groups(rows: DataFrame, table: DataFrame, by: Sequence[str], how: str =
     names = {c: f"_of_{c}" for c in by}
     condition = None
     for name, other in names.items():
-        equal = F.col(name).eqNullSafe(F.col(other))
+        # Plain equality, the cheaper join key, does the same where one side has no nulls.
+        nulls = rows.schema[name].nullable and table.schema[name].nullable
+        equal = F.col(name).eqNullSafe(F.col(other)) if nulls else F.col(name) == F.col(other)
         condition = equal if condition is None else condition & equal
-    return rows.join(table.withColumnsRenamed(names), condition, how).drop(*names.values())
+    joined = rows.join(table.withColumnsRenamed(names), condition, how)
+    return joined if how == "left_semi" else joined.drop(*names.values())

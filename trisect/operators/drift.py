@@ -16,7 +16,7 @@ from trisect.functions.keys import join_groups, ordinal
 from trisect.functions.stats import js_term, ks_pvalue, psi_term, ratio
 from trisect.operators.quantiles import bucketed_long, edge_bin, edge_lists, edge_probabilities, long_quantiles
 from trisect.operators.ranking import Buckets
-from trisect.session import keep
+from trisect.session import lookup
 
 # Fixed value
 BINS = 10
@@ -140,7 +140,7 @@ def ks(both: DataFrame, columns: Sequence[str], prepared: _Prepared | None = Non
     so_far = Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     column = Window.partitionBy("column")
     share = lambda part, whole: F.col(part).cast("double") / F.col(whole)
-    ends = keep(
+    ends = lookup(
         counts.withColumns({
             "ref_end": F.sum("ref").over(so_far),
             "cur_end": F.sum("cur").over(so_far),
@@ -155,19 +155,20 @@ def ks(both: DataFrame, columns: Sequence[str], prepared: _Prepared | None = Non
             share("cur_end", "n_cur") - share("ref_start", "n_ref"),
         ))
     )
-    # At most one row per column and bucket, so its size is bounded by the number of columns.
-    open_buckets = ends.where("bound > known").select(
+    open_buckets = lookup(ends.where("bound > known").select(
         "column", "bucket", "ref_start", "cur_start", "n_ref", "n_cur"
-    )
+    ))
+    keys = ["column", "bucket"]
     values = (
-        join_groups(prepared.long, F.broadcast(open_buckets), ["column", "bucket"])
-        .groupBy("column", "bucket", "value", "ref_start", "cur_start", "n_ref", "n_cur")
+        join_groups(prepared.long, open_buckets.select(*keys), keys, "left_semi")
+        .groupBy(*keys, "value")
         .agg(*sides)
     )
-    inside = Window.partitionBy("column", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    looked_into = values.select("column", F.abs(
-        (F.col("ref_start") + F.sum("ref").over(inside)).cast("double") / F.col("n_ref")
-        - (F.col("cur_start") + F.sum("cur").over(inside)).cast("double") / F.col("n_cur")
+    inside = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    running = values.select(*keys, F.sum("ref").over(inside).alias("ref"), F.sum("cur").over(inside).alias("cur"))
+    looked_into = join_groups(running, open_buckets, keys).select("column", F.abs(
+        (F.col("ref_start") + F.col("ref")).cast("double") / F.col("n_ref")
+        - (F.col("cur_start") + F.col("cur")).cast("double") / F.col("n_cur")
     ).alias("distance"))
     at_ends = ends.select("column", F.col("known").alias("distance"))
     stat = at_ends.unionByName(looked_into).groupBy("column").agg(F.max("distance").alias("ks_stat"))

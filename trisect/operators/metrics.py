@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trisect.functions.keys import join_groups, literal, row_hash
 from trisect.functions.stats import ratio
 from trisect.operators.ranking import add_buckets, at_positions, fit_buckets, order_by_value, running_totals
-from trisect.session import keep
+from trisect.session import lookup
 
 # Fixed values
 METRIC_NAMES = {"auc": "ROC AUC", "accuracy": "Accuracy", "f1": "F1 Score"}
@@ -108,7 +108,7 @@ def classification_report(
 
     ``scores`` maps each class to its score; with two classes the AUC is that of the second.
     """
-    confusion = keep(confusion_matrix(df, label, prediction))
+    confusion = lookup(confusion_matrix(df, label, prediction))
     classes = list(scores)
     if len(classes) == 2:
         area = roc_auc_binary(df, label, scores[classes[1]], classes[1])
@@ -134,7 +134,7 @@ def score_deciles(df: DataFrame, label: str, score: Column, key: Sequence[str],
     # Nine cut values at most.
     found = sorted(cuts.collect(), key=lambda r: int(r["label"]))
     decile = F.lit(1) + sum((F.when(place > literal(r, kinds), 1).otherwise(0) for r in found), F.lit(0))
-    table = keep(
+    table = lookup(
         df.select(decile.alias("decile"), score.alias("score"), (F.col(label) == positive).alias("positive"))
         .groupBy("decile")
         .agg(

@@ -9,6 +9,7 @@ values are counted before they are sorted.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -16,33 +17,62 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trisect.functions.keys import hash_prefix, join_groups
+from trisect.functions.keys import hash_prefix, join_groups, prefix_digits
 from trisect.session import lookup
 
+# Quantile buckets of a large table, and the even parts each may further be cut into.
 BUCKETS = 1024
+MOST_PARTS = 4096
+# Small tables get fewer buckets, large ones more, so that a bucket holds about this many rows.
+BUCKET_ROWS = 1_000_000
+MIN_BUCKETS = 64
 # Size parameter of the sketches: about 30 KB each, ranks right to about a tenth of a percent.
 SKETCH_SIZE = 2048
 # Partial sketches are merged in this many groups before the final merge.
 SKETCH_FAN = 64
 # Largest magnitude up to which every whole number is its own double.
 EXACT_DOUBLE = 2.0**53
+# Hash digits by which the null values are spread.
+MISSING_DIGITS = 4
 
 
 @dataclass(frozen=True)
 class Buckets:
-    """Order-respecting buckets of one numeric column; ``edges`` starts and ends with infinity.
+    """Order-respecting buckets of one double column.
 
-    ``single`` lists the buckets that hold exactly one, frequent value.
+    ``edges`` runs from minus to plus infinity; each interval is cut evenly into ``parts``.
+    ``single`` maps the intervals that hold exactly one, frequent value to the number of hash
+    digits that spread its rows well. Null values have an interval of their own, after all others.
     """
 
     edges: tuple[float, ...]
-    single: tuple[int, ...]
+    single: dict[int, int]
+    parts: int = 1
 
     @property
     def missing(self) -> int:
-        """Bucket of null values, after all others."""
         return len(self.edges)
 
+    def bucket(self, interval: Column, value: Column) -> Column:
+        """Number of the bucket, given the interval."""
+        if self.parts == 1:
+            return interval
+        edges = F.expr("array(" + ", ".join(f"double('{e!r}')" for e in self.edges) + ")")
+        low = F.try_element_at(edges, interval + 1)
+        width = F.try_element_at(edges, interval + 2) - low
+        place = F.when(
+            (width > 0) & (width < math.inf), F.floor((value - low) / width * self.parts).cast("int")
+        )
+        return interval * self.parts + F.least(F.coalesce(place, F.lit(0)), F.lit(self.parts - 1))
+
+    def spread(self, bucket: Column, tie: Column) -> Column:
+        """Order-respecting sub-bucket by row hash for rows that share one value, 0 for others."""
+        by_digits: dict[int, list[int]] = {MISSING_DIGITS: [self.missing * self.parts]}
+        for interval, digits in self.single.items():
+            by_digits.setdefault(digits, []).append(interval * self.parts)
+        spread = [F.when(bucket.isin(*numbers), hash_prefix(tie, digits)) for digits, numbers in by_digits.items()]
+        return F.coalesce(*spread, F.lit(0))
+
 
 def fit_buckets(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> dict[str, Buckets]:
     """Bucket edges of double columns from mergeable quantile sketches, in one job.
@@ -60,21 +90,37 @@ def fit_buckets(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -
         .agg(F.kll_merge_agg_double("sketch").alias("sketch"))
     )
     ranks = F.expr("array(" + ", ".join(f"{i / buckets!r}D" for i in range(buckets + 1)) + ")")
-    rows = sketches.select("column", F.kll_sketch_get_quantile_double("sketch", ranks).alias("q")).collect()
-    found = {row["column"]: row["q"] for row in rows}
-    return {c: _edges(found.get(c, [])) for c in columns}
+    rows = sketches.select(
+        "column",
+        F.kll_sketch_get_quantile_double("sketch", ranks).alias("q"),
+        F.kll_sketch_get_n_double("sketch").alias("n"),
+    ).collect()
+    found = {row["column"]: (row["q"], row["n"]) for row in rows}
+    return {c: _buckets(*found.get(c, ((), 0))) for c in columns}
+
 
+def _buckets(quantiles: Sequence[float], n: int) -> Buckets:
+    """Buckets from equally spaced, ascending quantiles of ``n`` values.
 
-def _edges(quantiles: Sequence[float]) -> Buckets:
-    """Edges from ascending quantiles; a value met twice in a row is frequent and stands alone."""
-    cuts, frequent = set(), set()
-    for before, value in zip([None, *quantiles], quantiles):
-        cuts.add(value)
-        if value == before and abs(value) < EXACT_DOUBLE:
-            frequent.add(value)
-    cuts |= {math.nextafter(v, math.inf) for v in frequent}
-    edges = [-math.inf, *sorted(c for c in cuts if math.isfinite(c)), math.inf]
-    return Buckets(tuple(edges), tuple(i for i, e in enumerate(edges) if e in frequent))
+    A value met more than once in a row is frequent and gets an interval of its own.
+    """
+    step = 1
+    while (len(quantiles) - 1) // step > max(MIN_BUCKETS, n / BUCKET_ROWS):
+        step *= 2
+    thinned = quantiles[::step]
+    parts = 1
+    while parts < MOST_PARTS and parts * len(thinned) * BUCKET_ROWS < n:
+        parts *= 2
+    met = Counter(q for q in thinned if math.isfinite(q))
+    frequent = {v: times for v, times in met.items() if times > 1 and abs(v) < EXACT_DOUBLE}
+    cuts = set(met) | {math.nextafter(v, math.inf) for v in frequent}
+    edges = (-math.inf, *sorted(cuts or {0.0}), math.inf)
+    # A value met k times holds less than k + 1 of the equal shares.
+    share = n / max(1, len(thinned) - 1)
+    single = {
+        i: prefix_digits(math.ceil((frequent[e] + 1) * share), BUCKET_ROWS) for i, e in enumerate(edges) if e in frequent
+    }
+    return Buckets(edges, single, parts)
 
 
 def add_buckets(df: DataFrame, buckets: dict[str, Buckets], outputs: dict[str, str]) -> DataFrame:
@@ -86,9 +132,8 @@ def add_buckets(df: DataFrame, buckets: dict[str, Buckets], outputs: dict[str, s
         splitsArray=[list(buckets[c].edges) for c in names],
         handleInvalid="keep",
     ).transform(df)
-    return binned.withColumns({
-        outputs[c]: F.coalesce(F.col(outputs[c]).cast("int"), F.lit(buckets[c].missing)) for c in names
-    })
+    interval = {c: F.coalesce(F.col(outputs[c]).cast("int"), F.lit(buckets[c].missing)) for c in names}
+    return binned.withColumns({outputs[c]: buckets[c].bucket(interval[c], F.col(c)) for c in names})
 
 
 def running_totals(
@@ -154,13 +199,15 @@ def at_positions(
     targets = lookup(targets)
     keys = [*by, bucket]
     candidates = (
-        join_groups(rows, targets, keys)
-        .groupBy(*keys, *order, "n", "_start", "_targets")
+        join_groups(rows, targets.select(*keys), keys, "left_semi")
+        .groupBy(*keys, *order)
         .agg(F.count("*").alias("_rows"))
     )
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = candidates.withColumn("_inside", F.sum("_rows").over(inside))
     return (
-        candidates.withColumn("_end", F.col("_start") + F.sum("_rows").over(inside))
+        join_groups(ranked, targets, keys)
+        .withColumn("_end", F.col("_start") + F.col("_inside"))
         .withColumn("_target", F.explode("_targets"))
         .where(F.col("_target.position").between(F.col("_end") - F.col("_rows") + 1, F.col("_end")))
         .select(*by, F.col("_target.label").alias("label"), "n", *order)
@@ -175,10 +222,11 @@ def order_by_value(df: DataFrame, value: Column, tie: Column, keep_columns: Sequ
     """
     rows = df.select(*keep_columns, value.alias("_at"), tie.alias("_tie"))
     fitted = fit_buckets(rows, ["_at"])["_at"]
-    spread = F.when(F.col("_part").isin(*fitted.single, fitted.missing), hash_prefix(F.col("_tie"))).otherwise(0)
     return add_buckets(rows, {"_at": fitted}, {"_at": "_part"}).select(
         *keep_columns,
         F.coalesce("_at", F.lit(math.inf)).alias("_at"),
         "_tie",
-        F.struct(F.col("_part").alias("part"), spread.alias("spread")).alias("_bucket"),
+        F.struct(
+            F.col("_part").alias("part"), fitted.spread(F.col("_part"), F.col("_tie")).alias("spread")
+        ).alias("_bucket"),
     )

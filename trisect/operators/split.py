@@ -12,14 +12,14 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trisect.functions.keys import SEED, hash_prefix, join_groups, ordinal, row_hash
+from trisect.functions.keys import SEED, hash_prefix, join_groups, ordinal, prefix_digits, row_hash
 from trisect.operators.quantiles import long_quantiles
 from trisect.operators.ranking import add_buckets, at_positions, fit_buckets, order_by_value, running_totals
-from trisect.session import keep, lookup
+from trisect.session import BROADCAST_ROWS, keep, lookup
 
 # Fixed values
 METHODS = ("random", "time", "metric")
@@ -165,8 +165,9 @@ def _random_split(df: DataFrame, spec: SplitSpec) -> DataFrame:
     """Stratified split: in the hash order of each stratum, first backtest, then test, then train."""
     strata = spec.strata
     rows = df.select(*strata, row_hash(spec.key, spec.seed).alias("tie"))
-    rows = rows.withColumn("bucket", hash_prefix(F.col("tie")))
     quotas = stratum_quotas(rows, spec)
+    largest = quotas.agg(F.max("n")).first()[0] or 0
+    rows = rows.withColumn("bucket", hash_prefix(F.col("tie"), prefix_digits(largest)))
     positions = {
         "first": lambda _: F.col("n_backtest"),
         "second": lambda _: F.col("n_backtest") + F.col("n_test"),
@@ -185,39 +186,64 @@ def _random_split(df: DataFrame, spec: SplitSpec) -> DataFrame:
     )
 
 
-def stratum_quotas(rows: DataFrame, spec: SplitSpec) -> DataFrame:
+def stratum_quotas(rows: DataFrame, spec: SplitSpec, small: int | None = None) -> DataFrame:
     """Rows per stratum and part: strata columns, ``n``, ``n_backtest``, ``n_test``.
 
     Part sizes are rounded up for the whole table (or ``by`` group), then shared out among the
-    strata in proportion to their size, spare rows going to the largest remainders.
+    strata in proportion to their size, spare rows going to the largest remainders. A short list
+    of strata (up to ``small``) is ranked by a plain window, a long one in buckets.
     """
-    sizes = keep(rows.groupBy(*spec.strata).agg(F.count("*").alias("n")))
-    first = _share_out(sizes, spec, "n", "n_backtest", float(spec.backtest)).withColumn(
+    sizes = lookup(rows.groupBy(*spec.strata).agg(F.count("*").alias("n")))
+    few = sizes.count() <= (BROADCAST_ROWS if small is None else small)
+    share_out = _share_out_few if few else _share_out_many
+    first = share_out(sizes, spec, "n", "n_backtest", float(spec.backtest)).withColumn(
         "_rest", F.col("n") - F.col("n_backtest")
     )
     rest = spec.train + spec.test
-    second = _share_out(keep(first), spec, "_rest", "n_test", float(spec.test / rest) if rest else 0.0)
-    return keep(second.drop("_rest"))
+    if not few:
+        first = keep(first)
+    second = share_out(first, spec, "_rest", "n_test", float(spec.test / rest) if rest else 0.0)
+    return lookup(second.drop("_rest"))
 
 
-def _share_out(strata: DataFrame, spec: SplitSpec, count: str, quota: str, share: float) -> DataFrame:
-    """Add ``quota``: ceil(share * total) rows shared out in proportion to ``count``."""
+def _exact_share(count: str) -> dict[str, Column]:
+    """Whole part and remainder of ``count * _draws / _total``, in whole numbers."""
     whole = T.DecimalType(18, 0)
-    totals = strata.groupBy(*spec.by).agg(F.sum(count).alias("_total"))
-    totals = totals.withColumn("_draws", F.ceil(F.lit(share) * F.col("_total")))
     product = F.col(count).cast(whole) * F.col("_draws").cast(whole)
     total = F.greatest(F.col("_total"), F.lit(1)).cast(whole)
-    shared = join_groups(strata, totals, spec.by).select(
-        *strata.columns,
-        "_draws",
-        ((product - product % total) / total).cast("long").alias("_whole"),
-        (product % total).alias("_left"),
-        (-F.floor((product % total).cast("double") / total.cast("double") * REMAINDER_BUCKETS)).alias("_bucket"),
-        row_hash(spec.strata, spec.seed).alias("_tie"),
-        F.lit(1).alias("_one"),
+    return {
+        "_whole": ((product - product % total) / total).cast("long"),
+        "_left": product % total,
+        "_part": (product % total).cast("double") / total.cast("double"),
+    }
+
+
+def _line_order(spec: SplitSpec) -> list[Column]:
+    """Strata in line for a spare row: largest remainder first, then by hash."""
+    return [F.desc("_left"), row_hash(spec.strata, spec.seed), *map(F.col, spec.strata)]
+
+
+def _share_out_few(strata: DataFrame, spec: SplitSpec, count: str, quota: str, share: float) -> DataFrame:
+    """Add ``quota``: ceil(share * total) rows shared out in proportion to ``count``."""
+    group = Window.partitionBy(*spec.by)
+    shared = (
+        strata.withColumn("_total", F.sum(count).over(group))
+        .withColumn("_draws", F.ceil(F.lit(share) * F.col("_total")))
+        .withColumns(_exact_share(count))
     )
-    ranked = running_totals(shared, spec.by, "_bucket", [F.desc("_left"), F.col("_tie"), *map(F.col, spec.strata)], ["_one"])
+    spare = F.row_number().over(group.orderBy(*_line_order(spec))) <= F.col("_draws") - F.sum("_whole").over(group)
+    return shared.select(*strata.columns, (F.col("_whole") + spare.cast("long")).alias(quota))
+
+
+def _share_out_many(strata: DataFrame, spec: SplitSpec, count: str, quota: str, share: float) -> DataFrame:
+    """The same for a list of strata too long for one task: ranked in buckets of remainder."""
+    totals = strata.groupBy(*spec.by).agg(F.sum(count).alias("_total"))
+    totals = totals.withColumn("_draws", F.ceil(F.lit(share) * F.col("_total")))
+    shared = join_groups(strata, totals, spec.by).withColumns(_exact_share(count)).withColumns({
+        "_bucket": -F.floor(F.col("_part") * REMAINDER_BUCKETS), "_one": F.lit(1)
+    })
     given = shared.groupBy(*spec.by).agg(F.sum("_whole").alias("_given"))
+    ranked = running_totals(shared, spec.by, "_bucket", _line_order(spec), ["_one"])
     spare = F.col("_one_before") < F.col("_draws") - F.col("_given")
     return join_groups(ranked, given, spec.by).select(
         *strata.columns, (F.col("_whole") + spare.cast("long")).alias(quota)

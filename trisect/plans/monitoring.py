@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trisect.functions.keys import join_groups
 from trisect.operators.drift import BINS, divergences, histogram_by_edges, reference_edges, stability_report
-from trisect.session import keep
+from trisect.session import lookup
 
 # Fixed values
 PSI_ALERT = 0.2
@@ -38,7 +38,7 @@ def drift_by_period(
         F.date_trunc(period, time).cast(kind).alias("period"), is_reference.alias("is_ref"), *columns
     )
     edges = reference_edges(rows, columns, bins)
-    counted = keep(histogram_by_edges(rows, edges, by=["period"]))
+    counted = lookup(histogram_by_edges(rows, edges, by=["period"]))
     reference = counted.groupBy("column", "bin").agg(F.sum("n_ref").alias("n_ref")).where("n_ref > 0")
     current = counted.select("period", "column", "bin", (F.col("n_ref") + F.col("n_cur")).alias("n_cur"))
     # Every period needs the reference bins, also those in which it has no rows of its own.
@@ -60,6 +60,6 @@ def compare_models(new: DataFrame, old: DataFrame, decisive: str = "ROC AUC", le
     by at least ``least_gain``.
     """
     joined = new.withColumnRenamed("value", "new_value").join(old.withColumnRenamed("value", "old_value"), "metric")
-    deltas = keep(joined.withColumn("delta", F.col("new_value") - F.col("old_value")))
+    deltas = lookup(joined.withColumn("delta", F.col("new_value") - F.col("old_value")))
     decision = deltas.agg(F.max(F.when(F.col("metric") == decisive, F.col("delta") >= least_gain)).alias("accept"))
     return join_groups(deltas, decision, [])

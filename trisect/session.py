@@ -51,12 +51,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def keep(table: DataFrame) -> DataFrame:
-    """Compute a small table once, on reliable storage, and cut its lineage."""
+    """Compute a table of unknown size once, on reliable storage, and cut its lineage."""
     shared_folder(table.sparkSession)
     return table.checkpoint(eager=True)
 
 
-def lookup(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A kept table to join against: broadcast when it was counted to be short, shuffled if not."""
-    kept = keep(table)
-    return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept
+def lookup(table: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """An aggregate computed once, to join against or to read again.
+
+    Up to ``max_rows`` rows it is held by the driver and broadcast; the limit is part of the query
+    that fetches it. Beyond that it is kept on reliable storage and joins shuffle.
+    """
+    limit = BROADCAST_ROWS if max_rows is None else max_rows
+    rows = table.limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
+        return keep(table)
+    return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))
