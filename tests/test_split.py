@@ -9,6 +9,7 @@ from test_ranking import skewed
 from trisect.operators.split import (
     SplitSpec,
     add_blocks,
+    fit_split,
     parts,
     random_split_by_hash,
     split,
@@ -146,3 +147,41 @@ def test_blocks(spark, tiny_buckets):
     whole = split_in_blocks(df, SplitSpec("random", target="g", key=("k",)), "k", 250)
     assert sorted(whole.groupBy("block").count().toPandas()["count"]) == [250] * 4
     assert spec.strata == ()
+
+
+@pytest.mark.parametrize("spec", [
+    SplitSpec("time", time="t", key=("k",), train=0.3, test=0.4),
+    SplitSpec("time", time="t", train="2024-01-10", test="2024-02-01"),
+    SplitSpec("time", time="k", key=("k",)),
+    SplitSpec("metric", metric="x"),
+    SplitSpec("metric", metric="k", train=0.55, test=0.25, backtest=0.2),
+    SplitSpec("random", target="g", key=("k",)),
+    SplitSpec("metric", metric="x", by=("g",)),
+])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_parts_hold_the_assigned_rows(spark, spec, kind):
+    if kind != "timestamp" and spec.time != "t":
+        pytest.skip("no time column")
+    frame = skewed(900).assign(day=lambda f: f["k"] // 12)
+    moment = F.expr("date_add(DATE'2024-01-01', CAST(day AS INT))").cast(kind)
+    df = spark.createDataFrame(frame).withColumn("t", F.when(F.col("k") % 50 > 0, moment))
+    fitted = fit_split(df, spec)
+    assigned = fitted.assign(df)
+    for name in ("train", "test", "backtest"):
+        mine = sorted(r["k"] for r in getattr(fitted.parts(df), name).select("k").collect())
+        assert mine == sorted(r["k"] for r in assigned.where(F.col("subset") == name).select("k").collect()) and mine
+
+
+def test_ranges_of_parts_reach_the_scan(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    found = fit_split(events, SplitSpec("time", time="ts", key=("event_id",))).parts(events)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ts), LessThanOrEqual(ts" in plan(found.train)
+    assert "GreaterThanOrEqual(ts" in plan(found.test) and "LessThanOrEqual(ts" in plan(found.test)
+
+
+def test_a_fitted_split_assigns_new_rows(spark):
+    df = spark.range(100).withColumn("x", F.col("id").cast("double"))
+    fitted = fit_split(df, SplitSpec("metric", metric="x"))
+    new = spark.createDataFrame([(-5.0,), (65.0,), (1e9,)], "x double")
+    assert [r["subset"] for r in fitted.assign(new).collect()] == ["train", "test", "backtest"]

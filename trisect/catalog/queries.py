@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from trisect.operators import checks, drift, features, metrics, summary
 from trisect.operators.quantiles import edge_probabilities, quantiles
-from trisect.operators.split import SplitSpec, random_split_by_hash, split, split_in_blocks
+from trisect.operators.split import SplitSpec, fit_split, random_split_by_hash, split, split_in_blocks
 from trisect.plans import distinct_users, monitoring, search
 from trisect.plans.selection import MODEL_NAME, PARAMS_NAME, RANKING_NAME, run_selection
 from trisect.session import scratch_path
@@ -509,8 +509,8 @@ CATALOG_BUDGET_S = 15
 def model_tables(spark, folder) -> tuple[DataFrame, DataFrame]:
     lines = read(spark, folder, "lineitem").withColumn("returned", (F.col("l_returnflag") == "R").cast("int"))
     spec = SplitSpec("time", time="l_shipdate", train="1999-06-01", test="2001-06-01")
-    assigned = split(lines, spec)
-    return assigned.where("subset = 'train'"), assigned.where("subset = 'test'")
+    parts = fit_split(lines, spec).parts(lines)
+    return parts.train, parts.test
 
 
 def ranking_rows(ranking: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEED = 42
+EPOCH = dt.datetime(1970, 1, 1)
 
 
 def row_hash(key: Sequence[str], seed: int = SEED) -> Column:
@@ -51,6 +54,20 @@ def ordinal(df: DataFrame, name: str) -> Column:
     raise ValueError(f"column {name!r} of type {kind.simpleString()} has no numeric order")
 
 
+def from_ordinal(value: float, kind: T.DataType, up: bool) -> Column | None:
+    """A typed literal of an ordinal, rounded up or down to the type; None for other types."""
+    whole = math.ceil(value) if up else math.floor(value)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.lit((EPOCH + dt.timedelta(microseconds=whole)).isoformat(" ")).cast(kind)
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(whole))
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(F.lit(whole))
+    if isinstance(kind, (T.LongType, T.IntegerType)):
+        return F.lit(whole).cast(kind)
+    return F.lit(value) if isinstance(kind, T.DoubleType) else None
+
+
 def present(df: DataFrame, name: str) -> Column:
     """True where the column is neither null nor NaN."""
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):

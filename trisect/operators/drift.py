@@ -101,18 +101,29 @@ def divergences(counts: DataFrame, by: Sequence[str] = ("column",)) -> DataFrame
     Shares are taken of all values, those outside the edges included. For Jensen-Shannon the
     shares of both sides and their mean are then each normalised to sum to one over the bins.
     """
-    group = Window.partitionBy(*by)
-    shares = counts.select(
+    # Read twice, so computed once; totals are joined, since one column may have many categories.
+    counts = lookup(counts)
+    inside = F.col("bin").isNotNull()
+    totals = counts.groupBy(*by).agg(
+        F.sum("n_ref").alias("all_ref"),
+        F.sum("n_cur").alias("all_cur"),
+        F.sum(F.when(inside, F.col("n_ref"))).alias("in_ref"),
+        F.sum(F.when(inside, F.col("n_cur"))).alias("in_cur"),
+    )
+    share = lambda part, whole: ratio(F.col(part), F.col(whole))
+    shares = join_groups(counts.where(inside), lookup(totals), by).select(
         *by,
-        "bin",
-        ratio(F.col("n_ref"), F.sum("n_ref").over(group)).alias("p"),
-        ratio(F.col("n_cur"), F.sum("n_cur").over(group)).alias("q"),
-    ).where(F.col("bin").isNotNull())
-    of_bins = lambda share: ratio(share, F.sum(share).over(group))
+        share("n_ref", "all_ref").alias("p"),
+        share("n_cur", "all_cur").alias("q"),
+        share("n_ref", "in_ref").alias("p1"),
+        share("n_cur", "in_cur").alias("q1"),
+        (share("in_ref", "all_ref") + share("in_cur", "all_cur")).alias("both"),
+    )
     p, q = F.col("p"), F.col("q")
-    return shares.select(
-        *by, psi_term(p, q).alias("psi"), js_term(of_bins(p), of_bins(q), of_bins(p + q)).alias("js")
-    ).groupBy(*by).agg(F.sum("psi").alias("psi"), F.sum("js").alias("js_divergence"))
+    return shares.groupBy(*by).agg(
+        F.sum(psi_term(p, q)).alias("psi"),
+        F.sum(js_term(F.col("p1"), F.col("q1"), (p + q) / F.col("both"))).alias("js_divergence"),
+    )
 
 
 def psi(both: DataFrame, columns: Sequence[str], bins: int = BINS, open_ends: bool = False) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trisect.functions.keys import SEED, hash_prefix, join_groups, ordinal, prefix_digits, row_hash
+from trisect.functions.keys import SEED, from_ordinal, hash_prefix, join_groups, ordinal, prefix_digits, row_hash
 from trisect.operators.quantiles import long_quantiles
 from trisect.operators.ranking import add_buckets, at_positions, fit_buckets, order_by_value, running_totals
 from trisect.session import BROADCAST_ROWS, keep, lookup
@@ -88,7 +88,7 @@ def _is_number(value) -> bool:
 
 @dataclass(frozen=True)
 class Parts:
-    """The three parts as separate DataFrames over one assigned table."""
+    """The three parts as separate DataFrames."""
 
     train: DataFrame
     test: DataFrame
@@ -102,69 +102,121 @@ def parts(assigned: DataFrame) -> Parts:
 
 def split(df: DataFrame, spec: SplitSpec) -> DataFrame:
     """Add column ``subset``: train, test, backtest, or null where the split leaves a row out."""
-    if not isinstance(df, DataFrame):
-        raise ValueError("a split needs a Spark DataFrame")
-    if spec.by_cut_points:
-        return df.withColumn("subset", _by_cut_points(df, spec))
-    if spec.method == "time":
-        return _time_split(df, spec)
-    if spec.method == "metric":
-        return _metric_split(df, spec)
-    return _random_split(df, spec)
+    return fit_split(df, spec).assign(df)
+
+
+@dataclass(frozen=True)
+class FittedSplit:
+    """A split whose cuts are known. It also assigns rows that were not there when it was fitted.
+
+    ``cuts`` has columns ``first`` and ``second``, per group of ``by``; it is None for cut points.
+    """
+
+    spec: SplitSpec
+    by: tuple[str, ...] = ()
+    cuts: DataFrame | None = None
+
+    def assign(self, df: DataFrame) -> DataFrame:
+        """Add ``subset`` by comparing each row with the cuts of its group."""
+        if self.cuts is None:
+            kind = df.schema[self.spec.time].dataType
+            first, second = (F.lit(cut).cast(kind) for cut in (self.spec.train, self.spec.test))
+            return df.withColumn("subset", _between_cuts(F.col(self.spec.time), first, second))
+        table = self.cuts.withColumnsRenamed({"first": "_first", "second": "_second"})
+        joined = join_groups(df, table, self.by, "left")
+        return joined.withColumn("subset", self._rule(df)).select(*df.columns, "subset")
+
+    def _rule(self, df: DataFrame) -> Column:
+        first, second = F.col("_first"), F.col("_second")
+        if self.spec.method == "metric":
+            return _between_cuts(ordinal(df, self.spec.metric), first, second)
+        tie = row_hash(self.spec.key, self.spec.seed)
+        # A missing cut (a share of no rows) has nothing before it.
+        if self.spec.method == "random":
+            return F.when(tie <= first, "backtest").when(tie <= second, "test").otherwise("train")
+        at = F.coalesce(ordinal(df, self.spec.time), F.lit(math.inf))
+        # Spelled out, so that the hash is only computed for rows level with a cut.
+        until = lambda cut: (at < cut["_at"]) | ((at == cut["_at"]) & (tie <= cut["_tie"]))
+        return F.when(until(first), "train").when(until(second), "test").otherwise("backtest")
+
+    def parts(self, df: DataFrame) -> Parts:
+        """The three parts. Those cut by one column carry a plain range on it as well.
+
+        The range repeats what the subset says, in a form that reaches the scan: a part of a table
+        that is stored by time is read without the files of the other parts.
+        """
+        assigned = self.assign(df)
+        ranges = self._ranges(df) or dict.fromkeys(SUBSETS, F.lit(True))
+        return Parts(*[
+            assigned.where(ranges[s] & (F.col("subset") == s)).drop("subset") for s in SUBSETS
+        ])
+
+    def _ranges(self, df: DataFrame) -> dict[str, Column] | None:
+        name = self.spec.time if self.spec.method == "time" else self.spec.metric
+        if self.spec.method == "random" or self.by:
+            return None
+        col, kind = F.col(name), df.schema[name].dataType
+        if self.cuts is None:
+            first, second = (F.lit(cut).cast(kind) for cut in (self.spec.train, self.spec.test))
+            return {"train": col <= first, "test": (col > first) & (col <= second), "backtest": col > second}
+        row = self.cuts.first()
+        at = [row and row[c] if self.spec.method == "metric" else row and row[c] and row[c]["_at"] for c in ("first", "second")]
+        if any(v is None or not math.isfinite(v) for v in at):
+            return None
+        low, high = ([from_ordinal(v, kind, up) for v in at] for up in (True, False))
+        if any(v is None for v in (*low, *high)):
+            return None
+        return {
+            "train": col <= high[0],
+            "test": (col >= low[0]) & (col <= high[1]),
+            "backtest": (col >= low[1]) | col.isNull(),
+        }
 
 
 def _between_cuts(value: Column, first: Column, second: Column) -> Column:
     return F.when(value <= first, "train").when(value <= second, "test").when(value > second, "backtest")
 
 
-def _by_cut_points(df: DataFrame, spec: SplitSpec) -> Column:
-    """Up to the first cut, up to the second, after; a null time belongs nowhere."""
-    kind = df.schema[spec.time].dataType
-    return _between_cuts(F.col(spec.time), F.lit(spec.train).cast(kind), F.lit(spec.test).cast(kind))
+def fit_split(df: DataFrame, spec: SplitSpec) -> FittedSplit:
+    """Find the cuts of a table. Only the columns that decide are read; rows stay where they are."""
+    if not isinstance(df, DataFrame):
+        raise ValueError("a split needs a Spark DataFrame")
+    if spec.by_cut_points:
+        return FittedSplit(spec)
+    fit = {"random": _fit_random, "time": _fit_time, "metric": _fit_metric}[spec.method]
+    by = spec.strata if spec.method == "random" else spec.by
+    return FittedSplit(spec, by, lookup(fit(df, spec)))
+
+
+def _first_and_second(found: DataFrame, by: Sequence[str], which: Column, names: Sequence, value: Column) -> DataFrame:
+    """One row of cuts per group, from rows told apart by ``which``."""
+    return found.groupBy(*by).agg(*[
+        F.max(F.when(which == name, value)).alias(cut) for name, cut in zip(names, ("first", "second"))
+    ])
 
 
-def _time_split(df: DataFrame, spec: SplitSpec) -> DataFrame:
-    """Chronological split by shares; equal times are ordered by row hash, null times come last."""
+def _fit_time(df: DataFrame, spec: SplitSpec) -> DataFrame:
+    """Chronological cuts by shares; equal times are ordered by row hash, null times come last."""
     rows = order_by_value(df, ordinal(df, spec.time), row_hash(spec.key, spec.seed), spec.by)
     positions = {
         "first": lambda n: F.floor(F.lit(float(spec.train)) * n),
         "second": lambda n: F.floor(F.lit(float(spec.train + spec.test)) * n),
     }
     found = at_positions(rows, spec.by, "_bucket", ["_at", "_tie"], positions)
-    cuts = found.groupBy(*spec.by).agg(
-        F.max(F.when(F.col("label") == "first", F.struct("_at", "_tie"))).alias("first"),
-        F.max(F.when(F.col("label") == "second", F.struct("_at", "_tie"))).alias("second"),
-    )
-    here = F.struct(
-        F.coalesce(ordinal(df, spec.time), F.lit(math.inf)).alias("_at"), row_hash(spec.key, spec.seed).alias("_tie")
-    )
-    # Without a row at a position (a share of zero rows) nothing lies before the cut.
-    return _assign(
-        df,
-        spec.by,
-        cuts,
-        lambda c: F.when(here <= c("first"), "train").when(here <= c("second"), "test").otherwise("backtest"),
-    )
+    return _first_and_second(found, spec.by, F.col("label"), list(positions), F.struct("_at", "_tie"))
 
 
-def _metric_split(df: DataFrame, spec: SplitSpec) -> DataFrame:
-    """Split at two exact quantiles; a null metric belongs nowhere."""
+def _fit_metric(df: DataFrame, spec: SplitSpec) -> DataFrame:
+    """Two exact quantiles; a null metric belongs nowhere."""
     narrow = df.select(*spec.by, ordinal(df, spec.metric).alias("value"))
     rows = add_buckets(narrow, fit_buckets(narrow, ["value"]), {"value": "bucket"}).where("value IS NOT NULL")
-    ends = [float(spec.train), min(1.0, float(spec.train + spec.test))]
-    found = long_quantiles(rows, spec.by, ends)
-    cuts = found.groupBy(*spec.by).agg(
-        F.max(F.when(F.col("i") == 0, F.col("quantile"))).alias("first"),
-        F.max(F.when(F.col("i") == 1, F.col("quantile"))).alias("second"),
-    )
-    value = ordinal(df, spec.metric)
-    return _assign(df, spec.by, cuts, lambda c: _between_cuts(value, c("first"), c("second")))
+    found = long_quantiles(rows, spec.by, [float(spec.train), min(1.0, float(spec.train + spec.test))])
+    return _first_and_second(found, spec.by, F.col("i"), (0, 1), F.col("quantile"))
 
 
-def _random_split(df: DataFrame, spec: SplitSpec) -> DataFrame:
-    """Stratified split: in the hash order of each stratum, first backtest, then test, then train."""
-    strata = spec.strata
-    rows = df.select(*strata, row_hash(spec.key, spec.seed).alias("tie"))
+def _fit_random(df: DataFrame, spec: SplitSpec) -> DataFrame:
+    """Stratified cuts: in the hash order of each stratum, first backtest, then test, then train."""
+    rows = df.select(*spec.strata, row_hash(spec.key, spec.seed).alias("tie"))
     quotas = stratum_quotas(rows, spec)
     largest = quotas.agg(F.max("n")).first()[0] or 0
     rows = rows.withColumn("bucket", hash_prefix(F.col("tie"), prefix_digits(largest)))
@@ -172,18 +224,8 @@ def _random_split(df: DataFrame, spec: SplitSpec) -> DataFrame:
         "first": lambda _: F.col("n_backtest"),
         "second": lambda _: F.col("n_backtest") + F.col("n_test"),
     }
-    found = at_positions(rows, strata, "bucket", ["tie"], positions, limits=quotas.drop("n"))
-    cuts = found.groupBy(*strata).agg(
-        F.max(F.when(F.col("label") == "first", F.col("tie"))).alias("first"),
-        F.max(F.when(F.col("label") == "second", F.col("tie"))).alias("second"),
-    )
-    tie = row_hash(spec.key, spec.seed)
-    return _assign(
-        df,
-        strata,
-        cuts,
-        lambda c: F.when(tie <= c("first"), "backtest").when(tie <= c("second"), "test").otherwise("train"),
-    )
+    found = at_positions(rows, spec.strata, "bucket", ["tie"], positions, limits=quotas.drop("n"))
+    return _first_and_second(found, spec.strata, F.col("label"), list(positions), F.col("tie"))
 
 
 def stratum_quotas(rows: DataFrame, spec: SplitSpec, small: int | None = None) -> DataFrame:
@@ -250,14 +292,6 @@ def _share_out_many(strata: DataFrame, spec: SplitSpec, count: str, quota: str,
     )
 
 
-def _assign(df: DataFrame, by: Sequence[str], cuts: DataFrame, rule) -> DataFrame:
-    """Add ``subset`` by comparing each row with the cuts of its group."""
-    table = cuts.withColumnsRenamed({"first": "_first", "second": "_second"})
-    cut = {"first": F.col("_first"), "second": F.col("_second")}
-    joined = join_groups(df, lookup(table) if by else table, by, "left")
-    return joined.withColumn("subset", rule(cut.get)).select(*df.columns, "subset")
-
-
 def random_split_by_hash(df: DataFrame, key: Sequence[str], spec_sizes=SIZES, seed: int = SEED) -> DataFrame:
     """Approximate random split without counting: each row is placed by its own hash.
 

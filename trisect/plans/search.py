@@ -19,6 +19,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
+    FeatureHasher,
     Imputer,
     IndexToString,
     OneHotEncoder,
@@ -44,13 +45,16 @@ from trisect.operators.metrics import (
     roc_auc_ovr_weighted,
     roc_auc_per_class,
 )
-from trisect.operators.split import SplitSpec, split
+from trisect.operators.split import SplitSpec, fit_split
+from trisect.session import lookup
 
 # Fixed values
 SEARCH_BUDGET_S = 360
 HOLDOUT_BUDGET_S = 10
 METRICS = ("roc_auc", "roc_auc_ovr", "roc_auc_ovr_weighted", "accuracy", "f1")
 
+MOST_CATEGORIES = 1000
+HASHED_SIZE = 4096
 LABEL = "_label"
 FEATURES = "_features"
 RANKING_SCHEMA = T.StructType([
@@ -105,9 +109,12 @@ HOLDOUT_FAMILIES = (BOOSTED, FOREST, NETWORK)
 
 
 def feature_stages(df: DataFrame, columns: Sequence[str]) -> list:
-    """Stages from raw columns to one vector: numbers imputed, text indexed and one-hot encoded."""
-    text = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
-    numbers = [c for c in columns if c not in text]
+    """Stages from raw columns to one vector: numbers imputed, text one-hot encoded.
+
+    Text columns of more than MOST_CATEGORIES values are hashed to indicators instead.
+    """
+    text = [c for c in dict.fromkeys(columns) if isinstance(df.schema[c].dataType, T.StringType)]
+    numbers = [c for c in dict.fromkeys(columns) if c not in text]
     other = [c for c in numbers if not isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType))]
     if other:
         raise ValueError(f"features must be numbers or text: {', '.join(other)}")
@@ -116,6 +123,14 @@ def feature_stages(df: DataFrame, columns: Sequence[str]) -> list:
         filled = [f"_{c}_filled" for c in numbers]
         stages.append(Imputer(inputCols=numbers, outputCols=filled))
         inputs += filled
+    if text:
+        sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in text]).first()
+        hashed = [c for c in text if sizes[c] > MOST_CATEGORIES]
+        text = [c for c in text if c not in hashed]
+        if hashed:
+            # Needs no list of the values, which would have to pass through the driver.
+            stages.append(FeatureHasher(inputCols=hashed, outputCol="_hashed", numFeatures=HASHED_SIZE))
+            inputs.append("_hashed")
     if text:
         indices = [f"_{c}_index" for c in text]
         encoded = [f"_{c}_onehot" for c in text]
@@ -193,9 +208,10 @@ def evaluate(model: PipelineModel, labels: Sequence[str], df: DataFrame, label:
     """ROC AUC, accuracy and weighted F1 of a pipeline on labelled rows."""
     scored = score(model, labels, df).select(F.col(label).cast("string").alias("label"), "predicted", "scores")
     scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-    return classification_report(
-        scored, "label", "predicted", {name: F.col("scores")[i] for i, name in enumerate(labels)}
-    )
+    scores = {name: F.col("scores")[i] for i, name in enumerate(labels)}
+    report = lookup(classification_report(scored, "label", "predicted", scores))
+    scored.unpersist()
+    return report
 
 
 def search_models(
@@ -290,12 +306,10 @@ def search_with_holdout(
     The metric is ROC AUC for two labels and weighted F1 for more.
     """
     spec = SplitSpec("random", target=label, key=tuple(key), train=1.0 - holdout, test=holdout, backtest=0.0)
-    assigned = split(df, spec)
+    parts = fit_split(df, spec).parts(df)
     binary = df.select(label).distinct().limit(3).count() == 2
     return search_models(
-        assigned.where(F.col("subset") == "train"),
-        assigned.where(F.col("subset") == "test"),
-        features, label, candidates, "roc_auc" if binary else "f1", budget_s,
+        parts.train, parts.test, features, label, candidates, "roc_auc" if binary else "f1", budget_s
     )
 
 

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A table is only hinted for broadcast after it was counted and found no longer than this.
 BROADCAST_ROWS = 100_000
@@ -63,7 +64,17 @@ def lookup(table: DataFrame, max_rows: int | None = None) -> DataFrame:
     that fetches it. Beyond that it is kept on reliable storage and joins shuffle.
     """
     limit = BROADCAST_ROWS if max_rows is None else max_rows
+    # A null struct makes its fields null, whatever they were declared as.
+    table = table.select(*[F.col(f.name).cast(_nullable_inside(f.dataType)).alias(f.name) for f in table.schema])
     rows = table.limit(limit + 1).toArrow()
     if rows.num_rows > limit:
         return keep(table)
     return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))
+
+
+def _nullable_inside(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable_inside(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable_inside(kind.elementType))
+    return kind
