@@ -22,6 +22,7 @@ def spark():
 def tiny_buckets(monkeypatch):
     """Buckets as a large table gets them: many, cut into parts, frequent values spread by hash."""
     monkeypatch.setattr(ranking, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(ranking, "SMALL_BUCKET_ROWS", 3)
     monkeypatch.setattr(ranking, "MIN_BUCKETS", 8)
     monkeypatch.setattr(ranking, "BUCKETS", 32)
     monkeypatch.setattr(ranking.fit_buckets, "__defaults__", (32,))

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from trisect.functions.keys import ordinal, prefix_digits, row_hash
 from trisect.operators.quantiles import quantiles
-from trisect.operators.ranking import _buckets, add_buckets, at_positions, fit_buckets, order_by_value, running_totals
+from trisect.operators.ranking import (
+    VALUE_ORDER,
+    _buckets,
+    add_buckets,
+    at_positions,
+    fit_buckets,
+    order_by_value,
+    running_totals,
+)
 
 
 def skewed(n=4000, seed=1):
@@ -47,8 +55,8 @@ def test_bucket_count_follows_the_row_count():
 def test_running_totals_equal_a_plain_window(spark, tiny_buckets, by):
     frame = skewed()
     df = spark.createDataFrame(frame).withColumn("x", F.when(~F.isnan("x"), F.col("x")))
-    rows = order_by_value(df, F.col("x"), row_hash(["k"]), ["k", *by]).withColumn("one", F.lit(1))
-    found = running_totals(rows, by, "_bucket", [F.col("_at"), F.col("_tie")], ["one"]).toPandas()
+    rows = order_by_value(df, "x", row_hash(["k"]), ["k", *by]).withColumn("one", F.lit(1))
+    found = running_totals(rows, by, "_bucket", [F.col(c) for c in VALUE_ORDER], ["one"]).toPandas()
     found = found.sort_values([*by, "_at", "_tie"])
     expected = found.groupby(by).cumcount() if by else pd.Series(range(len(found)), index=found.index)
     assert (found["one_before"] == expected).all()
@@ -57,9 +65,9 @@ def test_running_totals_equal_a_plain_window(spark, tiny_buckets, by):
 @pytest.mark.parametrize("by", [[], ["g"]])
 def test_positions_equal_sorting(spark, tiny_buckets, by):
     df = spark.createDataFrame(skewed()).withColumn("x", F.when(~F.isnan("x"), F.col("x")))
-    rows = order_by_value(df, F.col("x"), row_hash(["k"]), ["k", *by])
+    rows = order_by_value(df, "x", row_hash(["k"]), ["k", *by])
     places = {"first": lambda n: F.lit(1), "mid": lambda n: F.floor(n / 3), "last": lambda n: n, "none": lambda n: n + 1}
-    found = at_positions(rows, by, "_bucket", ["_at", "_tie"], places).toPandas()
+    found = at_positions(rows, by, "_bucket", VALUE_ORDER, places).toPandas()
     everything = rows.toPandas().sort_values([*by, "_at", "_tie"])
     groups = everything.groupby(by) if by else [((), everything)]
     for key, part in groups:
@@ -100,7 +108,7 @@ def test_ordinal_of_every_kind(spark):
         row = df.select(*[ordinal(df, c).alias(c) for c in df.columns if c != "t"]).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
-    assert row["local"] == pd.Timestamp("2024-03-10 02:30:00.000001").value / 1000
+    assert row["local"] == pd.Timestamp("2024-03-10 02:30:00.000001").value / 1e9
     assert (row["instant"], row["day"], row["flag"], row["x"], row["nan"], row["d"]) == (1e6, 10, 1, 2.5, None, 3)
     with pytest.raises(ValueError):
         ordinal(df, "t")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import math
 from collections.abc import Sequence
 
@@ -11,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEED = 42
-EPOCH = dt.datetime(1970, 1, 1)
 
 
 def row_hash(key: Sequence[str], seed: int = SEED) -> Column:
@@ -20,14 +18,23 @@ def row_hash(key: Sequence[str], seed: int = SEED) -> Column:
 
 
 def hash_prefix(row_hash: Column, digits: int = 4) -> Column:
-    """Leading hex digits of a row hash as an integer; respects the order of the hashes."""
-    return F.conv(F.substring(row_hash, 1, digits), 16, 10).cast("int")
+    """Leading hex digits of a row hash, as a bucket that respects the order of the hashes."""
+    return F.substring(row_hash, 1, digits)
+
+
+def hash_number(row_hash: Column) -> Column:
+    """The leading 32 bits of a row hash as a number."""
+    return F.conv(F.substring(row_hash, 1, 8), 16, 10).cast("long")
 
 
 def prefix_digits(n: int, rows_per_bucket: int = 1_000_000) -> int:
-    """Hex digits of a hash needed to cut ``n`` rows into buckets of about ``rows_per_bucket``."""
+    """Hex digits of a hash that cut ``n`` rows into buckets of at most ``rows_per_bucket``.
+
+    Up to three digits more buckets than that are used, as counting them costs next to nothing
+    and the fewer rows are then sorted.
+    """
     digits = 1
-    while digits < 7 and n / 16**digits > rows_per_bucket:
+    while digits < 7 and n / 16**digits > (rows_per_bucket if digits >= 3 else rows_per_bucket / 500):
         digits += 1
     return digits
 
@@ -36,13 +43,12 @@ def ordinal(df: DataFrame, name: str) -> Column:
     """An order-preserving double for a numeric, boolean or temporal column; NaN becomes null.
 
     Equal values stay equal and a larger value never gets a smaller double. Timestamps without
-    zone are counted in local microseconds, so the session time zone plays no part.
+    zone are counted in local seconds, so the session time zone plays no part.
     """
     kind, col = df.schema[name].dataType, F.col(name)
     if isinstance(kind, T.TimestampNTZType):
-        minutes = (F.datediff(col, F.lit("1970-01-01").cast("date")).cast("long") * 24 + F.hour(col)) * 60
-        seconds = (minutes + F.minute(col)) * 60
-        return (seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), col) * 1_000_000).cast("long")).cast("double")
+        since = col - F.lit("1970-01-01").cast(kind)
+        return since.cast("interval second").cast("decimal(18,6)").cast("double")
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(col).cast("double")
     if isinstance(kind, T.DateType):
@@ -54,17 +60,10 @@ def ordinal(df: DataFrame, name: str) -> Column:
     raise ValueError(f"column {name!r} of type {kind.simpleString()} has no numeric order")
 
 
-def from_ordinal(value: float, kind: T.DataType, up: bool) -> Column | None:
-    """A typed literal of an ordinal, rounded up or down to the type; None for other types."""
-    whole = math.ceil(value) if up else math.floor(value)
-    if isinstance(kind, T.TimestampNTZType):
-        return F.lit((EPOCH + dt.timedelta(microseconds=whole)).isoformat(" ")).cast(kind)
-    if isinstance(kind, T.TimestampType):
-        return F.timestamp_micros(F.lit(whole))
-    if isinstance(kind, T.DateType):
-        return F.date_from_unix_date(F.lit(whole))
+def bound(value: float, kind: T.DataType, up: bool) -> Column | None:
+    """A number as literal of a numeric type, rounded up or down to it; None for other types."""
     if isinstance(kind, (T.LongType, T.IntegerType)):
-        return F.lit(whole).cast(kind)
+        return F.lit(math.ceil(value) if up else math.floor(value)).cast(kind)
     return F.lit(value) if isinstance(kind, T.DoubleType) else None
 
 

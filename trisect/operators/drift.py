@@ -221,5 +221,6 @@ def split_report(
     assigned: DataFrame, columns: Sequence[str], reference: str = "train", current: str = "test", bins: int = BINS
 ) -> DataFrame:
     """Stability report between two subsets of an assigned table, train against test by default."""
-    subset = F.col("subset")
-    return stability_report(marked(assigned, subset == reference, columns, subset == current), columns, bins)
+    rows = assigned.where(F.col("subset").isin(reference, current))
+    both = rows.select(*columns, (F.col("subset") == reference).alias("is_ref"))
+    return stability_report(both, columns, bins)

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from trisect.functions.keys import join_groups, literal, row_hash
 from trisect.functions.stats import ratio
-from trisect.operators.ranking import add_buckets, at_positions, fit_buckets, order_by_value, running_totals
+from trisect.operators.ranking import (
+    VALUE_ORDER,
+    add_buckets,
+    at_positions,
+    fit_buckets,
+    order_by_value,
+    running_totals,
+    up_to,
+)
 from trisect.session import lookup
 
 # Fixed values
@@ -125,17 +133,20 @@ def score_deciles(df: DataFrame, label: str, score: Column, key: Sequence[str],
     ``decile`` (1 = highest), ``n``, ``positives``, ``min_score``, ``max_score``, ``rate``,
     ``lift``, ``gain`` (share of all positives up to this decile).
     """
-    falling = -score.cast("double")
-    rows = order_by_value(df, falling, row_hash(key))
+    rows = df.select(
+        *key, (-score.cast("double")).alias("_falling"), score.alias("score"), (F.col(label) == positive).alias("positive")
+    )
+    tie = row_hash(key)
     ends = {str(d): (lambda n, d=d: F.floor((n * d + DECILES - 1) / DECILES)) for d in range(1, DECILES)}
-    cuts = at_positions(rows, [], "_bucket", ["_at", "_tie"], ends)
-    place = F.struct(falling.alias("_at"), row_hash(key).alias("_tie"))
-    kinds = cuts.select(F.struct("_at", "_tie").alias("cut")).schema["cut"].dataType
+    cuts = at_positions(order_by_value(rows, "_falling", tie), [], "_bucket", VALUE_ORDER, ends)
     # Nine cut values at most.
+    cuts = cuts.select("label", F.struct(*VALUE_ORDER).alias("cut"))
     found = sorted(cuts.collect(), key=lambda r: int(r["label"]))
-    decile = F.lit(1) + sum((F.when(place > literal(r, kinds), 1).otherwise(0) for r in found), F.lit(0))
+    kind = cuts.schema["cut"].dataType
+    passed = [F.when(up_to(rows, "_falling", tie, literal(r["cut"], kind)), 0).otherwise(1) for r in found]
+    decile = sum(passed, F.lit(1))
     table = lookup(
-        df.select(decile.alias("decile"), score.alias("score"), (F.col(label) == positive).alias("positive"))
+        rows.select(decile.alias("decile"), "score", "positive")
         .groupBy("decile")
         .agg(
             F.count("*").alias("n"),

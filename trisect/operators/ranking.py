@@ -17,14 +17,16 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trisect.functions.keys import hash_prefix, join_groups, prefix_digits
+from trisect.functions.keys import hash_prefix, join_groups, ordinal, prefix_digits, present
 from trisect.session import lookup
 
 # Quantile buckets of a large table, and the even parts each may further be cut into.
 BUCKETS = 1024
 MOST_PARTS = 4096
-# Small tables get fewer buckets, large ones more, so that a bucket holds about this many rows.
+# Large tables get so many parts that a bucket holds at most about this many rows.
 BUCKET_ROWS = 1_000_000
+# Small tables make do with fewer buckets, of this many rows.
+SMALL_BUCKET_ROWS = 10_000
 MIN_BUCKETS = 64
 # Size parameter of the sketches: about 30 KB each, ranks right to about a tenth of a percent.
 SKETCH_SIZE = 2048
@@ -32,6 +34,8 @@ SKETCH_SIZE = 2048
 SKETCH_FAN = 64
 # Largest magnitude up to which every whole number is its own double.
 EXACT_DOUBLE = 2.0**53
+# Columns that order_by_value orders by.
+VALUE_ORDER = ("_missing", "_at", "_tie")
 # Hash digits by which the null values are spread.
 MISSING_DIGITS = 4
 
@@ -66,12 +70,12 @@ class Buckets:
         return interval * self.parts + F.least(F.coalesce(place, F.lit(0)), F.lit(self.parts - 1))
 
     def spread(self, bucket: Column, tie: Column) -> Column:
-        """Order-respecting sub-bucket by row hash for rows that share one value, 0 for others."""
+        """Order-respecting sub-bucket by row hash for rows that share one value, empty for others."""
         by_digits: dict[int, list[int]] = {MISSING_DIGITS: [self.missing * self.parts]}
         for interval, digits in self.single.items():
             by_digits.setdefault(digits, []).append(interval * self.parts)
         spread = [F.when(bucket.isin(*numbers), hash_prefix(tie, digits)) for digits, numbers in by_digits.items()]
-        return F.coalesce(*spread, F.lit(0))
+        return F.coalesce(*spread, F.lit(""))
 
 
 def fit_buckets(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> dict[str, Buckets]:
@@ -105,7 +109,7 @@ def _buckets(quantiles: Sequence[float], n: int) -> Buckets:
     A value met more than once in a row is frequent and gets an interval of its own.
     """
     step = 1
-    while (len(quantiles) - 1) // step > max(MIN_BUCKETS, n / BUCKET_ROWS):
+    while (len(quantiles) - 1) // step > max(MIN_BUCKETS, n / SMALL_BUCKET_ROWS):
         step *= 2
     thinned = quantiles[::step]
     parts = 1
@@ -214,19 +218,36 @@ def at_positions(
     )
 
 
-def order_by_value(df: DataFrame, value: Column, tie: Column, keep_columns: Sequence[str] = ()) -> DataFrame:
-    """Prepare rows for ranking by a double and, among equals, by a row hash; nulls come last.
+def order_by_value(df: DataFrame, name: str, tie: Column, keep_columns: Sequence[str] = ()) -> DataFrame:
+    """Prepare rows for ranking by a column and, among equals, by a row hash; null and NaN come last.
 
-    Adds ``_at``, ``_tie`` and ``_bucket``. A bucket that holds one frequent value, or the nulls,
-    is spread out by row hash, so that a value shared by many rows is not ranked in one task.
+    Adds ``_bucket`` and the columns to order by within it: ``_missing``, ``_at``, ``_tie``. A bucket
+    that holds one frequent value, or the missing ones, is spread out by row hash, so that a value
+    shared by many rows is not ranked in one task.
     """
-    rows = df.select(*keep_columns, value.alias("_at"), tie.alias("_tie"))
-    fitted = fit_buckets(rows, ["_at"])["_at"]
-    return add_buckets(rows, {"_at": fitted}, {"_at": "_part"}).select(
+    rows = df.select(
         *keep_columns,
-        F.coalesce("_at", F.lit(math.inf)).alias("_at"),
-        "_tie",
+        (~present(df, name)).alias("_missing"),
+        F.col(name).alias("_at"),
+        ordinal(df, name).alias("_ordinal"),
+        tie.alias("_tie"),
+    )
+    fitted = fit_buckets(rows, ["_ordinal"])["_ordinal"]
+    return add_buckets(rows, {"_ordinal": fitted}, {"_ordinal": "_part"}).select(
+        *keep_columns,
+        *VALUE_ORDER,
         F.struct(
             F.col("_part").alias("part"), fitted.spread(F.col("_part"), F.col("_tie")).alias("spread")
         ).alias("_bucket"),
     )
+
+
+def up_to(df: DataFrame, name: str, tie: Column, cut: Column) -> Column:
+    """Whether a row stands at or before a cut, a struct of the VALUE_ORDER columns.
+
+    The hash is only computed for rows level with the cut.
+    """
+    missing, at = ~present(df, name), F.col(name)
+    level = F.when(cut["_missing"], missing).otherwise(~missing & (at == cut["_at"]))
+    before = ~missing & (cut["_missing"] | (at < cut["_at"]))
+    return before | (level & (tie <= cut["_tie"]))

@@ -16,9 +16,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trisect.functions.keys import SEED, from_ordinal, hash_prefix, join_groups, ordinal, prefix_digits, row_hash
+from trisect.functions.keys import (
+    SEED,
+    bound,
+    hash_number,
+    hash_prefix,
+    join_groups,
+    literal,
+    ordinal,
+    prefix_digits,
+    present,
+    row_hash,
+)
 from trisect.operators.quantiles import long_quantiles
-from trisect.operators.ranking import add_buckets, at_positions, fit_buckets, order_by_value, running_totals
+from trisect.operators.ranking import (
+    VALUE_ORDER,
+    add_buckets,
+    at_positions,
+    fit_buckets,
+    order_by_value,
+    running_totals,
+    up_to,
+)
 from trisect.session import BROADCAST_ROWS, keep, lookup
 
 # Fixed values
@@ -134,9 +153,7 @@ class FittedSplit:
         # A missing cut (a share of no rows) has nothing before it.
         if self.spec.method == "random":
             return F.when(tie <= first, "backtest").when(tie <= second, "test").otherwise("train")
-        at = F.coalesce(ordinal(df, self.spec.time), F.lit(math.inf))
-        # Spelled out, so that the hash is only computed for rows level with a cut.
-        until = lambda cut: (at < cut["_at"]) | ((at == cut["_at"]) & (tie <= cut["_tie"]))
+        until = lambda cut: up_to(df, self.spec.time, tie, cut)
         return F.when(until(first), "train").when(until(second), "test").otherwise("backtest")
 
     def parts(self, df: DataFrame) -> Parts:
@@ -160,16 +177,19 @@ class FittedSplit:
             first, second = (F.lit(cut).cast(kind) for cut in (self.spec.train, self.spec.test))
             return {"train": col <= first, "test": (col > first) & (col <= second), "backtest": col > second}
         row = self.cuts.first()
-        at = [row and row[c] if self.spec.method == "metric" else row and row[c] and row[c]["_at"] for c in ("first", "second")]
-        if any(v is None or not math.isfinite(v) for v in at):
+        if row is None or row["first"] is None or row["second"] is None:
             return None
-        low, high = ([from_ordinal(v, kind, up) for v in at] for up in (True, False))
-        if any(v is None for v in (*low, *high)):
+        if self.spec.method == "metric":
+            (low1, high1), (low2, high2) = [[bound(row[c], kind, up) for up in (True, False)] for c in ("first", "second")]
+        else:
+            low1, low2 = [None if row[c]["_missing"] else literal(row[c]["_at"], kind) for c in ("first", "second")]
+            high1, high2 = low1, low2
+        if low1 is None or low2 is None:
             return None
         return {
-            "train": col <= high[0],
-            "test": (col >= low[0]) & (col <= high[1]),
-            "backtest": (col >= low[1]) | col.isNull(),
+            "train": col <= high1,
+            "test": (col >= low1) & (col <= high2),
+            "backtest": (col >= low2) | ~present(df, name),
         }
 
 
@@ -197,13 +217,13 @@ def _first_and_second(found: DataFrame, by: Sequence[str], which: Column, names:
 
 def _fit_time(df: DataFrame, spec: SplitSpec) -> DataFrame:
     """Chronological cuts by shares; equal times are ordered by row hash, null times come last."""
-    rows = order_by_value(df, ordinal(df, spec.time), row_hash(spec.key, spec.seed), spec.by)
+    rows = order_by_value(df, spec.time, row_hash(spec.key, spec.seed), spec.by)
     positions = {
         "first": lambda n: F.floor(F.lit(float(spec.train)) * n),
         "second": lambda n: F.floor(F.lit(float(spec.train + spec.test)) * n),
     }
-    found = at_positions(rows, spec.by, "_bucket", ["_at", "_tie"], positions)
-    return _first_and_second(found, spec.by, F.col("label"), list(positions), F.struct("_at", "_tie"))
+    found = at_positions(rows, spec.by, "_bucket", VALUE_ORDER, positions)
+    return _first_and_second(found, spec.by, F.col("label"), list(positions), F.struct(*VALUE_ORDER))
 
 
 def _fit_metric(df: DataFrame, spec: SplitSpec) -> DataFrame:
@@ -298,7 +318,7 @@ def random_split_by_hash(df: DataFrame, key: Sequence[str], spec_sizes=SIZES, se
     Sizes differ from the shares by sampling noise; no shuffle takes place.
     """
     train, test, _ = spec_sizes
-    place = F.conv(F.substring(row_hash(key, seed), 1, 8), 16, 10).cast("long")
+    place = hash_number(row_hash(key, seed))
     first, second = (int(share * 16**8) for share in (train, train + test))
     return df.withColumn(
         "subset", F.when(place < first, "train").when(place < second, "test").otherwise("backtest")
@@ -310,8 +330,8 @@ def add_blocks(df: DataFrame, order: str, key: Sequence[str], block_rows: int, n
 
     Every row needs its own rank here, so the table is shuffled once, by order bucket.
     """
-    rows = order_by_value(df, ordinal(df, order), row_hash(key), df.columns).withColumn("_one", F.lit(1))
-    ranked = running_totals(rows, [], "_bucket", [F.col("_at"), F.col("_tie")], ["_one"])
+    rows = order_by_value(df, order, row_hash(key), df.columns).withColumn("_one", F.lit(1))
+    ranked = running_totals(rows, [], "_bucket", [F.col(c) for c in VALUE_ORDER], ["_one"])
     return ranked.select(*df.columns, F.floor(F.col("_one_before") / block_rows).cast("long").alias(name))
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from trisect.functions.keys import SEED, hash_prefix, row_hash
+from trisect.functions.keys import SEED, hash_number, row_hash
 from trisect.operators.checks import check_not_empty, check_target_exists, target_nulls
 from trisect.operators.metrics import (
     accuracy,
@@ -331,7 +331,7 @@ def search_hyperparams(
     prepare = Pipeline(stages=[*feature_stages(train, features), label_stage(label)]).fit(train)
     labels = prepare.stages[-1].labels
     rows = prepare.transform(
-        train.withColumn("_fold", F.pmod(hash_prefix(row_hash(key)), F.lit(folds)))
+        train.withColumn("_fold", (hash_number(row_hash(key)) % folds).cast("int"))
     ).select(FEATURES, LABEL, "_fold").persist(StorageLevel.MEMORY_AND_DISK)
     estimator = estimator.copy({estimator.labelCol: LABEL, estimator.featuresCol: FEATURES})
     builder = ParamGridBuilder()
