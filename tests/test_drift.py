@@ -143,3 +143,12 @@ def test_periods_without_some_bins(spark):
     assert found[0]["psi"] == 0
     direct = psi(marked(df, F.col("t") < "2024-02-01", ["x"]), ["x"]).first()["psi"]
     assert found[1]["psi"] == pytest.approx(direct)
+
+
+def test_sides_and_columns_without_values(spark):
+    rows = [(1.0, None, True), (2.0, None, True), (None, None, False)]
+    both = spark.createDataFrame(rows, "x double, gone double, is_ref boolean")
+    found = {r["column"]: r for r in stability_report(both, ["x", "gone"]).collect()}
+    assert set(found) == {"x", "gone"}
+    for row in found.values():
+        assert all(row[c] is None for c in ("psi", "js_divergence", "ks_stat", "ks_pvalue", "mean_diff"))

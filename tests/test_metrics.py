@@ -100,3 +100,9 @@ def test_deciles(spark, tiny_buckets, n):
 def test_calibration(spark):
     found = calibration_bins(spark.createDataFrame([(1, 1.0), (0, 0.0), (1, 0.05)], "y int, s double"), "y", F.col("s"))
     assert {r["bin"]: (r["n"], r["rate"]) for r in found.collect()} == {9: (1, 1.0), 0: (2, 0.5)}
+
+
+def test_deciles_without_positives(spark):
+    df = spark.createDataFrame([(i, 0, i / 20) for i in range(20)], "k int, y int, s double")
+    found = score_deciles(df, "y", F.col("s"), ["k"]).toPandas()
+    assert found["n"].tolist() == [2] * 10 and found["lift"].isna().all() and (found["rate"] == 0).all()

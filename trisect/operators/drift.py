@@ -18,8 +18,9 @@ from trisect.operators.quantiles import bucketed_long, edge_bin, edge_lists, edg
 from trisect.operators.ranking import Buckets
 from trisect.session import lookup
 
-# Fixed value
+# Fixed values
 BINS = 10
+STATISTICS = ("psi", "js_divergence", "ks_stat", "ks_pvalue", "mean_diff", "var_diff")
 
 Edges = dict[str, list[float]]
 
@@ -56,7 +57,7 @@ class _Prepared:
 
     def edges(self, bins: int) -> Edges:
         reference = self.long.where("is_ref").drop("is_ref")
-        return edge_lists(long_quantiles(reference, ["column"], edge_probabilities(bins)))
+        return edge_lists(long_quantiles(reference, ["column"], edge_probabilities(bins)), self.columns)
 
 
 def reference_edges(both: DataFrame, columns: Sequence[str], bins: int = BINS) -> Edges:
@@ -150,7 +151,7 @@ def ks(both: DataFrame, columns: Sequence[str], prepared: _Prepared | None = Non
     counts = prepared.long.groupBy("column", "bucket").agg(*sides)
     so_far = Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     column = Window.partitionBy("column")
-    share = lambda part, whole: F.col(part).cast("double") / F.col(whole)
+    share = lambda part, whole: ratio(F.col(part), F.col(whole))
     ends = lookup(
         counts.withColumns({
             "ref_end": F.sum("ref").over(so_far),
@@ -178,8 +179,7 @@ def ks(both: DataFrame, columns: Sequence[str], prepared: _Prepared | None = Non
     inside = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     running = values.select(*keys, F.sum("ref").over(inside).alias("ref"), F.sum("cur").over(inside).alias("cur"))
     looked_into = join_groups(running, open_buckets, keys).select("column", F.abs(
-        (F.col("ref_start") + F.col("ref")).cast("double") / F.col("n_ref")
-        - (F.col("cur_start") + F.col("cur")).cast("double") / F.col("n_cur")
+        ratio(F.col("ref_start") + F.col("ref"), F.col("n_ref")) - ratio(F.col("cur_start") + F.col("cur"), F.col("n_cur"))
     ).alias("distance"))
     at_ends = ends.select("column", F.col("known").alias("distance"))
     stat = at_ends.unionByName(looked_into).groupBy("column").agg(F.max("distance").alias("ks_stat"))
@@ -206,15 +206,16 @@ def mean_var_diff(both: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def stability_report(both: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
-    """All statistics: ``column, psi, js_divergence, ks_stat, ks_pvalue, mean_diff, var_diff``."""
+    """All statistics, one row per column; what cannot be computed for lack of values is null."""
     prepared = _Prepared(both, columns)
     counts = histogram_by_edges(both, prepared.edges(bins))
     tables = [
+        mean_var_diff(both, columns),
         divergences(counts),
         ks(both, columns, prepared).select("column", "ks_stat", "ks_pvalue"),
-        mean_var_diff(both, columns),
     ]
-    return reduce(lambda a, b: a.join(b, "column", "left"), tables)
+    joined = reduce(lambda a, b: a.join(b, "column", "left"), tables)
+    return joined.select("column", *STATISTICS)
 
 
 def split_report(

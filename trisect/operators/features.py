@@ -74,7 +74,7 @@ def information_value(df: DataFrame, columns: Sequence[str], target: str, bins:
     The same sum as the stability index, between the positive and the negative rows, on
     equal-frequency edges of all rows.
     """
-    edges = edge_lists(quantiles(df, columns, edge_probabilities(bins)))
+    edges = edge_lists(quantiles(df, columns, edge_probabilities(bins)), columns)
     sides = df.withColumn("is_ref", F.col(target) == positive).where("is_ref IS NOT NULL")
     counts = histogram_by_edges(sides.select(*columns, "is_ref"), edges)
     return divergences(counts).select("column", F.col("psi").alias("information_value"))

@@ -161,7 +161,7 @@ def score_deciles(df: DataFrame, label: str, score: Column, key: Sequence[str],
     return ranked.select(
         "decile", "n", "positives", "min_score", "max_score",
         rate.alias("rate"),
-        (rate / ratio(F.col("all_positives"), F.col("all_n"))).alias("lift"),
+        ratio(rate, ratio(F.col("all_positives"), F.col("all_n"))).alias("lift"),
         ratio(F.col("positives_before") + F.col("positives"), F.col("all_positives")).alias("gain"),
     )
 

@@ -64,10 +64,14 @@ def edge_probabilities(bins: int) -> list[float]:
     return [i / bins for i in range(bins + 1)]
 
 
-def edge_lists(edges: DataFrame) -> dict[str, list[float]]:
-    """Bring the quantiles of whole columns to the driver: one short list per column."""
+def edge_lists(edges: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
+    """Bring the quantiles of whole columns to the driver: one short list per column.
+
+    A column without values has an empty list.
+    """
     rows = edges.groupBy("column").agg(F.array_sort(F.collect_list(F.struct("i", "quantile"))).alias("e")).collect()
-    return {row["column"]: [e["quantile"] for e in row["e"]] for row in rows}
+    found = {row["column"]: [e["quantile"] for e in row["e"]] for row in rows}
+    return {c: found.get(c, []) for c in columns}
 
 
 def edge_bin(value: Column, edges: Sequence[float], open_ends: bool = False) -> Column:
@@ -75,8 +79,9 @@ def edge_bin(value: Column, edges: Sequence[float], open_ends: bool = False) ->
 
     Values outside the edges give null, or with ``open_ends`` the first or last bin.
     """
-    last = len(edges) - 2
+    if not edges:
+        return F.lit(None).cast("int")
     reached = sum(((value >= e).cast("int") for e in edges[1:-1]), F.lit(0))
     if open_ends:
         return F.when(value.isNotNull(), reached)
-    return F.when(value.between(edges[0], edges[-1]), reached if last else F.lit(0))
+    return F.when(value.between(edges[0], edges[-1]), reached)

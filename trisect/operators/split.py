@@ -53,7 +53,8 @@ REMAINDER_BUCKETS = 1024
 class SplitSpec:
     """What to split by. Sizes are shares; for ``time``, train and test may be cut points instead.
 
-    ``key`` names the columns that identify a row: they break ties and seed the random order.
+    ``key`` names the columns that identify a row: they break ties and seed the random order. Rows
+    that share a key stay together, so sizes are met exactly only if the key is unique.
     ``by`` splits every group of these columns on its own.
     """
 

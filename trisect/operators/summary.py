@@ -151,7 +151,7 @@ def target_by_bin(df: DataFrame, columns: Sequence[str], target: str, bins: int
     """Target mean per equal-frequency bin of each feature: ``column, bin, n, low, high, target_mean``."""
     names = list(dict.fromkeys(columns))
     long, _ = bucketed_long(df, names)
-    edges = edge_lists(long_quantiles(long, ["column"], edge_probabilities(bins)))
+    edges = edge_lists(long_quantiles(long, ["column"], edge_probabilities(bins)), names)
     values = F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), ordinal(df, c).alias("value"), edge_bin(ordinal(df, c), e).alias("bin"))
         for c, e in edges.items()

@@ -146,6 +146,16 @@ def label_stage(label: str) -> StringIndexer:
     return StringIndexer(inputCol=label, outputCol=LABEL, stringOrderType="alphabetAsc")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over at least as many partitions as there are cores; larger tables stay as they are.
+
+    Every iteration of a fit passes over the table, so a small one in few files would leave most
+    cores idle many times.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def class_scores(scored: DataFrame, n_classes: int) -> dict[object, Column]:
     """One score column per class: probabilities, or raw scores where a model has none."""
     source = "probability" if "probability" in scored.columns else "rawPrediction"
@@ -241,7 +251,8 @@ def search_models(
     metric = metric or ("roc_auc" if n_classes == 2 else "roc_auc_ovr")
     # Both tables are read once per iteration of every fit.
     sets = [
-        prepared.transform(df).select(FEATURES, LABEL).persist(StorageLevel.MEMORY_AND_DISK) for df in (train, valid)
+        spread(prepared.transform(df).select(FEATURES, LABEL)).persist(StorageLevel.MEMORY_AND_DISK)
+        for df in (train, valid)
     ]
     try:
         n_features = len(sets[0].first()[FEATURES])
@@ -330,9 +341,8 @@ def search_hyperparams(
     """
     prepare = Pipeline(stages=[*feature_stages(train, features), label_stage(label)]).fit(train)
     labels = prepare.stages[-1].labels
-    rows = prepare.transform(
-        train.withColumn("_fold", (hash_number(row_hash(key)) % folds).cast("int"))
-    ).select(FEATURES, LABEL, "_fold").persist(StorageLevel.MEMORY_AND_DISK)
+    folded = train.withColumn("_fold", (hash_number(row_hash(key)) % folds).cast("int"))
+    rows = spread(prepare.transform(folded).select(FEATURES, LABEL, "_fold")).persist(StorageLevel.MEMORY_AND_DISK)
     estimator = estimator.copy({estimator.labelCol: LABEL, estimator.featuresCol: FEATURES})
     builder = ParamGridBuilder()
     for name, values in grid.items():
@@ -357,8 +367,9 @@ def search_hyperparams(
 def fit_final(train: DataFrame, features: Sequence[str], label: str, estimator: Estimator) -> tuple[PipelineModel, list[str]]:
     """Refit features and model on the whole training table: the pipeline and its labels."""
     estimator = estimator.copy({estimator.labelCol: LABEL, estimator.featuresCol: FEATURES})
-    fitted = Pipeline(stages=[label_stage(label), *feature_stages(train, features), estimator]).fit(train)
-    return PipelineModel(fitted.stages[1:]), list(fitted.stages[0].labels)
+    prepared = Pipeline(stages=[*feature_stages(train, features), label_stage(label)]).fit(train)
+    fitted = estimator.fit(spread(prepared.transform(train).select(FEATURES, LABEL)))
+    return PipelineModel([*prepared.stages[:-1], fitted]), list(prepared.stages[-1].labels)
 
 
 def guard_targets(tables: dict[str, DataFrame], target: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trisect.functions.keys import ordinal
+from trisect.functions.keys import ordinal, present
 from trisect.operators.drift import Edges, divergences
 from trisect.operators.quantiles import edge_bin
 
@@ -17,7 +17,7 @@ def windowed_bin_counts(stream: DataFrame, time: str, window: str, lateness: str
     rows later than ``lateness`` are left to the batch report.
     """
     values = F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), edge_bin(ordinal(stream, c), e).alias("bin"), F.col(c).isNotNull().alias("there"))
+        F.struct(F.lit(c).alias("column"), edge_bin(ordinal(stream, c), e).alias("bin"), present(stream, c).alias("there"))
         for c, e in edges.items()
     ]))
     return (
