@@ -185,3 +185,21 @@ def test_a_fitted_split_assigns_new_rows(spark):
     fitted = fit_split(df, SplitSpec("metric", metric="x"))
     new = spark.createDataFrame([(-5.0,), (65.0,), (1e9,)], "x double")
     assert [r["subset"] for r in fitted.assign(new).collect()] == ["train", "test", "backtest"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_the_session_time_zone_does_not_move_the_cuts(spark, zone, kind):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        hours = F.expr("timestamp'2024-03-08' + make_interval(0, 0, 0, 0, CAST(id AS INT))").cast(kind)
+        df = spark.range(100).select("id", hours.alias("t"))
+        fitted = fit_split(df, SplitSpec("time", time="t", key=("id",), train=0.5, test=0.3))
+        assert sizes(fitted.assign(df)) == {("train",): 50, ("test",): 30, ("backtest",): 20}
+        assert fitted.parts(df).test.count() == 30
+        if kind == "timestamp_ntz":
+            cuts = SplitSpec("time", time="t", train=dt.datetime(2024, 3, 8, 9), test="2024-03-08 19:00:00")
+            assert sizes(split(df, cuts)) == {("train",): 10, ("test",): 10, ("backtest",): 80}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

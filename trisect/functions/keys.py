@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections.abc import Sequence
 
@@ -75,9 +76,14 @@ def present(df: DataFrame, name: str) -> Column:
 
 
 def literal(value, kind: T.DataType) -> Column:
-    """A typed literal of a collected value, structs included."""
+    """A typed literal of a Python value, structs included.
+
+    A datetime for a column without zone is taken as written, whatever the session time zone.
+    """
     if value is not None and isinstance(kind, T.StructType):
         return F.struct(*[literal(value[f.name], f.dataType).alias(f.name) for f in kind])
+    if isinstance(value, dt.datetime) and isinstance(kind, T.TimestampNTZType):
+        return F.lit(value.isoformat(" ")).cast(kind)
     return F.lit(value).cast(kind)
 
 

@@ -140,7 +140,7 @@ class FittedSplit:
         """Add ``subset`` by comparing each row with the cuts of its group."""
         if self.cuts is None:
             kind = df.schema[self.spec.time].dataType
-            first, second = (F.lit(cut).cast(kind) for cut in (self.spec.train, self.spec.test))
+            first, second = (literal(cut, kind) for cut in (self.spec.train, self.spec.test))
             return df.withColumn("subset", _between_cuts(F.col(self.spec.time), first, second))
         table = self.cuts.withColumnsRenamed({"first": "_first", "second": "_second"})
         joined = join_groups(df, table, self.by, "left")
@@ -175,7 +175,7 @@ class FittedSplit:
             return None
         col, kind = F.col(name), df.schema[name].dataType
         if self.cuts is None:
-            first, second = (F.lit(cut).cast(kind) for cut in (self.spec.train, self.spec.test))
+            first, second = (literal(cut, kind) for cut in (self.spec.train, self.spec.test))
             return {"train": col <= first, "test": (col > first) & (col <= second), "backtest": col > second}
         row = self.cuts.first()
         if row is None or row["first"] is None or row["second"] is None:

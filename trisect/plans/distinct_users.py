@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trisect.functions.keys import literal
+
 
 def monthly_distinct(
     df: DataFrame, time: str, key: Sequence[str], start=None, end: Column | str | None = None
@@ -19,8 +21,8 @@ def monthly_distinct(
     if start is not None:
         kind = df.schema[time].dataType
         last = F.current_date() if end is None else end
-        last = last if isinstance(last, Column) else F.lit(last)
-        df = df.where(F.col(time).between(F.lit(start).cast(kind), last.cast(kind)))
+        last = last.cast(kind) if isinstance(last, Column) else literal(last, kind)
+        df = df.where(F.col(time).between(literal(start, kind), last))
     month = F.date_trunc("month", time).cast(df.schema[time].dataType).alias("month")
     return (
         df.groupBy(month)
