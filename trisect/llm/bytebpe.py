@@ -19,7 +19,7 @@ NO_MERGE = np.int32(2**31 - 1)
 # Words longer than this are merged one by one with a heap, which is not quadratic.
 LONG_WORD = 96
 # Distinct pieces remembered by one task; beyond it the memory is emptied, results stay the same.
-MOST_REMEMBERED = 600_000
+MOST_REMEMBERED = 250_000
 
 # Pieces of these characters need no library call: composed, lower-cased one to one, no white space.
 PLAIN = regex.compile(r"[\x21-\x7e¡-įı-ɏ]*")

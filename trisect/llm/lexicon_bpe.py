@@ -23,7 +23,7 @@ from trisect.llm.bytebpe import PieceEncoder, Runs, blocks, gather, vocabulary
 from trisect.llm.tables import local_file, shared_file, stored, texts_of, with_columns
 
 # Distinct pieces a counting task holds before it passes its counts on.
-MOST_COUNTED = 500_000
+MOST_COUNTED = 200_000
 
 
 class Transducer:
@@ -196,35 +196,50 @@ def _encoder(tokenizer: str, lexicon: str) -> PieceEncoder:
     return PieceEncoder(vocab, words_to_ids)
 
 
+def _encoded(encoder: PieceEncoder, texts: list[str]) -> list[bytes]:
+    ids = []
+    for run in blocks(texts):
+        flat, at = encoder.encode(run)
+        raw = flat.astype("<u4").tobytes()
+        ids += [raw[4 * a : 4 * b] for a, b in zip(at[:-1], at[1:], strict=True)]
+    return ids
+
+
 def encode(documents: DataFrame, tokenizer: str, lexicon: str, text: str = "text") -> DataFrame:
     """Add ``token_ids``: the ids of each text as little-endian unsigned 32-bit integers."""
 
     def make():
         encoder = _encoder(tokenizer, lexicon)
+        return lambda batch: [_encoded(encoder, texts_of(batch, text))]
 
-        def columns(batch):
-            ids = []
-            for run in blocks(texts_of(batch, text)):
-                flat, at = encoder.encode(run)
-                raw = flat.astype("<u4").tobytes()
-                ids += [raw[4 * a : 4 * b] for a, b in zip(at[:-1], at[1:], strict=True)]
-            return [ids]
+    return with_columns(documents, "token_ids binary", make)
 
-        return columns
 
-    return with_columns(documents, "token_ids binary", make)
+def decoded_text(raw: bytes, names: list[str]) -> str:
+    """The token strings of the ids with a space between, as the vocabulary has no decoder."""
+    return " ".join(map(names.__getitem__, np.frombuffer(raw, "<u4").tolist()))
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "token_ids") -> DataFrame:
-    """Add ``decoded``: the token strings of the ids with a space between, as the vocabulary has no decoder."""
+    """Add ``decoded``: the text that the ids stand for."""
 
     def make():
         names = vocabulary(tokenizer).tokens
+        return lambda batch: [[decoded_text(raw or b"", names) for raw in batch.column(ids).to_pylist()]]
+
+    return with_columns(encoded, "decoded string", make)
+
+
+def round_trip(documents: DataFrame, tokenizer: str, lexicon: str, text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass, so that the ids go through one Python worker and not two."""
+
+    def make():
+        encoder, names = _encoder(tokenizer, lexicon), vocabulary(tokenizer).tokens
 
         def columns(batch):
-            raw = (value or b"" for value in batch.column(ids).to_pylist())
-            return [[" ".join(map(names.__getitem__, np.frombuffer(r, "<u4").tolist())) for r in raw]]
+            ids = _encoded(encoder, texts_of(batch, text))
+            return [ids, [decoded_text(raw, names) for raw in ids]]
 
         return columns
 
-    return with_columns(encoded, "decoded string", make)
+    return with_columns(documents, "token_ids binary, decoded string", make)

@@ -62,8 +62,7 @@ def op7_bpe_transducer(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents").select("doc_id", "text")
     tokenizer = word_tokenizer()
     lexicon = lexicon_bpe.build_lexicon(documents, tokenizer)
-    encoded = lexicon_bpe.encode(documents, tokenizer, lexicon).drop("text")
-    return lexicon_bpe.decode(encoded, tokenizer).select(
+    return lexicon_bpe.round_trip(documents, tokenizer, lexicon).select(
         "doc_id",
         F.floor(F.length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),
