@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trisect.llm import chat_format, lexicon_bpe, packing, quality_mil, rule_ledger, toxicity_cnn
+from trisect.llm import chat_format, lattice_dedup, lexicon_bpe, packing, quality_mil, rule_ledger, toxicity_cnn
 from trisect.llm.hashed_words import held_out_column
 from trisect.llm.tables import importable, read
 
@@ -96,3 +96,9 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 def op10_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document packed into sequences of 2048 tokens."""
     return packing.pack(read(spark, folder, "documents"), word_tokenizer())
+
+
+@query
+def op2_lattice_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links, component and verdict of every vector."""
+    return lattice_dedup.near_duplicates(read(spark, folder, "embeddings"))
