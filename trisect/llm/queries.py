@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trisect.llm import chat_format, lattice_dedup, lexicon_bpe, packing, quality_mil, rule_ledger, toxicity_cnn
+from trisect.llm import chat_format, lattice_dedup, lexicon_bpe, packing, quality_mil, rule_ledger, toxicity_cnn, weighted_minhash
 from trisect.llm.hashed_words import held_out_column
 from trisect.llm.tables import importable, read
 
@@ -45,6 +45,12 @@ def op3_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
 ORACLE["op3_rule_ledger"] = rule_ledger.ORACLE
 
 
+@query
+def op4_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Group, group size and verdict of every document."""
+    return weighted_minhash.near_duplicates(read(spark, folder, "documents"))
+
+
 @query
 def op6_toxicity_cnn(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document; learned from labels whose remainder modulo 4 is not 2."""
