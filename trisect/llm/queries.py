@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trisect.llm import chat_format, lattice_dedup, lexicon_bpe, packing, quality_mil, rule_ledger, toxicity_cnn, weighted_minhash
+from trisect.llm import chat_format, lattice_dedup, lexicon_bpe, packing, quality_mil, rule_ledger, secret_forest, toxicity_cnn, weighted_minhash
 from trisect.llm.hashed_words import held_out_column
 from trisect.llm.tables import importable, read
 
@@ -51,6 +51,19 @@ def op4_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return weighted_minhash.near_duplicates(read(spark, folder, "documents"))
 
 
+@query
+def op5_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every candidate in every document: its place, a digest of it, the forest's votes and the verdict."""
+    documents = read(spark, folder, "documents").select("doc_id", "text", "source")
+    forest = secret_forest.fit(documents)
+    found = secret_forest.scan(documents, forest).select("doc_id", F.explode("findings").alias("f"))
+    return found.select(
+        "doc_id", F.col("f.start").cast("long").alias("start"), F.col("f.length").cast("long").alias("length"),
+        F.sha2(F.col("f.value").cast("binary"), 256).alias("value_sha256"), F.col("f.score").alias("score"),
+        F.col("f.is_secret").alias("is_secret"),
+    )
+
+
 @query
 def op6_toxicity_cnn(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document; learned from labels whose remainder modulo 4 is not 2."""
