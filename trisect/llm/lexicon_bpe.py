@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trisect.llm.bytebpe import PieceEncoder, Runs, blocks, gather, vocabulary
-from trisect.llm.tables import local_file, shared_file, stored, texts_of, with_columns
+from trisect.llm.tables import local_file, most_frequent, shared_file, stored, texts_of, with_columns
 
 # Distinct pieces a counting task holds before it passes its counts on.
 MOST_COUNTED = 200_000
@@ -166,15 +166,7 @@ def build_lexicon(
     frequency that keeps within the bound. The driver sees these words only.
     """
     counts = stored(word_counts(documents, tokenizer, text).where(F.col("n") >= min_count), "word-counts")
-    level = F.floor(F.log2("n") * 64)
-    levels = counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
-    room, lowest = most_words, None
-    for row in levels:
-        room -= row["count"]
-        if room < 0:
-            break
-        lowest = row["level"]
-    chosen = [] if lowest is None else counts.where(level >= lowest).select("word").toArrow().column(0).to_pylist()
+    chosen = most_frequent(counts, "n", most_words).select("word").toArrow().column(0).to_pylist()
     words = sorted(chosen)
     return shared_file(documents.sparkSession, compile_words(words, vocabulary(tokenizer).merge(words)), "lexicon")
 

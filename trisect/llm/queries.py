@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trisect.llm import chat_format, lattice_dedup, lexicon_bpe, packing, quality_mil, rule_ledger, secret_forest, toxicity_cnn, weighted_minhash
+from trisect.llm import chat_format, context_mixing, lattice_dedup, lexicon_bpe, packing, quality_mil, rule_ledger, secret_forest, toxicity_cnn, weighted_minhash
 from trisect.llm.hashed_words import held_out_column
 from trisect.llm.tables import importable, read
 
@@ -32,6 +32,12 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and model score of every document; learned from ids whose remainder modulo 7 is not 2."""
+    return context_mixing.score(read(spark, folder, "documents"), held_out_column(7, 2))
+
+
 @query
 def op3_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements of every document, the base verdict and that of the current policy."""

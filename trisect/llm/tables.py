@@ -99,3 +99,15 @@ def shared_file(spark: SparkSession, content: bytes, name: str) -> str:
 def local_file(name: str) -> str:
     """Where this executor has a shared file."""
     return SparkFiles.get(name)
+
+
+def most_frequent(counts: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows of the largest counts, down to a level of frequency that keeps within ``most`` rows."""
+    level = F.floor(F.log2(count) * 64)
+    room, lowest = most, None
+    for row in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        lowest = row["level"]
+    return counts.where(F.lit(False) if lowest is None else level >= lowest)
