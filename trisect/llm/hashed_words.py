@@ -105,6 +105,12 @@ def held_out_column(divisor: int, remainder: int) -> Column:
     return id_remainder("doc_id", divisor) == remainder
 
 
+def constant_logit(sample: list) -> float:
+    """The logit of a score for samples of one class or none: the share of label 1, as good as 0 without labels."""
+    share = np.clip(np.mean([row["label"] for row in sample]) if sample else 0.0, 1e-6, 1 - 1e-6)
+    return float(np.log(share / (1 - share)))
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 

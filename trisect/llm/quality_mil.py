@@ -7,8 +7,8 @@ is set aside to calibrate the score.
 
 The score of a text depends on nothing but the text. A null or empty text is one passage of one empty word. Very long
 texts are read whole; their passages are many, their memory is that of their words. Equal rows get equal results; an
-empty table gives an empty table. Columns named like an output are replaced. Without two classes in the sample
-it raises ValueError.
+empty table gives an empty table. Columns named like an output are replaced. Where the sample lacks a class,
+all texts get its share of label 1 as their score.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from trisect.llm.bytebpe import blocks
 from trisect.llm.hashed_words import (
-    SLOTS, Adam, WordNumbers, best_threshold, calibrate, means, row_sums, sigmoid, split_words, training_sample,
+    SLOTS, Adam, WordNumbers, best_threshold, calibrate, constant_logit, means, row_sums, sigmoid, split_words, training_sample,
     word_features,
 )
 from trisect.llm.tables import texts_of, with_columns
@@ -129,9 +129,10 @@ def passage_shapes(shapes: np.ndarray, words: np.ndarray, starts: np.ndarray) ->
 
 def train(sample: list, epochs: int = 6, batch: int = 32, rate: float = 0.004, seed: int = 11) -> QualityModel:
     """Fit on rows with text, label and weight. Every fifth row calibrates."""
-    if len({row["label"] for row in sample}) < 2:
-        raise ValueError("the sample needs both labels")
     model, rng = QualityModel(seed), np.random.default_rng(seed)
+    if len({row["label"] for row in sample}) < 2:
+        model.p["out"][:], model.base = 0, constant_logit(sample)
+        return model
     fit = [r for i, r in enumerate(sample) if i % 5] or sample
     numbers = WordNumbers()
     cuts = [cut([r["text"]], numbers)[:2] for r in fit]

@@ -129,8 +129,10 @@ def passes(policy: str = CURRENT) -> Column:
 
 
 def keep_passing(documents: DataFrame, policy: str = CURRENT, text: str = "text") -> DataFrame:
-    """The documents that pass, with their own columns only."""
-    return ledger(documents, text).where(passes(policy)).select(*documents.columns)
+    """The documents that pass, with their own columns, also where they are named like an output."""
+    names = [f"_{i}" for i in range(len(documents.columns))]
+    by_name = dict(zip(documents.columns, names, strict=True))
+    return ledger(documents.toDF(*names), by_name[text]).where(passes(policy)).select(*names).toDF(*documents.columns)
 
 
 def ablations(table: DataFrame, policy: str = CURRENT) -> DataFrame:

@@ -7,7 +7,8 @@ The language is used for the decision alone, never for the score.
 
 The score of a text depends on nothing but the text. A null or empty text is one empty word and gets the score
 that the model gives to it. Very long texts are read whole. Equal rows get equal results; an empty table gives
-an empty table. Columns named like an output are replaced. Without two classes in the sample it raises ValueError.
+an empty table. Columns named like an output are replaced. Where the sample lacks a class, all texts
+get its share of label 1 as their score.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from trisect.llm.bytebpe import blocks
 from trisect.llm.hashed_words import (
-    SLOTS, Adam, WordNumbers, best_threshold, calibrate, means, row_sums, sigmoid, split_words, training_sample,
+    SLOTS, Adam, WordNumbers, best_threshold, calibrate, constant_logit, means, row_sums, sigmoid, split_words, training_sample,
     word_features,
 )
 from trisect.llm.tables import texts_of, with_columns
@@ -101,9 +102,10 @@ def _numbered(texts: list[str], numbers: WordNumbers, pad: int) -> tuple[np.ndar
 
 def train(sample: list, epochs: int = 8, batch: int = 48, rate: float = 0.004, seed: int = 7) -> ToxicityModel:
     """Fit on rows with text, lang, label, weight. Every fifth row calibrates and chooses thresholds."""
-    if len({row["label"] for row in sample}) < 2:
-        raise ValueError("the sample needs both labels")
     model, rng = ToxicityModel(seed), np.random.default_rng(seed)
+    if len({row["label"] for row in sample}) < 2:
+        model.p["out"][:], model.base, model.threshold = 0, constant_logit(sample), 0.3
+        return model
     fit = [r for i, r in enumerate(sample) if i % 5] or sample
     numbers = WordNumbers()
     pad = numbers[""]
@@ -242,3 +244,13 @@ def score(documents: DataFrame, model: ToxicityModel, text: str = "text") -> Dat
         for lang, value in model.by_language.items():
             cut = F.when(F.col("lang").cast("string") == lang, F.lit(value)).otherwise(cut)
     return scored.withColumn("toxic", F.col("score") >= cut)
+
+
+def keep_clean(documents: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
+    """The documents that are not toxic, with their own columns, also where they are named like an output."""
+    names = [f"_{i}" for i in range(len(documents.columns))]
+    plain = documents.toDF(*names)
+    by_name = dict(zip(documents.columns, names, strict=True))
+    plain = plain.withColumn("lang", F.col(by_name["lang"])) if "lang" in by_name else plain
+    scored = score(plain, model, by_name[text])
+    return scored.where("NOT toxic").select(*names).toDF(*documents.columns)
