@@ -62,7 +62,9 @@ def op5_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
     """Every candidate in every document: its place, a digest of it, the forest's votes and the verdict."""
     documents = read(spark, folder, "documents").select("doc_id", "text", "source")
     forest = secret_forest.fit(documents)
-    found = secret_forest.scan(documents, forest).select("doc_id", F.explode("findings").alias("f"))
+    # An outer explode: for an inner one Spark would test the length of the findings first, and so make them twice.
+    found = secret_forest.scan(documents, forest).select("doc_id", F.explode_outer("findings").alias("f"))
+    found = found.where("f IS NOT NULL")
     return found.select(
         "doc_id", F.col("f.start").cast("long").alias("start"), F.col("f.length").cast("long").alias("length"),
         F.sha2(F.col("f.value").cast("binary"), 256).alias("value_sha256"), F.col("f.score").alias("score"),

@@ -134,7 +134,8 @@ def fit(
     common = sample.select(F.explode(words).alias("w")).groupBy("w").count().where(F.col("count") >= min_documents)
     dictionary = tuple(sorted(r["w"] for r in common.select("w").collect())) + _no_words()
     narrow = documents.select(*[c for c in ("doc_id", text, path) if c in documents.columns])
-    table = described(narrow, dictionary, text, path).select("doc_id", F.explode("_found").alias("f")).select("doc_id", "f.*")
+    table = described(narrow, dictionary, text, path).select("doc_id", F.explode_outer("_found").alias("f"))
+    table = table.where("f IS NOT NULL").select("doc_id", "f.*")
     if findings is None:
         labelled = table.where("label IS NOT NULL").withColumn("label", F.col("label").cast("double"))
     else:
