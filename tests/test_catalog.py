@@ -3,13 +3,14 @@ from compare import differences, oracle_connection
 from conftest import SF
 
 import __spark_entry__ as entry
+from trisect.catalog.oracle import ORACLE
+from trisect.catalog.queries import QUERIES
 
 # Searches and fits are covered by test_search.
 FITTED = {
     "model_search", "model_search_f1", "model_ranking", "best_model", "selection_job", "hyperparam_search",
-    "feature_reduction", "final_model", "batch_score", "compare_models", "feature_importance", "feature_selection",
+    "feature_reduction", "final_model", "batch_score", "compare_models", "feature_importance",
 }
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,5 +27,9 @@ def test_query_equals_its_twin(spark, oracle, name):
     assert differences(QUERIES[name](spark, SF).toPandas(), oracle.sql(ORACLE[name]).df()) is None
 
 
+def test_entry_offers_the_catalog():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

@@ -57,6 +57,7 @@ def test_search_of_three_labels(tables):
     assert found.metric == "roc_auc_ovr" and found.labels == ["high", "low", "mid"]
     # The budget is spent after the first fit.
     assert [r["estimator_name"] for r in found.ranking.collect()] == ["Random Forest"]
+    assert [name for name, _ in found.skipped] == [c.name for c in (search.BOOSTED_SHALLOW,)]
 
 
 def test_no_candidate_gives_an_empty_ranking(tables):
@@ -65,6 +66,43 @@ def test_no_candidate_gives_an_empty_ranking(tables):
     assert found.ranking.columns == ["estimator_name", "metric_train", "metric_test", "hiperparameters"]
 
 
+SMALL = {"Random Forest": {"numTrees": 3}, "Neural Network": {"maxIter": 5, "hidden": [4]}}
+
+
+@pytest.mark.parametrize("label", ["y", "z"])
+def test_every_family_fits(tables, label):
+    families = {c.name: c for c in (*search.SEARCH_FAMILIES, *search.HOLDOUT_FAMILIES)}
+    small = [
+        search.Candidate(c.name, c.make, ({**c.grid[0], **SMALL.get(c.name, {"maxIter": 3})},)) for c in families.values()
+    ]
+    found = search.search_models(*tables, ["a", "b"], label, small, budget_s=None, partitions=2)
+    assert {r["estimator_name"] for r in found.ranking.collect()} == set(families) and not found.failures and not found.skipped
+    assert all(r["metric_test"] > 0.6 for r in found.ranking.collect())
+
+
+def test_booleans_and_hashed_text(spark, tables):
+    train, valid = (df.withColumns({"up": F.when(F.col("k") % 7 > 0, F.col("a") > 0), "many": F.concat(F.lit("v"), "k")}) for df in tables)
+    features = ["up", "t", "many"]
+    model, labels = search.fit_final(
+        train, features, "y", search.RandomForestClassifier(numTrees=3, maxDepth=3, seed=1), encode={"many": "hash"}
+    )
+    named = {r["feature"] for r in search.importances(spark, model).collect()}
+    assert {"_up_filled", "_hashed_0", f"_hashed_{search.HASHED_SIZE - 1}"} <= named
+    assert search.score(model, labels, valid).count() == valid.count()
+    for wrong in ({"many": "x"}, {"other": "hash"}):
+        with pytest.raises(ValueError):
+            search.feature_stages(train, features, wrong)
+
+
+def test_the_data_do_not_choose_the_encoding(spark, monkeypatch):
+    for n in (999, 1001):
+        df = spark.range(n).select(F.concat(F.lit("v"), "id").alias("c"))
+        assert [type(s).__name__ for s in search.feature_stages(df, ["c"])] == ["StringIndexer", "OneHotEncoder", "VectorAssembler"]
+    monkeypatch.setattr(search, "MOST_CATEGORIES", 1000)
+    with pytest.raises(ValueError, match="hash"):
+        search.feature_stages(df, ["c"])
+
+
 def test_bad_search_arguments(tables):
     train, valid = tables
     with pytest.raises(ValueError):
@@ -73,6 +111,8 @@ def test_bad_search_arguments(tables):
         search.search_models(train, valid, ["a"], "q")
     with pytest.raises(ValueError):
         search.search_models(train.where("k < 0"), valid, ["a"], "y")
+    with pytest.raises(ValueError):
+        search.search_models(train, valid.where("k < 0"), ["a"], "y")
 
 
 def test_holdout_search_and_hyperparams(tables):

@@ -24,6 +24,7 @@ from trisect.operators.features import (
     index_and_onehot,
     keep_important,
     project,
+    feature_selection,
     select_features,
 )
 from trisect.plans.distinct_users import monthly_distinct
@@ -157,6 +158,13 @@ def test_feature_selection(spark):
     df = spark.createDataFrame(frame)
     assert select_features(df, ["a", "twin", "noise", "flat"], "y") == ["a", "noise"]
     assert select_features(df, ["noise", "a"], "y", top=1) == ["a"]
+    full = feature_selection(df, ["a", "twin", "noise", "flat"], "y").collect()
+    assert [r["most_correlated"] for r in full] == [None, "a", None, None]
+    # Nulls in every column: no row has all values.
+    holes = df.withColumn("i", F.monotonically_increasing_id()).select(
+        "y", *[F.when(F.col("i") % 4 != k, F.col(c)).alias(c) for k, c in enumerate(["a", "twin", "noise", "flat"])]
+    )
+    assert holes.dropna().count() == 0 and select_features(holes, ["a", "twin", "noise", "flat"], "y", top=1) == ["a"]
     assert correlations(df, ["a", "twin"]).first()["correlation"] == pytest.approx(1.0)
     assert keep_important([0.1, 0.5, 0.0, 0.4], 2).getIndices() == [1, 3]
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_ranking import skewed
 
+from trisect.functions.keys import row_hash
 from trisect.operators.split import (
     SplitSpec,
     add_blocks,
@@ -203,3 +204,34 @@ def test_the_session_time_zone_does_not_move_the_cuts(spark, zone, kind):
             assert sizes(split(df, cuts)) == {("train",): 10, ("test",): 10, ("backtest",): 80}
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_keys_are_told_apart_by_their_parts(spark):
+    rows = [("a_b", "c"), ("a", "b_c"), ("x", None), (None, "x")]
+    hashes = spark.createDataFrame(rows, "p string, q string").select(row_hash(["p", "q"])).distinct()
+    assert hashes.count() == 4
+
+
+def test_exact_sizes_with_null_key_parts(spark):
+    df = spark.range(1000).select(
+        F.lit(1).alias("y"),
+        F.when(F.col("id") < 500, F.col("id").cast("string")).alias("p"),
+        F.when(F.col("id") >= 500, (F.col("id") - 500).cast("string")).alias("q"),
+    )
+    spec = SplitSpec("random", target="y", key=("p", "q"), train=0.001, test=0.499, backtest=0.5)
+    found = {r["subset"]: r["count"] for r in split(df, spec).groupBy("subset").count().collect()}
+    assert found == {"train": 1, "test": 499, "backtest": 500}
+
+
+@pytest.mark.parametrize("train,test", [
+    ("2020-01-01", 0.2), (0.6, "2020-01-01"), ("2021-01-01", "2020-01-01"), ("not a time", "2021-01-01"), ("2020-01-01", True),
+    ("2020-01-01T00:00:00+00:00", "2021-01-01"),
+])
+def test_bad_cut_points(train, test):
+    with pytest.raises(ValueError):
+        SplitSpec("time", time="t", train=train, test=test, key=("k",))
+
+
+def test_blocks_need_a_key(spark):
+    with pytest.raises(ValueError):
+        split_in_blocks(spark.range(5), SplitSpec("metric", metric="id"), "id", 2)

@@ -32,11 +32,17 @@ GROUP BY 1 ORDER BY 1"""
 # Splits
 
 
+def tie(columns: Sequence[str]) -> str:
+    """The row hash: parts with their lengths, nulls as n, and the seed."""
+    parts = [f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, 'n')" for c in columns]
+    return f"md5({' || '.join([*parts, chr(39) + 'seed:42' + chr(39)])})"
+
+
 def stratified(table: str, key: Sequence[str], strata: Sequence[str], by: Sequence[str], sizes, columns: str) -> str:
     """Quotas by largest remainder, then the hash order of each stratum."""
     train, test, backtest = sizes
     s, parts = ", ".join(strata), f"PARTITION BY {', '.join(by)}" if by else ""
-    tie = f"md5(concat_ws('_', {s}, '42'))"
+    line_tie = tie(strata)
 
     def quota(source: str, count: str, share: float, name: str) -> str:
         return f"""
@@ -44,7 +50,7 @@ def stratified(table: str, key: Sequence[str], strata: Sequence[str], by: Sequen
                      ceil({share!r}::DOUBLE * sum({count}) OVER ({parts}))::HUGEINT AS draws FROM {source}),
         e AS (SELECT *, ({count} * draws) // greatest(total, 1) AS whole, ({count} * draws) % greatest(total, 1) AS rem FROM d),
         f AS (SELECT *, draws - sum(whole) OVER ({parts}) AS spare,
-                     row_number() OVER ({parts} ORDER BY rem DESC, {tie}) AS line FROM e)
+                     row_number() OVER ({parts} ORDER BY rem DESC, {line_tie}) AS line FROM e)
    SELECT * EXCLUDE (total, draws, whole, rem, spare, line), whole + (line <= spare)::INT AS {name} FROM f)"""
 
     return f"""
@@ -52,7 +58,7 @@ WITH strata AS (SELECT {s}, count(*) AS n FROM {table} GROUP BY {s}),
 first AS {quota('strata', 'n', backtest, 'nb')},
 rest AS (SELECT *, n - nb AS r FROM first),
 second AS {quota('rest', 'r', test / (train + test), 'nt')},
-ranked AS (SELECT *, row_number() OVER (PARTITION BY {s} ORDER BY md5(concat_ws('_', {', '.join(key)}, '42'))) AS place
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {s} ORDER BY {tie(key)}) AS place
            FROM {table}),
 assigned AS (
   SELECT ranked.*, CASE WHEN place <= nb THEN 'backtest' WHEN place <= nb + nt THEN 'test' ELSE 'train' END AS subset
@@ -71,19 +77,18 @@ ORACLE["split_sizes"] = stratified(
     "orders", ["o_orderkey"], ["o_orderstatus"], [], (0.7, 0.2, 0.1), "subset, o_orderstatus, count(*) AS n"
 ) + " GROUP BY subset, o_orderstatus"
 
-ORACLE["split_random_hash"] = """
-WITH h AS (SELECT o_orderkey, ('0x' || substr(md5(o_orderkey || '_42'), 1, 8))::BIGINT AS place FROM orders)
+ORACLE["split_random_hash"] = f"""
+WITH h AS (SELECT o_orderkey, ('0x' || substr({tie(['o_orderkey'])}, 1, 8))::BIGINT AS place FROM orders)
 SELECT o_orderkey, CASE WHEN place < 2576980377 THEN 'train' WHEN place < 3435973836 THEN 'test' ELSE 'backtest' END AS subset
 FROM h"""
 
 
 def chronological(table: str, time: str, key: Sequence[str], by: str, first: str, second: str) -> str:
     parts = f"PARTITION BY {by}" if by else ""
-    tie = f"md5(concat_ws('_', {', '.join(key)}, '42'))"
     return f"""
   SELECT *, CASE WHEN place <= floor({first} * n) THEN 'train' WHEN place <= floor(({second}) * n) THEN 'test'
                  ELSE 'backtest' END AS subset
-  FROM (SELECT *, row_number() OVER ({parts} ORDER BY {time} NULLS LAST, {tie}) AS place,
+  FROM (SELECT *, row_number() OVER ({parts} ORDER BY {time} NULLS LAST, {tie(key)}) AS place,
                count(*) OVER ({parts}) AS n FROM {table})"""
 
 
@@ -397,7 +402,7 @@ ORACLE["classification_report_multiclass"] = (
 )
 ORACLE["score_deciles"] = f"""
 WITH {SCORED},
-r AS (SELECT *, (row_number() OVER (ORDER BY score DESC, md5(doc_id || '_42')) - 1) * 10 // count(*) OVER () + 1 AS decile FROM scored),
+r AS (SELECT *, (row_number() OVER (ORDER BY score DESC, {tie(['doc_id'])}) - 1) * 10 // count(*) OVER () + 1 AS decile FROM scored),
 g AS (SELECT decile, count(*) AS n, count(*) FILTER (quality = 1) AS positives, min(score) AS lo, max(score) AS hi FROM r GROUP BY 1),
 t AS (SELECT *, sum(n) OVER () AS all_n, sum(positives) OVER () AS all_p, sum(positives) OVER (ORDER BY decile) AS so_far FROM g)
 SELECT decile::INT AS decile, n, positives, {digits('lo', 'min_score')}, {digits('hi', 'max_score')},
@@ -435,3 +440,34 @@ ORACLE["features_date_parts"] = """
 SELECT o_orderkey, year(o_orderdate)::INT AS o_orderdate_year, month(o_orderdate)::INT AS o_orderdate_month,
        (dayofweek(o_orderdate) + 1)::INT AS o_orderdate_weekday, dayofyear(o_orderdate)::INT AS o_orderdate_yearday
 FROM orders"""
+
+
+def selection(columns: Sequence[str], top: int) -> str:
+    """Variance, F value, earlier correlated column, and the best two of what is left."""
+    values = " UNION ALL ".join(
+        f"SELECT {i} AS place, '{c}' AS feature, (l_returnflag = 'R')::INT AS y, {c}::DOUBLE AS v FROM lineitem"
+        for i, c in enumerate(columns)
+    )
+    pairs = " UNION ALL ".join(
+        f"SELECT {i} AS pa, {j} AS pb, '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM lineitem"
+        for i, a in enumerate(columns) for j, b in enumerate(columns) if i < j
+    )
+    return f"""
+WITH RECURSIVE long AS ({values}),
+g AS (SELECT place, feature, y, count(*) AS n, avg(v) AS m, var_pop(v) AS s FROM long GROUP BY ALL),
+c AS (SELECT place, sum(n * m) / sum(n) AS centre, sum(n) AS rows, count(*) AS k FROM g GROUP BY 1),
+f AS (SELECT g.place, g.feature, (sum(n * (m - centre) ** 2) / (any_value(k) - 1)) /
+             (sum(n * s) / (any_value(rows) - any_value(k))) AS f_value
+      FROM g JOIN c USING (place) GROUP BY 1, 2),
+v AS (SELECT place, var_samp(v) AS variance FROM long GROUP BY 1),
+pairs AS ({pairs}),
+over AS (SELECT pa, pb, a FROM pairs WHERE abs(r) > 0.95),
+gone AS (SELECT pb, arg_min(a, pa) AS most_correlated FROM over
+         WHERE pa NOT IN (SELECT pb FROM over) GROUP BY pb),
+ranked AS (SELECT place, row_number() OVER (ORDER BY f_value DESC, place) AS rank FROM f JOIN v USING (place)
+           WHERE variance > 0 AND place NOT IN (SELECT pb FROM gone))
+SELECT feature, round(variance, 4) AS variance, round(f_value, 6) AS f_value, most_correlated, coalesce(rank <= {top}, false) AS kept
+FROM f JOIN v USING (place) LEFT JOIN gone ON place = pb LEFT JOIN ranked USING (place)"""
+
+
+ORACLE["feature_selection"] = selection(["l_quantity", "l_extendedprice", "l_discount", "l_tax"], 2)

@@ -486,9 +486,9 @@ def features_date_parts(spark, folder):
 @query
 def feature_selection(spark, folder):
     lines = read(spark, folder, "lineitem").withColumn("returned", (F.col("l_returnflag") == "R").cast("int"))
-    chosen = features.select_features(lines, [*PRICES, "l_tax"], "returned", top=2)
-    return features.project(lines, chosen, "returned").groupBy("returned").agg(
-        *[F.round(F.avg(c), 6).alias(f"mean_{c}") for c in chosen]
+    found = features.feature_selection(lines, [*PRICES, "l_tax"], "returned", top=2)
+    return found.select(
+        "feature", F.round("variance", 4).alias("variance"), F.round("f_value", 6).alias("f_value"), "most_correlated", "kept"
     )
 
 
@@ -499,8 +499,15 @@ QUICK = (
     search.Candidate("Logistic Regression (L1)", search.LOGISTIC_L1.make, search.LOGISTIC_L1.grid[:1]),
     search.LINEAR,
 )
-# Seconds; the searches of the catalog stop early so that a run over all queries stays short.
-CATALOG_BUDGET_S = 15
+# Fits of the catalog: a fixed number of partitions, no time budget, and small grids that always finish.
+PARTITIONS = 8
+SMALL_FAMILIES = tuple(
+    search.Candidate(c.name, c.make, ({**c.grid[0], **small},))
+    for c, small in (
+        (search.LINEAR, {}), (search.LOGISTIC_L1, {}), (search.FOREST, {"numTrees": 10}),
+        (search.BOOSTED_SHALLOW, {"maxIter": 5}), (search.BOOSTED, {"maxIter": 5}),
+    )
+)
 
 
 def model_tables(spark, folder) -> tuple[DataFrame, DataFrame]:
@@ -517,26 +524,30 @@ def ranking_rows(ranking: DataFrame) -> DataFrame:
 @query
 def model_search(spark, folder):
     train, test = model_tables(spark, folder)
-    return ranking_rows(search.search_models(train, test, FEATURES, "returned", budget_s=CATALOG_BUDGET_S).ranking)
+    return ranking_rows(search.search_models(
+        train, test, FEATURES, "returned", SMALL_FAMILIES, budget_s=None, partitions=PARTITIONS
+    ).ranking)
 
 
 @query
 def model_search_f1(spark, folder):
     lines = read(spark, folder, "lineitem")
-    found = search.search_with_holdout(lines, FEATURES, "l_returnflag", LINE_KEY, (search.FOREST, search.NETWORK))
+    found = search.search_with_holdout(lines, FEATURES, "l_returnflag", LINE_KEY, (search.FOREST, search.NETWORK), None, partitions=PARTITIONS)
     return ranking_rows(found.ranking)
 
 
 @query
 def model_ranking(spark, folder):
     train, test = model_tables(spark, folder)
-    return ranking_rows(search.search_models(train, test, FEATURES, "l_returnflag", QUICK).ranking)
+    return ranking_rows(search.search_models(train, test, FEATURES, "l_returnflag", QUICK, budget_s=None, partitions=PARTITIONS).ranking)
 
 
 @query
 def best_model(spark, folder):
     train, test = model_tables(spark, folder)
-    return ranking_rows(search.best_model(search.search_models(train, test, FEATURES, "returned", QUICK).ranking))
+    return ranking_rows(search.best_model(
+        search.search_models(train, test, FEATURES, "returned", QUICK, budget_s=None, partitions=PARTITIONS).ranking
+    ))
 
 
 @query
@@ -547,7 +558,7 @@ def selection_job(spark, folder):
     tables.write_artifact(test, root, "test", "1")
     names = F.transform(F.lit(list(FEATURES)), lambda c: c)
     document = F.to_json(F.struct(F.lit("returned").alias("target"), names.alias("all"))).alias("document")
-    tables.write_artifact(train.limit(1).select(document), root, "features", "1")
+    tables.write_artifact(spark.range(1).select(document), root, "features", "1")
     run_selection(spark, root, ("train", "1"), ("test", "1"), ("features", "1"), "1", QUICK)
     ranking = tables.read_artifact(spark, root, RANKING_NAME, "1")
     params = tables.read_artifact(spark, root, PARAMS_NAME, "1")
@@ -561,7 +572,7 @@ def selection_job(spark, folder):
 def hyperparam_search(spark, folder):
     train, _ = model_tables(spark, folder)
     found, _ = search.search_hyperparams(
-        train, FEATURES, "returned", LINE_KEY, LogisticRegression(), {"regParam": [0.001, 0.1]}
+        train, FEATURES, "returned", LINE_KEY, LogisticRegression(), {"regParam": [0.001, 0.1]}, partitions=PARTITIONS
     )
     return found.select(F.to_json("hiperparameters").alias("hiperparameters"), "metric")
 
@@ -569,7 +580,7 @@ def hyperparam_search(spark, folder):
 @query
 def feature_reduction(spark, folder):
     train, test = model_tables(spark, folder)
-    forest, _ = search.fit_final(train, FEATURES, "returned", RandomForestClassifier(numTrees=10, seed=42))
+    forest, _ = search.fit_final(train, FEATURES, "returned", RandomForestClassifier(numTrees=10, seed=42), partitions=PARTITIONS)
     slicer = features.keep_important(list(forest.stages[-1].featureImportances), 2, search.FEATURES)
     vectors = PipelineModel([*forest.stages[:-1], slicer]).transform(test)
     parts = features.principal_components(1, "reduced").fit(vectors).transform(vectors)
@@ -581,7 +592,7 @@ def feature_reduction(spark, folder):
 def saved_model(spark, folder, name: str, estimator) -> tuple[PipelineModel, list[str], DataFrame]:
     """Fit, save and load a final model; its labels and the rows held back for validation."""
     train, test = model_tables(spark, folder)
-    model, labels = search.fit_final(train, FEATURES, "returned", estimator)
+    model, labels = search.fit_final(train, FEATURES, "returned", estimator, partitions=PARTITIONS)
     path = tables.write_model(model, scratch_path(spark, "models"), name, "1")
     return PipelineModel.load(path), labels, test
 
@@ -610,7 +621,7 @@ def compare_models(spark, folder):
 @query
 def feature_importance(spark, folder):
     train, _ = model_tables(spark, folder)
-    model, _ = search.fit_final(train, FEATURES, "returned", RandomForestClassifier(numTrees=10, seed=42))
+    model, _ = search.fit_final(train, FEATURES, "returned", RandomForestClassifier(numTrees=10, seed=42), partitions=PARTITIONS)
     return search.importances(spark, model)
 
 

@@ -14,8 +14,13 @@ SEED = 42
 
 
 def row_hash(key: Sequence[str], seed: int = SEED) -> Column:
-    """A repeatable shuffle order: md5 of the row key and the seed, independent of partitioning."""
-    return F.md5(F.concat_ws("_", *[F.col(c).cast("string") for c in key], F.lit(str(seed))))
+    """A repeatable shuffle order: md5 of the row key and the seed, independent of partitioning.
+
+    Every part is written with its length, and a null as ``n``, so that different keys are different texts.
+    """
+    texts = [F.col(c).cast("string") for c in key]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("n")) for t in texts]
+    return F.md5(F.concat(*parts, F.lit(f"seed:{seed}")))
 
 
 def hash_prefix(row_hash: Column, digits: int = 4) -> Column:

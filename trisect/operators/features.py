@@ -12,8 +12,6 @@ from pyspark.ml.feature import (
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
-    UnivariateFeatureSelector,
-    VarianceThresholdSelector,
     VectorAssembler,
     VectorSlicer,
 )
@@ -23,6 +21,7 @@ from pyspark.sql import functions as F
 from trisect.functions.keys import ordinal
 from trisect.operators.drift import divergences, histogram_by_edges
 from trisect.operators.quantiles import edge_lists, edge_probabilities, quantiles
+from trisect.session import lookup
 
 
 def project(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
@@ -81,7 +80,10 @@ def information_value(df: DataFrame, columns: Sequence[str], target: str, bins:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, in one pass: ``feature_a, feature_b, correlation``."""
+    """Pearson correlation of every pair of columns, in one pass: ``feature_a, feature_b, correlation``.
+
+    A pair is correlated over the rows where both have a value.
+    """
     values = {c: ordinal(df, c) for c in columns}
     pairs = list(combinations(columns, 2))
     row = df.agg(*[F.corr(values[a], values[b]).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
@@ -91,37 +93,68 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ])))
 
 
-def select_features(
+def univariate_tests(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
+    """Variance and F value of every column against a class label: ``feature, variance, f_value``.
+
+    Each column leaves out its own nulls only; rows without label count for the variance. One pass: count, sum and sum of
+    squared deviations per label and column.
+    """
+    values = F.array(*[F.struct(F.lit(c).alias("feature"), ordinal(df, c).alias("value")) for c in columns])
+    long = df.select(F.col(label).alias("_label"), F.inline(values)).where("value IS NOT NULL")
+    groups = lookup(long.groupBy("feature", "_label").agg(
+        F.count("value").alias("n"), F.avg("value").alias("mean"), F.coalesce(F.var_pop("value"), F.lit(0.0)).alias("spread")
+    ))
+    known = groups.where("_label IS NOT NULL")
+    centre = known.groupBy("feature").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("centre"))
+    tested = known.join(centre, "feature").groupBy("feature").agg(
+        F.sum(F.col("n") * F.pow(F.col("mean") - F.col("centre"), 2)).alias("between"),
+        F.sum(F.col("n") * F.col("spread")).alias("within"), F.count("n").alias("k"), F.sum("n").alias("rows"),
+    )
+    f_value = (F.col("between") / (F.col("k") - 1)) / (F.col("within") / (F.col("rows") - F.col("k")))
+    usable = (F.col("k") > 1) & (F.col("rows") > F.col("k")) & (F.col("within") > 0)
+    whole = long.groupBy("feature").agg(F.var_samp("value").alias("variance"))
+    names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(columns)], "feature string, place int")
+    return (
+        names.join(whole, "feature", "left").join(tested, "feature", "left").orderBy("place")
+        .select("feature", "variance", F.when(usable, f_value).alias("f_value"))
+    )
+
+
+def feature_selection(
     df: DataFrame,
     columns: Sequence[str],
     label: str,
     least_variance: float = 0.0,
     most_correlation: float = 0.95,
     top: int | None = None,
-) -> list[str]:
-    """Names that pass the variance filter, the correlation filter and a univariate test.
+) -> DataFrame:
+    """The decision for every column: ``feature, variance, f_value, most_correlated, kept``.
 
-    Of two columns correlated more than ``most_correlation`` the earlier one stays.
+    A column must vary more than ``least_variance``. Of two columns correlated more than ``most_correlation`` the
+    earlier one stays; ``most_correlated`` names the kept column that removed it. Of the rest the ``top`` F values are kept,
+    the earlier column of equals. No row is left out for a null in another column.
     """
-    names = list(columns)
-    vectors = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="skip").transform(df)
-    varied = VarianceThresholdSelector(featuresCol="features", varianceThreshold=least_variance).fit(vectors)
-    names = [names[i] for i in varied.selectedFeatures]
+    tests = {r["feature"]: r for r in univariate_tests(df, columns, label).collect()}
+    names = [c for c in columns if (tests[c]["variance"] or 0.0) > least_variance]
+    removed: dict[str, str] = {}
     if len(names) > 1:
-        dropped: set[str] = set()
         # One row per pair of columns.
         for row in correlations(df, names).collect():
-            pair = row["feature_a"], row["feature_b"]
-            if not dropped.intersection(pair) and abs(row["correlation"] or 0.0) > most_correlation:
-                dropped.add(pair[1])
-        names = [c for c in names if c not in dropped]
-    if top is not None and len(names) > top:
-        tested = VectorAssembler(inputCols=names, outputCol="tested", handleInvalid="skip").transform(df)
-        test = UnivariateFeatureSelector(
-            featuresCol="tested", labelCol=label, outputCol="chosen", selectionMode="numTopFeatures"
-        ).setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(top)
-        names = [names[i] for i in test.fit(tested).selectedFeatures]
-    return names
+            a, b = row["feature_a"], row["feature_b"]
+            if a not in removed and b not in removed and abs(row["correlation"] or 0.0) > most_correlation:
+                removed[b] = a
+    left = [c for c in names if c not in removed]
+    by_value = sorted(left, key=lambda c: -(tests[c]["f_value"] if tests[c]["f_value"] is not None else -1.0))
+    kept = set(by_value[:top])
+    return df.sparkSession.createDataFrame(
+        [(c, tests[c]["variance"], tests[c]["f_value"], removed.get(c), c in kept) for c in columns],
+        "feature string, variance double, f_value double, most_correlated string, kept boolean",
+    )
+
+
+def select_features(df: DataFrame, columns: Sequence[str], label: str, **limits) -> list[str]:
+    """Names of the columns that ``feature_selection`` keeps, in their order."""
+    return [r["feature"] for r in feature_selection(df, columns, label, **limits).collect() if r["kept"]]
 
 
 def keep_important(importances: Sequence[float], top: int, features: str = "features", output: str = "reduced") -> VectorSlicer:

@@ -77,11 +77,20 @@ class SplitSpec:
         name, column = needed[self.method]
         if not column:
             raise ValueError(f"a {self.method} split needs a {name} column")
-        if not self.by_cut_points:
+        if self.by_cut_points:
+            self._check_cuts()
+        else:
             self._check_shares()
             if self.method != "metric" and not self.key:
                 raise ValueError(f"a {self.method} split by shares needs the key columns")
 
+    def _check_cuts(self) -> None:
+        cuts = [_as_time(cut) for cut in (self.train, self.test)]
+        if (cuts[0].tzinfo is None) != (cuts[1].tzinfo is None):
+            raise ValueError("cut points must both have a time zone or none")
+        if cuts[0] > cuts[1]:
+            raise ValueError("the test cut point must not lie before the train cut point")
+
     def _check_shares(self) -> None:
         shares = (self.train, self.test) if self.method == "time" else (self.train, self.test, self.backtest)
         if not all(_is_number(s) and s >= 0 for s in shares):
@@ -95,7 +104,7 @@ class SplitSpec:
 
     @property
     def by_cut_points(self) -> bool:
-        return self.method == "time" and not _is_number(self.train)
+        return self.method == "time" and not (_is_number(self.train) and _is_number(self.test))
 
     @property
     def strata(self) -> tuple[str, ...]:
@@ -106,6 +115,20 @@ def _is_number(value) -> bool:
     return isinstance(value, (int, float)) and not isinstance(value, bool)
 
 
+def _as_time(cut) -> dt.datetime:
+    """A cut point as a datetime; text in ISO form only, so that no job is needed to refuse it."""
+    if isinstance(cut, dt.datetime):
+        return cut
+    if isinstance(cut, dt.date):
+        return dt.datetime(cut.year, cut.month, cut.day)
+    if isinstance(cut, str):
+        try:
+            return dt.datetime.fromisoformat(cut.strip())
+        except ValueError:
+            raise ValueError(f"cut point {cut!r} is not a date or time") from None
+    raise ValueError("train and test must both be shares or both be cut points")
+
+
 @dataclass(frozen=True)
 class Parts:
     """The three parts as separate DataFrames."""
@@ -329,14 +352,17 @@ def random_split_by_hash(df: DataFrame, key: Sequence[str], spec_sizes=SIZES, se
 def add_blocks(df: DataFrame, order: str, key: Sequence[str], block_rows: int, name: str = "block") -> DataFrame:
     """Number consecutive blocks of ``block_rows`` rows in the order of a column, from 0.
 
-    Every row needs its own rank here, so the table is shuffled once, by order bucket.
+    Every row needs its own rank here, so the table is shuffled once, by order bucket. The key must identify
+    a row: it orders rows that are level in ``order``, and rows alike in both are numbered arbitrarily.
     """
+    if not key:
+        raise ValueError("blocks need the key columns")
     rows = order_by_value(df, order, row_hash(key), df.columns).withColumn("_one", F.lit(1))
     ranked = running_totals(rows, [], "_bucket", [F.col(c) for c in VALUE_ORDER], ["_one"])
     return ranked.select(*df.columns, F.floor(F.col("_one_before") / block_rows).cast("long").alias(name))
 
 
 def split_in_blocks(df: DataFrame, spec: SplitSpec, order: str, block_rows: int) -> DataFrame:
-    """Split every block of consecutive rows on its own; keeps the ``block`` column."""
+    """Split every block of consecutive rows on its own; keeps the ``block`` column. Needs ``spec.key``."""
     blocks = add_blocks(df, order, spec.key, block_rows)
     return split(blocks, replace(spec, by=(*spec.by, "block")))

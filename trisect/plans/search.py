@@ -24,6 +24,7 @@ from pyspark.ml.feature import (
     IndexToString,
     OneHotEncoder,
     OneHotEncoderModel,
+    SQLTransformer,
     StringIndexer,
     VectorAssembler,
 )
@@ -53,10 +54,6 @@ SEARCH_BUDGET_S = 360
 HOLDOUT_BUDGET_S = 10
 METRICS = ("roc_auc", "roc_auc_ovr", "roc_auc_ovr_weighted", "accuracy", "f1")
 
-MOST_CATEGORIES = 1000
-HASHED_SIZE = 4096
-LABEL = "_label"
-FEATURES = "_features"
 RANKING_SCHEMA = T.StructType([
     T.StructField("estimator_name", T.StringType()),
     T.StructField("metric_train", T.DoubleType()),
@@ -64,6 +61,12 @@ RANKING_SCHEMA = T.StructType([
     T.StructField("hiperparameters", T.MapType(T.StringType(), T.StringType())),
 ])
 
+# One-hot encoding passes the list of a column's values through the driver; longer lists are refused.
+MOST_CATEGORIES = 100_000
+HASHED_SIZE = 4096
+LABEL = "_label"
+FEATURES = "_features"
+
 
 @dataclass(frozen=True)
 class Candidate:
@@ -108,29 +111,40 @@ SEARCH_FAMILIES = (LINEAR, LOGISTIC_L1, FOREST, BOOSTED_SHALLOW, BOOSTED)
 HOLDOUT_FAMILIES = (BOOSTED, FOREST, NETWORK)
 
 
-def feature_stages(df: DataFrame, columns: Sequence[str]) -> list:
-    """Stages from raw columns to one vector: numbers imputed, text one-hot encoded.
+def feature_stages(df: DataFrame, columns: Sequence[str], encode: dict[str, str] | None = None) -> list:
+    """Stages from raw columns to one vector: numbers and booleans imputed, text encoded.
 
-    Text columns of more than MOST_CATEGORIES values are hashed to indicators instead.
+    Text is one-hot encoded, or hashed to HASHED_SIZE indicators where the caller says so:
+    ``encode={"column": "hash"}``. The data never decide which; a column with more than MOST_CATEGORIES values is
+    refused for one-hot encoding.
     """
+    encode = encode or {}
+    unknown = set(encode.values()) - {"hash", "onehot"} or set(encode) - set(columns)
+    if unknown:
+        raise ValueError(f"encode takes feature columns and 'hash' or 'onehot', not {', '.join(sorted(unknown))}")
     text = [c for c in dict.fromkeys(columns) if isinstance(df.schema[c].dataType, T.StringType)]
     numbers = [c for c in dict.fromkeys(columns) if c not in text]
     other = [c for c in numbers if not isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType))]
     if other:
         raise ValueError(f"features must be numbers or text: {', '.join(other)}")
     stages, inputs = [], []
+    flags = [c for c in numbers if isinstance(df.schema[c].dataType, T.BooleanType)]
+    if flags:
+        casts = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `_{c}_number`" for c in flags)
+        stages.append(SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__"))
     if numbers:
         filled = [f"_{c}_filled" for c in numbers]
-        stages.append(Imputer(inputCols=numbers, outputCols=filled))
+        stages.append(Imputer(inputCols=[f"_{c}_number" if c in flags else c for c in numbers], outputCols=filled))
         inputs += filled
-    if text:
-        sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in text]).first()
-        hashed = [c for c in text if sizes[c] > MOST_CATEGORIES]
-        text = [c for c in text if c not in hashed]
-        if hashed:
-            # Needs no list of the values, which would have to pass through the driver.
-            stages.append(FeatureHasher(inputCols=hashed, outputCol="_hashed", numFeatures=HASHED_SIZE))
-            inputs.append("_hashed")
+    hashed = [c for c in text if encode.get(c) == "hash"]
+    text = [c for c in text if c not in hashed]
+    if hashed:
+        # Needs no list of the values, which would have to pass through the driver.
+        stages.append(FeatureHasher(inputCols=hashed, outputCol="_hashed", numFeatures=HASHED_SIZE))
+        inputs.append("_hashed")
+    for c in text:
+        if df.select(c).distinct().limit(MOST_CATEGORIES + 1).count() > MOST_CATEGORIES:
+            raise ValueError(f"column {c!r} has more than {MOST_CATEGORIES} values; ask for encode={{{c!r}: 'hash'}}")
     if text:
         indices = [f"_{c}_index" for c in text]
         encoded = [f"_{c}_onehot" for c in text]
@@ -146,14 +160,13 @@ def label_stage(label: str) -> StringIndexer:
     return StringIndexer(inputCol=label, outputCol=LABEL, stringOrderType="alphabetAsc")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over at least as many partitions as there are cores; larger tables stay as they are.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Rows over the caller's number of partitions, or as they come.
 
-    Every iteration of a fit passes over the table, so a small one in few files would leave most
-    cores idle many times.
+    Every iteration of a fit passes over the table, so a small one in few files leaves most cores idle. Tree models
+    sample by partition, so the number is the caller's and never that of the cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(partitions) if partitions else df
 
 
 def class_scores(scored: DataFrame, n_classes: int) -> dict[object, Column]:
@@ -192,6 +205,8 @@ class SearchResult:
     best_model: PipelineModel | None = None
     best_params: dict = field(default_factory=dict)
     failures: dict[str, str] = field(default_factory=dict)
+    # Families and parameter sets that the budget left untried.
+    skipped: list[tuple[str, dict]] = field(default_factory=list)
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         """Adds ``scores`` (one per class, in label order) and ``predicted`` to the rows."""
@@ -231,39 +246,46 @@ def search_models(
     label: str,
     candidates: Sequence[Candidate] = SEARCH_FAMILIES,
     metric: str | None = None,
-    budget_s: float = SEARCH_BUDGET_S,
+    budget_s: float | None = SEARCH_BUDGET_S,
+    encode: dict[str, str] | None = None,
+    partitions: int | None = None,
 ) -> SearchResult:
     """Fit candidate families on ``train``, score them on ``valid``, rank them.
 
     Every family gets its first parameter set before any gets its second. The first fit always
-    runs; later ones only while the budget lasts. ``metric`` defaults to ROC AUC, one-vs-rest
-    for more than two labels.
+    runs; later ones only while the budget lasts (None: always), and what it left untried is in ``skipped``.
+    ``metric`` defaults to ROC AUC, one-vs-rest for more than two labels.
     """
     if metric is not None and metric not in METRICS:
         raise ValueError(f"metric must be one of {', '.join(METRICS)}")
     check_target_exists({"train": train, "valid": valid}, label)
     spark = train.sparkSession
-    prepare = Pipeline(stages=[*feature_stages(train, features), label_stage(label)])
+    prepare = Pipeline(stages=[*feature_stages(train, features, encode), label_stage(label)])
     check_not_empty(train, "train")
+    check_not_empty(valid, "valid")
     prepared = prepare.fit(train)
     labels = list(prepared.stages[-1].labels)
     n_classes = len(labels)
     metric = metric or ("roc_auc" if n_classes == 2 else "roc_auc_ovr")
     # Both tables are read once per iteration of every fit.
     sets = [
-        spread(prepared.transform(df).select(FEATURES, LABEL)).persist(StorageLevel.MEMORY_AND_DISK)
+        spread(prepared.transform(df).select(FEATURES, LABEL), partitions).persist(StorageLevel.MEMORY_AND_DISK)
         for df in (train, valid)
     ]
     try:
         n_features = len(sets[0].first()[FEATURES])
         best: dict[str, tuple[float, dict, object]] = {}
         failures: dict[str, str] = {}
+        skipped: list[tuple[str, dict]] = []
         started, fits = time.monotonic(), 0
         for turn in range(max((len(c.grid) for c in candidates), default=0)):
             for candidate in candidates:
-                if turn >= len(candidate.grid) or (fits and time.monotonic() - started > budget_s):
+                if turn >= len(candidate.grid):
                     continue
                 params = candidate.grid[turn]
+                if fits and budget_s is not None and time.monotonic() - started > budget_s:
+                    skipped.append((candidate.name, params))
+                    continue
                 try:
                     model = candidate.make(n_classes, n_features, params).fit(sets[0])
                     value = metric_value(model.transform(sets[1]), metric, n_classes)
@@ -281,7 +303,7 @@ def search_models(
     finally:
         for df in sets:
             df.unpersist()
-    result = SearchResult(labels, metric, rank_models(spark, records), failures=failures)
+    result = SearchResult(labels, metric, rank_models(spark, records), failures=failures, skipped=skipped)
     top = best_model(result.ranking).first()
     if top:
         result.best_name = top["estimator_name"]
@@ -309,8 +331,10 @@ def search_with_holdout(
     label: str,
     key: Sequence[str],
     candidates: Sequence[Candidate] = HOLDOUT_FAMILIES,
-    budget_s: float = HOLDOUT_BUDGET_S,
+    budget_s: float | None = HOLDOUT_BUDGET_S,
     holdout: float = 0.25,
+    encode: dict[str, str] | None = None,
+    partitions: int | None = None,
 ) -> SearchResult:
     """Search on one table: a stratified hold-out serves as validation.
 
@@ -320,7 +344,7 @@ def search_with_holdout(
     parts = fit_split(df, spec).parts(df)
     binary = df.select(label).distinct().limit(3).count() == 2
     return search_models(
-        parts.train, parts.test, features, label, candidates, "roc_auc" if binary else "f1", budget_s
+        parts.train, parts.test, features, label, candidates, "roc_auc" if binary else "f1", budget_s, encode, partitions
     )
 
 
@@ -333,16 +357,18 @@ def search_hyperparams(
     grid: dict[str, Sequence],
     folds: int = 3,
     parallelism: int = 2,
+    encode: dict[str, str] | None = None,
+    partitions: int | None = None,
 ) -> tuple[DataFrame, PipelineModel]:
     """Cross-validated grid over one family: the table of parameters and scores, and the best model.
 
     Folds come from the row hash, so they do not depend on how the table is partitioned. Model
     choice uses the MLlib evaluators (area under ROC for two labels, weighted F1 for more).
     """
-    prepare = Pipeline(stages=[*feature_stages(train, features), label_stage(label)]).fit(train)
+    prepare = Pipeline(stages=[*feature_stages(train, features, encode), label_stage(label)]).fit(train)
     labels = prepare.stages[-1].labels
     folded = train.withColumn("_fold", (hash_number(row_hash(key)) % folds).cast("int"))
-    rows = spread(prepare.transform(folded).select(FEATURES, LABEL, "_fold")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = spread(prepare.transform(folded).select(FEATURES, LABEL, "_fold"), partitions).persist(StorageLevel.MEMORY_AND_DISK)
     estimator = estimator.copy({estimator.labelCol: LABEL, estimator.featuresCol: FEATURES})
     builder = ParamGridBuilder()
     for name, values in grid.items():
@@ -364,11 +390,18 @@ def search_hyperparams(
     return table, PipelineModel([*prepare.stages[:-1], tuned.bestModel])
 
 
-def fit_final(train: DataFrame, features: Sequence[str], label: str, estimator: Estimator) -> tuple[PipelineModel, list[str]]:
+def fit_final(
+    train: DataFrame,
+    features: Sequence[str],
+    label: str,
+    estimator: Estimator,
+    encode: dict[str, str] | None = None,
+    partitions: int | None = None,
+) -> tuple[PipelineModel, list[str]]:
     """Refit features and model on the whole training table: the pipeline and its labels."""
     estimator = estimator.copy({estimator.labelCol: LABEL, estimator.featuresCol: FEATURES})
-    prepared = Pipeline(stages=[*feature_stages(train, features), label_stage(label)]).fit(train)
-    fitted = estimator.fit(spread(prepared.transform(train).select(FEATURES, LABEL)))
+    prepared = Pipeline(stages=[*feature_stages(train, features, encode), label_stage(label)]).fit(train)
+    fitted = estimator.fit(spread(prepared.transform(train).select(FEATURES, LABEL), partitions))
     return PipelineModel([*prepared.stages[:-1], fitted]), list(prepared.stages[-1].labels)
 
 
@@ -389,9 +422,10 @@ def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
         for s in model.stages if isinstance(s, OneHotEncoderModel)
         for name, size in zip(s.getOutputCols(), s.categorySizes)
     }
+    slots = {s.getOutputCol(): s.getNumFeatures() for s in model.stages if isinstance(s, FeatureHasher)}
     for name in assembler.getInputCols():
-        # The encoder leaves out the last of its categories.
-        width = sizes[name] - 1 if name in sizes else 1
-        names += [name] if width == 1 and name not in sizes else [f"{name}_{i}" for i in range(width)]
+        # The encoder leaves out the last of its categories; a hashed column has one name per slot.
+        width = sizes[name] - 1 if name in sizes else slots.get(name)
+        names += [name] if width is None else [f"{name}_{i}" for i in range(width)]
     rows = [(n, float(v)) for n, v in zip(names, values, strict=True)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
