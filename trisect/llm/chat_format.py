@@ -5,8 +5,8 @@ which. Turns are sorted by conversation and turn and read as a stream: the machi
 conversation of any length passes in bounded memory. Every turn becomes text segments, each with a loss flag: what
 the template adds never bears loss, a text does if its role does.
 
-Control strings inside texts are escaped reversibly: a backslash goes before every ``<|`` and before every run of
-backslashes that stands before one, so that no text can forge a marker; ``read_back`` takes the escapes out.
+Control strings inside texts are escaped reversibly: a backslash goes before every ``<|``, and backslashes that stand before
+one or at a text's end are doubled, so that no text can forge a marker; ``read_back`` takes the escapes out.
 
 Broken turn order is reported, not mended: ``problem`` holds the first broken rule of a turn, and the turn is
 formatted as it stands. A null text is empty, a null role is the role ''. Ties in turn are sorted by role and text, so that
@@ -52,17 +52,18 @@ class Template:
 
 CHATML = Template()
 
-ESCAPE = re.compile(r"(\\*)<\|")
-ESCAPED = re.compile(r"(\\+)<\|")
+ESCAPE = re.compile(r"(\\*)(<\||\Z)")
+ESCAPED = re.compile(r"(\\+)(<\||\Z)")
+UNESCAPED_MARK = re.compile(r"(?<!\\)(?:\\\\)*<\|")
 
 
 def escape(text: str) -> str:
-    """Double the backslashes before ``<|`` and add one; no unescaped ``<|`` is left."""
-    return ESCAPE.sub(lambda m: m[1] * 2 + "\\<|", text)
+    """Double the backslashes before ``<|`` and at the end, and add one before ``<|``; no unescaped ``<|`` is left."""
+    return ESCAPE.sub(lambda m: m[1] * 2 + ("\\" + m[2] if m[2] else ""), text)
 
 
 def unescape(text: str) -> str:
-    return ESCAPED.sub(lambda m: "\\" * (len(m[1]) // 2) + "<|", text)
+    return ESCAPED.sub(lambda m: "\\" * (len(m[1]) // 2) + m[2], text)
 
 
 def segments(role: str, text: str, template: Template) -> list[tuple[str, bool]]:
@@ -156,17 +157,18 @@ class Reader:
 
     def __init__(self, template: Template):
         head, tail = map(re.escape, template.before.split("{role}"))
-        self.pattern = re.compile(head + r"((?:(?!\n).)*?)" + tail + r"(.*?)(?<!\\)" + re.escape(template.after), re.S)
+        self.head, self.after = re.compile(head + r"(.*?)" + tail), template.after
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.chars = self.problems = 0
 
     def add(self, parts: list[dict], problem: str | None) -> None:
         text = "".join(p["text"] for p in parts)
-        found = self.pattern.fullmatch(text)
-        if not found:
+        found = self.head.match(text)
+        body = text[found.end() : len(text) - len(self.after)] if found else ""
+        if not found or not text.endswith(self.after) or UNESCAPED_MARK.search(body):
             raise ValueError("a formatted turn does not read back")
         role = unescape(found[1].replace("%0A", "\n").replace("%25", "%"))
-        self.turns.update(f"{role}\n{unescape(found[2])}\n".encode("utf-8", "surrogatepass"))
+        self.turns.update(f"{role}\n{unescape(body)}\n".encode("utf-8", "surrogatepass"))
         borne = unescape("".join(p["text"] for p in parts if p["loss"]))
         self.loss.update(borne.encode("utf-8", "surrogatepass"))
         self.loss_chars += len(borne)
