@@ -77,7 +77,8 @@ def projections(dimensions: int, tables: int, scale: float) -> tuple[np.ndarray,
     made = []
     for _ in range(tables):
         axes = np.linalg.qr(rng.normal(size=(max(dimensions, 8), 8)))[0][:dimensions]
-        made.append(axes * scale)
+        # Projected lengths do not depend on the number of dimensions; ``scale`` is for 64 of them.
+        made.append(axes * scale * np.sqrt(dimensions / 64))
     return np.stack(made), rng.uniform(-1, 1, (tables, 8))
 
 
