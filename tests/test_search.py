@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trisect.operators.drift import histogram_by_edges, psi, reference_edges
 from trisect.plans import search
-from trisect.plans.monitoring import compare_models
+from trisect.plans.monitoring import compare_models, validate_model
 from trisect.plans.selection import MODEL_NAME, PARAMS_NAME, RANKING_NAME, run_selection
 from trisect.session import scratch_path
 from trisect.sources.tables import artifact_path, read_artifact, write_artifact
@@ -136,6 +136,19 @@ def test_network_and_importances(spark, tables):
     assert sum(named.values()) == pytest.approx(1.0) and "_a_filled" in named
 
 
+def test_model_validation(spark):
+    new = spark.createDataFrame([("ROC AUC", 0.8), ("Accuracy", 0.6)], "metric string, value double")
+    old = spark.createDataFrame([("ROC AUC", 0.7), ("Accuracy", 0.7)], "metric string, value double")
+    same = spark.range(400).select((F.col("id") % 2 == 0).alias("is_ref"), (F.col("id") / 2).cast("long").cast("double").alias("x"))
+    rows = validate_model(new, old, same, ["x"]).collect()
+    assert {(r["check"], r["name"]): r["passed"] for r in rows} == {
+        ("metric", "ROC AUC"): True, ("metric", "Accuracy"): False, ("drift", "x"): True
+    } and all(r["accept"] for r in rows)
+    moved = same.withColumn("x", F.when(F.col("is_ref"), F.col("x")).otherwise(F.col("x") + 500))
+    assert not any(r["accept"] for r in validate_model(new, old, moved, ["x"]).collect())
+    assert not any(r["accept"] for r in validate_model(old, new, same, ["x"]).collect())
+
+
 def test_selection_job(spark, tables):
     train, valid = tables
     root = scratch_path(spark, "job")

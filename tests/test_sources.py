@@ -32,6 +32,7 @@ from trisect.session import lookup, scratch_path
 from trisect.sources.tables import (
     from_arrays,
     ingest,
+    ingest_version,
     read_artifact,
     read_csv,
     read_metadata,
@@ -104,6 +105,11 @@ def test_ingest_sets_bad_rows_apart(spark, kind):
     spark.createDataFrame([(line,) for line in lines], "v string").coalesce(1).write.text(path)
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("d", T.DateType())])
     found = ingest(spark, path, schema, kind)
+    root = scratch_path(spark, "ingested")
+    kept = ingest_version(spark, path, schema, root, "rows", "1", kind)
+    assert sorted(map(str, kept.valid.collect())) == sorted(map(str, found.valid.collect()))
+    assert kept.rejected.count() == found.rejected.count()
+    assert read_artifact(spark, root, "rows_rejected", "1").columns == found.rejected.columns
     assert sorted(r["k"] for r in found.valid.collect()) == [1, 3]
     assert found.valid.schema["d"].dataType == T.DateType()
     faults = sorted(r["faults"] for r in found.rejected.collect())

@@ -63,3 +63,35 @@ def compare_models(new: DataFrame, old: DataFrame, decisive: str = "ROC AUC", le
     deltas = lookup(joined.withColumn("delta", F.col("new_value") - F.col("old_value")))
     decision = deltas.agg(F.max(F.when(F.col("metric") == decisive, F.col("delta") >= least_gain)).alias("accept"))
     return join_groups(deltas, decision, [])
+
+
+def validate_model(
+    new: DataFrame,
+    old: DataFrame,
+    both: DataFrame,
+    columns: Sequence[str],
+    decisive: str = "ROC AUC",
+    least_gain: float = 0.0,
+    psi_limit: float = PSI_ALERT,
+    ks_limit: float = KS_ALERT,
+) -> DataFrame:
+    """One table for the decision on a model: ``check, name, value, reference, passed, accept``.
+
+    ``new`` and ``old`` are metric tables, ``both`` the marked reference and current rows. A metric passes if it does not
+    fall by more than ``least_gain`` asks for, a column if it raises no drift alert. ``accept`` repeats the decision: the
+    decisive metric passes and no column has drifted.
+    """
+    metrics = compare_models(new, old, decisive, least_gain).select(
+        F.lit("metric").alias("check"), F.col("metric").alias("name"), F.col("new_value").alias("value"),
+        F.col("old_value").alias("reference"), F.coalesce(F.col("delta") >= least_gain, F.lit(False)).alias("passed"),
+    )
+    drift = drift_alert(both, columns, psi_limit, ks_limit).select(
+        F.lit("drift").alias("check"), F.col("column").alias("name"), F.col("psi").alias("value"),
+        F.lit(psi_limit).alias("reference"),
+        # No index (an empty side) is no proof of stability.
+        (~F.col("alert") & F.col("psi").isNotNull()).alias("passed"),
+    )
+    checks = lookup(metrics.unionByName(drift))
+    counts = (F.col("check") == "drift") | (F.col("name") == decisive)
+    decision = checks.agg((F.min(F.when(counts, F.col("passed"))) & F.max(F.col("name") == decisive)).alias("accept"))
+    return join_groups(checks, decision, [])

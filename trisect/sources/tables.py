@@ -117,6 +117,16 @@ def ingest(spark: SparkSession, path: str, schema: T.StructType, file_format: st
     )
 
 
+def ingest_version(
+    spark: SparkSession, path: str, schema: T.StructType, root: str, name: str, version: str, file_format: str = "json", **options
+) -> Ingested:
+    """``ingest``, and store both sides under a version: ``name`` and ``name_rejected``. Returns what was stored."""
+    found = ingest(spark, path, schema, file_format, **options)
+    for rows, kind in ((found.valid, name), (found.rejected, f"{name}_rejected")):
+        write_artifact(rows, root, kind, version)
+    return Ingested(read_artifact(spark, root, name, version), read_artifact(spark, root, f"{name}_rejected", version))
+
+
 def read_jdbc(
     spark: SparkSession, url: str, table: str, split_column: str, low, high, partitions: int, **options
 ) -> DataFrame:
