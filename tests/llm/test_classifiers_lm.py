@@ -118,7 +118,7 @@ def test_lm_edges(hard, nothing, head_words):
     assert context_mixing.score(nothing, held_out).count() == 0
 
 
-def mixer():
+def counted():
     pieces = [b"the ", b"then ", b"thing\xff", b"a ", b"\xff"]
     code = context_mixing.Code(np.bincount(np.frombuffer(b"".join(pieces), np.uint8), minlength=256))
     table = np.zeros((context_mixing.SLOTS, 3), np.uint16)
@@ -126,23 +126,32 @@ def mixer():
     for k in range(len(context_mixing.ORDERS)):
         np.add.at(table, (bits.slot[k], 1 + bits.bit), 3)
         table[bits.slot[k], 0] = bits.check[k]
-    return context_mixing.Mixer(table, code), pieces
+    return table, code, pieces
 
 
 def test_mixed_probabilities_sum_to_one():
-    mix, _ = mixer()
+    table, code, _ = counted()
+    mix = context_mixing.Mixer(context_mixing.Predictions(table), code)
     # All continuations of "th" by one byte: the probability of a piece is a product over bytes.
     whole = np.exp(mix.log_probabilities([b"th"]))[0]
     longer = np.exp(mix.log_probabilities([b"th" + bytes([b]) for b in range(256)])).sum()
-    assert longer == pytest.approx(whole, rel=1e-5)
+    assert longer == pytest.approx(whole, rel=1e-4)
 
 
 def test_learning_lowers_the_cost():
-    mix, pieces = mixer()
-    before = mix.log_probabilities(pieces).sum()
+    """The cost of pieces that are predicted without their own occurrence."""
+    table, code, pieces = counted()
+    learner, bits = context_mixing.Mixer(table, code), context_mixing.Bits(pieces, code)
+
+    def cost():
+        x, evidence = learner.inputs_without_own(bits)
+        logit = (learner.weights.ravel()[learner.gates(evidence)] * x).sum(axis=0)
+        return np.logaddexp(0, np.where(bits.bit, -logit, logit)).sum()
+
+    before = cost()
     for _ in range(50):
-        mix.learn(pieces, np.full(len(pieces), 10))
-    assert mix.log_probabilities(pieces).sum() > before
+        learner.learn(pieces, np.full(len(pieces), 10))
+    assert cost() < before
 
 
 def test_adaptation_is_a_distribution():
@@ -154,7 +163,7 @@ def test_adaptation_is_a_distribution():
     for piece in range(6):
         index = np.array([*past, piece])
         total += np.exp(context_mixing.adapted(np.log(p[index]), index, np.zeros(6, int), np.array([0]))[-1])
-    assert total == pytest.approx(1, rel=1e-9)
+    assert total == pytest.approx(1, rel=1e-5)
     # Another document before it changes nothing.
     index = np.array([1, 3, *past])
     alone = context_mixing.adapted(np.log(p[past]), np.array(past), np.zeros(5, int), np.array([0]))

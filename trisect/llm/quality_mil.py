@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from trisect.llm.bytebpe import blocks
 from trisect.llm.hashed_words import (
-    SLOTS, Adam, WordNumbers, best_threshold, calibrate, constant_logit, means, row_sums, sigmoid, split_words, training_sample,
+    SLOTS, Adam, WordNumbers, best_threshold, calibrate, constant_logit, means, row_sums, sigmoid, split_words, steady, training_sample,
     word_features,
 )
 from trisect.llm.tables import texts_of, with_columns
@@ -55,18 +55,18 @@ class QualityModel:
         }
         self.slope, self.base = 1.0, 0.0
 
-    def forward(self, features: np.ndarray, bags: np.ndarray):
+    def forward(self, features: np.ndarray, bags: np.ndarray, dot=steady):
         """Raw scores of bags and what the backward pass needs; ``bags`` holds where each bag begins, and the end."""
         p = self.p
-        h = np.tanh(features @ p["encode"] + p["encode_shift"])
-        t, s = np.tanh(h @ p["tanh"]), sigmoid(h @ p["gate"])
-        logit = (t * s) @ p["attend"]
+        h = np.tanh(dot(features, p["encode"]) + p["encode_shift"])
+        t, s = np.tanh(dot(h, p["tanh"])), sigmoid(dot(h, p["gate"]))
+        logit = dot(t * s, p["attend"])
         size = np.diff(bags)
         top = np.maximum.reduceat(logit, bags[:-1])
         e = np.exp(logit - np.repeat(top, size))
         a = e / np.repeat(np.add.reduceat(e, bags[:-1]), size)
         z = np.add.reduceat(h * a[:, None], bags[:-1], axis=0)
-        return z @ p["out"] + p["shift"], (h, t, s, a, z)
+        return dot(z, p["out"]) + p["shift"], (h, t, s, a, z)
 
     def score(self, raw: np.ndarray) -> np.ndarray:
         return sigmoid(self.slope * raw.astype(np.float64) + self.base)
@@ -173,7 +173,7 @@ def _fit_batch(model, adam, cuts, flat, offsets, shapes, label, weight):
     own = flat[np.arange(begin[-1]) + np.repeat(offsets[local] - begin[:-1], span)]
     vectors = means(p["rows"], own, begin)
     features = np.concatenate([means(vectors, inner, starts), passage_shapes(shapes, words, starts)], axis=1)
-    raw, (h, t, s, a, z) = model.forward(features, bags)
+    raw, (h, t, s, a, z) = model.forward(features, bags, np.matmul)
     size = np.diff(bags)
     wrong = (weight * (sigmoid(raw) - label) / len(cuts)).astype(np.float32)
     each = np.repeat(wrong, size)[:, None]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from trisect.llm.bytebpe import blocks
 from trisect.llm.hashed_words import (
-    SLOTS, Adam, WordNumbers, best_threshold, calibrate, constant_logit, means, row_sums, sigmoid, split_words, training_sample,
+    SLOTS, Adam, WordNumbers, best_threshold, calibrate, constant_logit, means, row_sums, sigmoid, split_words, steady, training_sample,
     word_features,
 )
 from trisect.llm.tables import texts_of, with_columns
@@ -47,9 +47,10 @@ class ToxicityModel:
         self.slope, self.base = 1.0, 0.0
         self.threshold, self.by_language = 0.5, {}
 
-    def answers(self, vectors: np.ndarray) -> np.ndarray:
+    def answers(self, vectors: np.ndarray, dot=np.matmul) -> np.ndarray:
         """What each word gives to each tap: [words, taps, filters]."""
-        return np.einsum("wd,tdf->wtf", vectors, self.p["taps"], optimize=True)
+        flat = self.p["taps"].transpose(1, 0, 2).reshape(DIMENSIONS, -1)
+        return dot(vectors, flat).reshape(len(vectors), -1, FILTERS)
 
     def pooled(self, answers: np.ndarray, words: np.ndarray, offsets: np.ndarray, places: bool = False):
         """Largest answer of each filter in each text; with ``places`` also where it begins.
@@ -78,8 +79,8 @@ class ToxicityModel:
         pooled = np.concatenate(best, axis=1)
         return (pooled, np.concatenate(where, axis=1)) if places else pooled
 
-    def raw(self, pooled: np.ndarray) -> np.ndarray:
-        return np.maximum(pooled, 0) @ self.p["out"] + self.p["shift"]
+    def raw(self, pooled: np.ndarray, dot=np.matmul) -> np.ndarray:
+        return dot(np.maximum(pooled, 0), self.p["out"]) + self.p["shift"]
 
     def score(self, raw: np.ndarray) -> np.ndarray:
         return sigmoid(self.slope * raw.astype(np.float64) + self.base)
@@ -212,9 +213,9 @@ class Scorer:
             flat, at = word_features(self.numbers.new)
             vectors = means(self.model.p["rows"], flat, at)
             vectors[[i for i, w in enumerate(self.numbers.new) if w == ""]] = 0
-            self.answers = np.concatenate([self.answers, self.model.answers(vectors)])
+            self.answers = np.concatenate([self.answers, self.model.answers(vectors, steady)])
             self.numbers.new = []
-        return self.model.raw(self.model.pooled(self.answers, words, offsets))
+        return self.model.raw(self.model.pooled(self.answers, words, offsets), steady)
 
 
 def fit(
