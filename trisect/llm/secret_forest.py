@@ -24,7 +24,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trisect.llm.tables import stored, text_or_empty
+from trisect.llm.tables import sample_of_texts, stored, text_or_empty, up_to_share
 
 # What a candidate looks like, and formats and words that settle a label.
 TOKEN = r"[A-Za-z0-9+/_.@-]"
@@ -124,12 +124,12 @@ def fit(
     documents: DataFrame, findings: DataFrame | None = None, text: str = "text", path: str = "source",
     most_findings: int = 20_000, dictionary_documents: int = 2000, min_documents: int = 20, trees: int = 25, depth: int = 6,
 ) -> Forest:
-    """Train on at most ``most_findings`` labelled candidates: those with the smallest hashes.
+    """Train on about ``most_findings`` labelled candidates, or all where there are fewer: those with the smallest hashes.
 
     ``findings`` is (doc_id, start, is_secret); without it the format labels are learned. The dictionary holds the words
-    of three letters or more in ``min_documents`` of ``dictionary_documents`` documents, chosen by hash.
+    of three letters or more in ``min_documents`` of about ``dictionary_documents`` documents, chosen by hash.
     """
-    sample = documents.select(text_or_empty(text).alias("text")).orderBy(F.xxhash64("text"), "text").limit(dictionary_documents)
+    sample = sample_of_texts(documents, dictionary_documents, text)
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?<![a-z0-9])[a-z]{3,}(?![a-z0-9])"), F.lit(0)))
     common = sample.select(F.explode(words).alias("w")).groupBy("w").count().where(F.col("count") >= min_documents)
     dictionary = tuple(sorted(r["w"] for r in common.select("w").collect())) + _no_words()
@@ -142,7 +142,8 @@ def fit(
         marks = findings.groupBy("doc_id", "start").agg(F.max(F.col("is_secret").cast("double")).alias("label"))
         labelled = table.drop("label").join(marks, ["doc_id", "start"]).where("label IS NOT NULL")
     order = F.xxhash64("value", "start", "doc_id")
-    chosen = stored(labelled.orderBy(order, "value", "start").limit(most_findings).select("label", *FEATURES), "findings")
+    known = stored(labelled.select(order.alias("_order"), "label", *FEATURES), "findings")
+    chosen = known.where(F.col("_order") <= up_to_share(known.count(), most_findings)).drop("_order")
     counts = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
     if len(counts) < 2:
         return Forest((), dictionary)

@@ -101,6 +101,22 @@ def local_file(name: str) -> str:
     return SparkFiles.get(name)
 
 
+def up_to_share(n: int, most: int) -> int:
+    """The largest 64-bit hash of the share ``most / n`` of all hashes; all of them where there are no more rows than that."""
+    return 2**63 - 1 if n <= most else int(2**64 * most / n) - 2**63
+
+
+def sample_of_texts(documents: DataFrame, most: int, text: str = "text") -> DataFrame:
+    """(text): about ``most`` distinct texts, or all where there are no more rows; the choice is the hash's alone.
+
+    Every task decides for itself, and copies of a text are one before they leave their task.
+    """
+    order = F.xxhash64(text_or_empty(text))
+    rows = documents.select(order.alias("_order"), text_or_empty(text).alias("text"))
+    chosen = rows.where(F.col("_order") <= up_to_share(documents.count(), most))
+    return chosen.groupBy("_order").agg(F.first("text").alias("text")).select("text")
+
+
 def most_frequent(counts: DataFrame, count: str, most: int) -> DataFrame:
     """The rows of the largest counts, down to a level of frequency that keeps within ``most`` rows."""
     level = F.floor(F.log2(count) * 64)
