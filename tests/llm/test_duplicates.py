@@ -157,7 +157,7 @@ def near_copies():
     return rows
 
 
-@pytest.mark.parametrize("rounds,chunk,per_pivot", [(3, 48, 2000), (0, 5, 3)])
+@pytest.mark.parametrize("rounds,chunk,per_pivot", [(2, 48, 2000), (0, 5, 3)])
 def test_documents(spark, hard, monkeypatch, rounds, chunk, per_pivot):
     for name, value in (("PIVOT_ROUNDS", rounds), ("CHUNK", chunk), ("PER_PIVOT", per_pivot)):
         monkeypatch.setattr(weighted_minhash, name, value)

@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa

@@ -8,7 +8,18 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trisect.llm import chat_format, context_mixing, lattice_dedup, lexicon_bpe, packing, quality_mil, rule_ledger, secret_forest, toxicity_cnn, weighted_minhash
+from trisect.llm import (
+    chat_format,
+    context_mixing,
+    lattice_dedup,
+    lexicon_bpe,
+    packing,
+    quality_mil,
+    rule_ledger,
+    secret_forest,
+    toxicity_cnn,
+    weighted_minhash,
+)
 from trisect.llm.hashed_words import held_out_column
 from trisect.llm.tables import importable, read
 
