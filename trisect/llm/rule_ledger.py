@@ -19,6 +19,7 @@ SPACE = r"[\x20\x09-\x0D]"
 # The window of words that is looked for again in a text, and the symbols that are counted.
 WINDOW = 5
 SYMBOLS = "[#*$%&|<>]"
+PLACED = "array<struct<h: bigint, i: int>>"
 
 MEASUREMENTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_exclaim", "n_distinct_words"
@@ -62,28 +63,16 @@ def window_hashes(hashes: Column) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def _covered(windows: Column) -> Column:
-    """Words inside windows that occur twice or more.
-
-    The windows are sorted with their places; equal neighbours give the places, and overlaps count once.
-    """
-    placed = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    both = F.flatten(_neighbours(placed, lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(
-        F.array().cast("array<int>")
-    )))
-    steps = _neighbours(F.sort_array(F.array_distinct(both)), lambda a, b: F.least(b - a, F.lit(WINDOW)))
-    return F.aggregate(steps, F.lit(WINDOW), lambda total, x: total + x).cast("long")
-
-
-def _neighbours(array: Column, combine) -> Column:
-    """combine(x[i], x[i + 1]) for all i; the array is shifted so that no place is looked up."""
-    return F.zip_with(F.slice(array, 1, F.size(array) - 1), F.slice(array, 2, F.size(array) - 1), combine)
+def _neighbours(array: str, combine) -> Column:
+    """combine(x[i], x[i + 1]) for all i of an array column; the array is shifted so that no place is looked up."""
+    short = F.greatest(F.size(array) - 1, F.lit(0))
+    return F.zip_with(F.slice(array, 1, short), F.slice(array, 2, short), combine)
 
 
 def measured(documents: DataFrame, text: str = "text") -> DataFrame:
     """The documents with one column per measurement."""
     kept = documents.drop(*MEASUREMENTS, "failed_bits")
-    own = ["_text", "_words", "_hashes", "_windows", "_lines"]
+    own = ["_text", "_words", "_hashes", "_windows", "_lines", "_again", "_placed", "_starts"]
     clash = set(own) & set(kept.columns)
     if clash:
         raise ValueError(f"columns {sorted(clash)} are needed inside; rename them")
@@ -95,15 +84,25 @@ def measured(documents: DataFrame, text: str = "text") -> DataFrame:
     })
     table = table.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     table = table.withColumn("_windows", window_hashes(F.col("_hashes")))
+    # Words inside windows that occur twice or more: windows sorted with their places, equal neighbours give the places,
+    # and overlaps count once. Most texts have no window twice; their arrays are empty here. Every step is a column of
+    # its own, as an expression that is used twice would be computed twice.
+    table = table.withColumn("_again", F.size(F.array_distinct("_windows")) < F.size("_windows"))
+    placed = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    table = table.withColumn("_placed", F.when(F.col("_again"), placed).otherwise(F.array().cast(PLACED)))
+    both = _neighbours("_placed", lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(
+        F.array().cast("array<int>")
+    ))
+    table = table.withColumn("_starts", F.sort_array(F.array_distinct(F.flatten(both))))
+    covered = F.aggregate(
+        _neighbours("_starts", lambda a, b: F.least(b - a, F.lit(WINDOW))), F.lit(WINDOW), lambda total, x: total + x
+    )
     table = table.withColumns({
         "n_words": F.size("_words").cast("long"),
         "word_chars": F.length(F.array_join("_words", "")).cast("long"),
         "n_symbols": (F.length("_text") - F.length(F.regexp_replace("_text", SYMBOLS, ""))).cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        # Most texts have no window twice and stop here.
-        "n_repeat_words": F.when(
-            F.size(F.array_distinct("_windows")) < F.size("_windows"), _covered(F.col("_windows"))
-        ).otherwise(F.lit(0).cast("long")),
+        "n_repeat_words": F.when(F.col("_again"), covered).otherwise(F.lit(0)).cast("long"),
         "n_lines": F.size("_lines").cast("long"),
         "n_exclaim": (F.length("_text") - F.length(F.replace(F.col("_text"), F.lit("!"), F.lit("")))).cast("long"),
         "n_distinct_words": F.size(F.array_distinct("_hashes")).cast("long"),
