@@ -147,6 +147,16 @@ def test_secrets_from_labelled_findings(spark, nothing):
     assert not none.trees and secret_forest.scan(nothing, none).count() == 0
 
 
+def test_rare_secrets_stay_in_the_sample(spark):
+    rows = [(i, " ".join(f"{i:04d}{k:02d}94974608" for k in range(50))) for i in range(100)]
+    rows += [(1000 + i, f"password=a{i}b7c9d{i}e5f3a1{i}") for i in range(5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    forest = secret_forest.fit(table, most_findings=20)
+    assert forest.trees
+    found = secret_forest.scan(table, forest).select("doc_id", F.explode("findings.is_secret").alias("s")).where("s")
+    assert sorted(r.doc_id for r in found.collect()) == [1000 + i for i in range(5)]
+
+
 def test_op5_lists_every_candidate(spark, documents):
     found = QUERIES["op5_secret_forest"](spark, SF).collect()
     expected = [(r.doc_id, s, n) for r in documents.collect() for s, n, _ in candidates_plainly(r.text)]

@@ -124,7 +124,7 @@ def fit(
     documents: DataFrame, findings: DataFrame | None = None, text: str = "text", path: str = "source",
     most_findings: int = 20_000, dictionary_documents: int = 2000, min_documents: int = 20, trees: int = 25, depth: int = 6,
 ) -> Forest:
-    """Train on about ``most_findings`` labelled candidates, or all where there are fewer: those with the smallest hashes.
+    """Train on about ``most_findings`` candidates of each label, or all where there are fewer: those with the smallest hashes.
 
     ``findings`` is (doc_id, start, is_secret); without it the format labels are learned. The dictionary holds the words
     of three letters or more in ``min_documents`` of about ``dictionary_documents`` documents, chosen by hash.
@@ -143,10 +143,13 @@ def fit(
         labelled = table.drop("label").join(marks, ["doc_id", "start"]).where("label IS NOT NULL")
     order = F.xxhash64("value", "start", "doc_id")
     known = stored(labelled.select(order.alias("_order"), "label", *FEATURES), "findings")
-    chosen = known.where(F.col("_order") <= up_to_share(known.count(), most_findings)).drop("_order")
-    counts = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
-    if len(counts) < 2:
+    # Each label has a bound of its own, so that the one never thins out the other; equal rows have equal hashes, hence the least.
+    ends = known.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min("_order").alias("least")).collect()
+    if len(ends) < 2:
         return Forest((), dictionary)
+    last = {r["label"]: max(up_to_share(r["n"], most_findings), r["least"]) for r in ends}
+    chosen = known.where(F.col("_order") <= F.when(F.col("label") == 1, last[1.0]).otherwise(last[0.0])).drop("_order")
+    counts = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
     even = F.when(F.col("label") == 1, 0.5 / counts[1.0]).otherwise(0.5 / counts[0.0]) * sum(counts.values())
     # A bounded sample in a fixed order: the forest does not depend on the partitioning of the documents.
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
