@@ -157,6 +157,17 @@ def test_rare_secrets_stay_in_the_sample(spark):
     assert sorted(r.doc_id for r in found.collect()) == [1000 + i for i in range(5)]
 
 
+def test_rare_languages_and_small_tables_have_a_dictionary(spark):
+    rows = [(i, "en", f"common words here number{i}") for i in range(3000)] + [(i, "xx", f"zeldzaam woord once{'x' * i}") for i in range(6)]
+    table = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    expected = ("common", "here", "woord", "words", "zeldzaam")
+    assert secret_forest.fit(table).dictionary == expected + secret_forest._no_words()
+    # Languages take turns where not all words find room.
+    assert secret_forest.fit(table, dictionary_words=2).dictionary[:2] == ("common", "woord")
+    few = secret_forest.fit(table.where("lang = 'xx'").drop("lang"))
+    assert few.dictionary[:2] == ("woord", "zeldzaam")
+
+
 def test_op5_lists_every_candidate(spark, documents):
     found = QUERIES["op5_secret_forest"](spark, SF).collect()
     expected = [(r.doc_id, s, n) for r in documents.collect() for s, n, _ in candidates_plainly(r.text)]

@@ -71,7 +71,7 @@ def op4_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
     """Every candidate in every document: its place, a digest of it, the forest's votes and the verdict."""
-    documents = read(spark, folder, "documents").select("doc_id", "text", "source")
+    documents = read(spark, folder, "documents").select("doc_id", "text", "source", "lang")
     forest = secret_forest.fit(documents)
     # An outer explode: for an inner one Spark would test the length of the findings first, and so make them twice.
     found = secret_forest.scan(documents, forest).select("doc_id", F.explode_outer("findings").alias("f"))

@@ -21,10 +21,10 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trisect.llm.tables import sample_of_texts, stored, text_or_empty, up_to_share
+from trisect.llm.tables import stored, text_or_empty, up_to_share
 
 # What a candidate looks like, and formats and words that settle a label.
 TOKEN = r"[A-Za-z0-9+/_.@-]"
@@ -120,19 +120,39 @@ def _no_words() -> tuple[str, ...]:
     return ("\u0000", "\u0001")
 
 
+def common_words(
+    documents: DataFrame, most: int, min_documents: int, text: str = "text", lang: str = "lang"
+) -> tuple[str, ...]:
+    """The ``most`` words of three letters or more that most documents of their language hold, counted over all documents.
+
+    Languages take turns, so that none is crowded out; without the column there is one. A word counts from ``min_documents``
+    documents of a language on, or from a hundredth of them, two at least, where that is less.
+    """
+    speech = F.coalesce(F.col(lang).cast("string"), F.lit("")) if lang in documents.columns else F.lit("")
+    rows = documents.select(speech.alias("lang"), F.array_distinct(F.split(F.lower(text_or_empty(text)), "[^a-z0-9]+")).alias("words"))
+    # The empty word, kept for each document, counts the documents.
+    words = F.filter("words", lambda w: (F.length(w) >= 3) & ~w.rlike("[0-9]"))
+    counts = rows.select("lang", F.explode(F.concat(words, F.array(F.lit("")))).alias("w")).groupBy("lang", "w").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    counts = stored(counts.where((F.col("n") > 1) | (F.col("w") == "")), "words")
+    sizes = counts.where("w = ''").select("lang", F.least(F.lit(min_documents), F.greatest(F.lit(2), F.col("n") / 100)).alias("bar"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
+    ranked = counts.where("w <> ''").join(sizes, "lang").where("n >= bar").withColumn("turn", turn).where(F.col("turn") <= most)
+    first = ranked.groupBy("w").agg(F.min("turn").alias("turn"), F.max("n").alias("n")).orderBy("turn", F.desc("n"), "w").limit(most)
+    return tuple(sorted(r["w"] for r in first.select("w").collect()))
+
+
 def fit(
     documents: DataFrame, findings: DataFrame | None = None, text: str = "text", path: str = "source",
-    most_findings: int = 20_000, dictionary_documents: int = 2000, min_documents: int = 20, trees: int = 25, depth: int = 6,
+    most_findings: int = 20_000, dictionary_words: int = 8000, min_documents: int = 20, trees: int = 25, depth: int = 6,
+    lang: str = "lang",
 ) -> Forest:
     """Train on about ``most_findings`` candidates of each label, or all where there are fewer: those with the smallest hashes.
 
-    ``findings`` is (doc_id, start, is_secret); without it the format labels are learned. The dictionary holds the words
-    of three letters or more in ``min_documents`` of about ``dictionary_documents`` documents, chosen by hash.
+    ``findings`` is (doc_id, start, is_secret); without it the format labels are learned.
     """
-    sample = sample_of_texts(documents, dictionary_documents, text)
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?<![a-z0-9])[a-z]{3,}(?![a-z0-9])"), F.lit(0)))
-    common = sample.select(F.explode(words).alias("w")).groupBy("w").count().where(F.col("count") >= min_documents)
-    dictionary = tuple(sorted(r["w"] for r in common.select("w").collect())) + _no_words()
+    dictionary = common_words(documents, dictionary_words, min_documents, text, lang) + _no_words()
     narrow = documents.select(*[c for c in ("doc_id", text, path) if c in documents.columns])
     table = described(narrow, dictionary, text, path).select("doc_id", F.explode_outer("_found").alias("f"))
     table = table.where("f IS NOT NULL").select("doc_id", "f.*")
