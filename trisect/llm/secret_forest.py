@@ -1,12 +1,13 @@
 """Secret scanning with a random forest that removes false positives.
 
-Candidates are runs of token characters that hold a digit. Each is described by its length, the transitions between
+Candidates are runs of 8 token characters that hold a digit, any runs of 20, and, digit or not, runs of 6 after an
+assignment or the name of a secret and whole quoted values; a full stop at the end is not part of one. Each is described by its length, the transitions between
 its character classes, how much of it dictionary words cover, the document's path and the neighbouring words. A random forest,
 trained on labelled findings, votes; findings with a majority are secrets. The trees are turned into column
 expressions, so a scan is one narrow pass over the documents: no shuffle, no Python, nothing collected.
 
 Labelled findings come as a table. Where there is none, ``format_label`` labels what a known format settles: key
-formats and values assigned to secret words on one side, addresses, numbers and phone numbers on the other. All the rest
+formats and values assigned to secret words on one side, addresses, numbers, phone numbers and dictionary words on the other. All the rest
 is left to the forest.
 
 A null or empty text has no findings. Equal rows give equal rows; an empty table gives an empty table. Long texts
@@ -26,12 +27,41 @@ from pyspark.sql import functions as F
 
 from trisect.llm.tables import stored, text_or_empty, up_to_share
 
-# What a candidate looks like, and formats and words that settle a label.
+# What a candidate looks like, and formats and words that settle a label. Lookbehinds have fixed widths, so
+# that the pattern means the same to other engines.
 TOKEN = r"[A-Za-z0-9+/_.@-]"
-CANDIDATE = rf"(?<!{TOKEN})(?=[A-Za-z+/_.@-]*[0-9]){TOKEN}{{8,}}+={{0,2}}"
+# A token's last character: a full stop ends the sentence.
+LAST = r"[A-Za-z0-9+/_-]"
+QUOTED = r"[^\x00-\x20\"'`\x7f]"
+# Values that stand free after an assignment, and what they end in.
+FREE = r"[^\x00-\x20\"'`\x7f<>(){}\[\],;:&|=\\]"
+FREE_LAST = r"[^\x00-\x20\"'`\x7f<>(){}\[\],;:&|=\\.!?]"
+GAPS = ("", "[ \\t]", "[ \\t]{2}", "[ \\t]{3}", "[ \\t]{4}")
+NAMES = ("password", "passwd", "passphrase", "pwd", "secret", "token", "key", "auth", "credential", "credentials", "bearer")
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" for c in word)
+
+
+AFTER_SIGN = "(?:" + "|".join(f"(?<=[=:]{g})" for g in GAPS) + ")"
+AFTER_SIGN_AND_QUOTE = "(?:" + "|".join(f"(?<=[=:]{g}[\"'`])" for g in GAPS) + ")"
+AFTER_NAME = "(?:" + "|".join(f"(?<={_any_case(n)}[ \\t])" for n in NAMES) + ")"
+CANDIDATE = (
+    rf"(?<!{TOKEN})(?=[^\x00-\x20]{{6}})(?:"
+    # Whole quoted values, assigned or not of letters alone; names before an assignment are none.
+    rf"(?<=[\"'`])(?:{AFTER_SIGN_AND_QUOTE}{QUOTED}{{6,}}|(?=[A-Za-z]*[^A-Za-z\x00-\x20\"'`\x7f]){QUOTED}{{8,}})(?=[\"'`](?![ \t]*[=:]))"
+    rf"|(?<=[=:\x20\t]){AFTER_SIGN}{FREE}{{5,}}{FREE_LAST}={{0,2}}"
+    rf"|(?<=[\x20\t]){AFTER_NAME}{FREE}{{5,}}{FREE_LAST}={{0,2}}"
+    rf"|(?=[A-Za-z+/_.@-]*[0-9]){TOKEN}{{7,}}{LAST}={{0,2}}"
+    # Long runs, but for those that are one short part over and over.
+    rf"|(?={TOKEN}{{20}})(?!({TOKEN}{{1,4}}?)\1{{4,}}{TOKEN}{{0,3}}(?!{TOKEN})){TOKEN}{{19,}}{LAST}={{0,2}})"
+)
 KEY_FORMAT = r"^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,})$"
 OPAQUE = r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_-]{12,}={0,2}$"
 HARMLESS = r"^([A-Za-z0-9+_.-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+\.?|[0-9.+/_-]+|[0-9]{1,3}(\.[0-9]{1,3}){3})$"
+# What a quoted value is assigned to when it is a secret whatever it looks like.
+NAMED_QUOTE = r"(?i)(passw(or)?d|passphrase|pwd|secret|token|api.?key|access.?key|credentials?)[A-Za-z0-9_]*[\"'`]?\s*[=:]\s*[\"'`]$"
 SECRET_WORD = r"(?i)(passw|pwd|secret|token|api.?key|access.?key|auth|credential|bearer)"
 ASSIGNED = r"(?i)(passw(or)?d|pwd|secret|token|api.?key|access.?key|auth|credentials?|bearer)[A-Za-z_]*\s*[=:]?\s*[\"']?$"
 TEST_PATH = r"(?i)(test|example|sample|fixture|mock|dummy)"
@@ -70,10 +100,14 @@ def described(documents: DataFrame, dictionary: tuple[str, ...], text: str = "te
     table = table.withColumn("_starts", F.when(F.size("_values") > 0, starts).otherwise(F.array().cast("array<int>")))
     context = F.arrays_zip(
         F.col("_values").alias("value"), F.slice("_starts", 1, F.size("_values")).alias("start"),
-        F.transform(F.slice("_gaps", 1, F.size("_values")), lambda g: F.right(g, F.lit(NEAR))).alias("left"),
+        # What stands before may itself be a candidate, such as the name of what is assigned.
+        F.zip_with(
+            F.concat(F.array(F.lit("")), F.slice("_values", 1, F.greatest(F.size("_values") - 1, F.lit(0)))),
+            F.slice("_gaps", 1, F.greatest(F.size("_values"), F.lit(1))), lambda v, g: F.right(F.concat(v, g), F.lit(NEAR)),
+        ).alias("left"),
         F.transform(F.slice("_gaps", 2, F.size("_values")), lambda g: F.left(g, F.lit(NEAR))).alias("right"),
     )
-    table = table.withColumn("_context", context)
+    table = table.withColumn("_context", F.slice(context, 1, F.size("_values")))
     return table.withColumn("_found", F.transform("_context", lambda c: _features(c, dictionary, where))).drop(
         "_values", "_starts", "_context"
     )
@@ -91,10 +125,12 @@ def _features(c: Column, dictionary: tuple[str, ...], where: Column) -> Column:
     for pattern, mark in (("[a-z]", "a"), ("[A-Z]", "A"), ("[0-9]", "9"), ("[^aA9]", "-")):
         shape = F.regexp_replace(shape, pattern, mark)
     runs = F.regexp_extract_all(F.lower(value), F.lit("[a-z]{3,}"), F.lit(0))
+    # Words and nothing but words: letters that the dictionary covers.
+    letters = F.length(F.regexp_replace(value, "[^A-Za-z]", ""))
     known = F.aggregate(F.filter(runs, lambda r: r.isin(*dictionary)), F.lit(0), lambda acc, r: acc + F.length(r))
     before = F.lower(F.regexp_extract(c["left"], r"([A-Za-z]{3,})[^A-Za-z]*$", 1))
     return F.struct(
-        value.alias("value"), c["start"].alias("start"), _format_label(value, c["left"]).alias("label"),
+        value.alias("value"), c["start"].alias("start"), _format_label(value, c["left"], c["right"], (letters > 0) & (known == letters)).alias("label"),
         n.alias("length"), share("[^0-9]").alias("digits"), share("[^A-Z]").alias("uppers"), share("[^a-z]").alias("lowers"),
         share("[A-Za-z0-9]").alias("symbols"),
         ((F.length(F.regexp_replace(shape, r"(.)\1+", "$1")) - 1) / n).alias("transitions"),
@@ -109,10 +145,10 @@ def _features(c: Column, dictionary: tuple[str, ...], where: Column) -> Column:
     )
 
 
-def _format_label(value: Column, left: Column) -> Column:
+def _format_label(value: Column, left: Column, right: Column, is_words: Column) -> Column:
     return F.when(value.rlike(KEY_FORMAT), 1).when(value.rlike(HARMLESS), 0).when(
-        value.rlike(OPAQUE) & left.rlike(ASSIGNED), 1
-    )
+        (value.rlike(OPAQUE) & left.rlike(ASSIGNED)) | (left.rlike(NAMED_QUOTE) & right.rlike(r"^[\"'`]") & (F.length(value) >= 8)), 1
+    ).when(~value.rlike("[0-9]") & ~left.rlike(SECRET_WORD) & is_words, 0)
 
 
 def _no_words() -> tuple[str, ...]:
