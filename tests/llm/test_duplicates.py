@@ -183,6 +183,18 @@ def test_common_shingles_weigh_less(spark, hard):
     assert shingle[0] == weighted_minhash.Shingler().shingles("a b c d e")[0]
 
 
+@pytest.mark.parametrize("copies,others", [(2, 0), (8, 0), (8, 4)])
+def test_near_copies_that_fill_a_table(spark, hard, copies, others):
+    base = [f"w{i}" for i in range(100)]
+    # One word changed near the end of each: 90 of 100 and more shingles are shared by all.
+    rows = [(i, " ".join([*base, f"own{i}"])) for i in range(copies)]
+    rows += [(100 + i, " ".join(f"o{i}x{k}" for k in range(100))) for i in range(others)]
+    found = weighted_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_id, r.class_size) for r in found) == [(i, 0, copies) for i in range(copies)] + [
+        (100 + i, 100 + i, 1) for i in range(others)
+    ]
+
+
 def test_no_documents(nothing):
     assert weighted_minhash.near_duplicates(nothing).count() == 0 and weighted_minhash.keep_one_each(nothing).count() == 0
 
