@@ -145,6 +145,13 @@ def test_periods_without_some_bins(spark):
     assert found[1]["psi"] == pytest.approx(direct)
 
 
+def test_periods_without_values_are_shown(spark):
+    rows = [(f"2024-01-{d:02d}", float(d)) for d in range(1, 31)] + [("2024-02-01", None), ("2024-03-01", 5.0)]
+    df = spark.createDataFrame(rows, "t string, x double").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    found = drift_by_period(df, "t", "month", F.col("t") < "2024-02-01", ["x"]).orderBy("period").collect()
+    assert [r["psi"] is None for r in found] == [False, True, False] and found[1]["column"] == "x"
+
+
 def test_sides_and_columns_without_values(spark):
     rows = [(1.0, None, True), (2.0, None, True), (None, None, False)]
     both = spark.createDataFrame(rows, "x double, gone double, is_ref boolean")

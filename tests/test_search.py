@@ -5,6 +5,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
+from trisect.catalog.queries import QUERIES
 from trisect.operators.drift import histogram_by_edges, psi, reference_edges
 from trisect.plans import search
 from trisect.plans.monitoring import compare_models, validate_model
@@ -193,3 +194,9 @@ def test_stream_counts_equal_the_batch(spark):
     first = rows.where("t < timestamp'2024-01-01 12:00:00'").select("x", F.lit(False).alias("is_ref"))
     direct = psi(reference.unionByName(first), ["x"]).first()["psi"]
     assert found[0]["psi"] == pytest.approx(direct) and len(found) == 3
+
+
+@pytest.mark.parametrize("name", ["batch_score", "feature_reduction"])
+def test_scores_cover_the_whole_table(spark, name):
+    folder = "/root/testdata/sf0.001"
+    assert QUERIES[name](spark, folder).count() == spark.read.parquet(f"{folder}/lineitem.parquet").count()

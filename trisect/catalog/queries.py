@@ -213,7 +213,7 @@ def drift_by_period(spark, folder):
     found = monitoring.drift_by_period(
         read(spark, folder, "orders"), "o_orderdate", "year", F.col("o_orderdate") < ntz("1996-01-01"), ["o_totalprice"]
     )
-    return rounded(found.where("psi IS NOT NULL"), "psi", "js_divergence")
+    return rounded(found, "psi", "js_divergence")
 
 
 # Summaries
@@ -510,8 +510,12 @@ SMALL_FAMILIES = tuple(
 )
 
 
+def model_lines(spark, folder) -> DataFrame:
+    return read(spark, folder, "lineitem").withColumn("returned", (F.col("l_returnflag") == "R").cast("int"))
+
+
 def model_tables(spark, folder) -> tuple[DataFrame, DataFrame]:
-    lines = read(spark, folder, "lineitem").withColumn("returned", (F.col("l_returnflag") == "R").cast("int"))
+    lines = model_lines(spark, folder)
     spec = SplitSpec("time", time="l_shipdate", train="1999-06-01", test="2001-06-01")
     parts = fit_split(lines, spec).parts(lines)
     return parts.train, parts.test
@@ -579,11 +583,13 @@ def hyperparam_search(spark, folder):
 
 @query
 def feature_reduction(spark, folder):
-    train, test = model_tables(spark, folder)
+    train, _ = model_tables(spark, folder)
     forest, _ = search.fit_final(train, FEATURES, "returned", RandomForestClassifier(numTrees=10, seed=42), partitions=PARTITIONS)
     slicer = features.keep_important(list(forest.stages[-1].featureImportances), 2, search.FEATURES)
-    vectors = PipelineModel([*forest.stages[:-1], slicer]).transform(test)
-    parts = features.principal_components(1, "reduced").fit(vectors).transform(vectors)
+    # Fitted on the train part, applied to all lines.
+    sliced = PipelineModel([*forest.stages[:-1], slicer])
+    components = features.principal_components(1, "reduced").fit(sliced.transform(train))
+    parts = components.transform(sliced.transform(model_lines(spark, folder)))
     return parts.select(
         *LINE_KEY, vector_to_array("reduced").alias("reduced"), vector_to_array("components")[0].alias("component")
     )
@@ -605,8 +611,8 @@ def final_model(spark, folder):
 
 @query
 def batch_score(spark, folder):
-    model, labels, test = saved_model(spark, folder, "scorer", LogisticRegression(regParam=0.001))
-    return search.score(model, labels, test).select(*LINE_KEY, F.col("scores")[1].alias("score"), "predicted")
+    model, labels, _ = saved_model(spark, folder, "scorer", LogisticRegression(regParam=0.001))
+    return search.score(model, labels, model_lines(spark, folder)).select(*LINE_KEY, F.col("scores")[1].alias("score"), "predicted")
 
 
 @query

@@ -31,7 +31,7 @@ def drift_by_period(
     """PSI and Jensen-Shannon divergence of every period against the reference rows.
 
     The rows are binned and counted per period once; the reference counts are the sum of the
-    counts of its own rows, so periods and reference come from the same pass.
+    counts of its own rows, so periods and reference come from the same pass. A period without values has null indices.
     """
     kind = df.schema[time].dataType
     rows = df.select(
@@ -50,7 +50,10 @@ def drift_by_period(
         .groupBy("period", "column", "bin")
         .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     )
-    return divergences(counts, by=["period", "column"])
+    every = lookup(rows.select("period").distinct()).select("period", F.explode(F.lit(list(columns))).alias("column"))
+    return join_groups(every, lookup(divergences(counts, by=["period", "column"])), ["period", "column"], "left").select(
+        "period", "column", "psi", "js_divergence"
+    )
 
 
 def compare_models(new: DataFrame, old: DataFrame, decisive: str = "ROC AUC", least_gain: float = 0.0) -> DataFrame:
