@@ -169,3 +169,14 @@ def test_adaptation_is_a_distribution():
     alone = context_mixing.adapted(np.log(p[past]), np.array(past), np.zeros(5, int), np.array([0]))
     both = context_mixing.adapted(np.log(p[index]), index, np.array([0, 0, 1, 1, 1, 1, 1]), np.array([0, 2]))
     assert np.allclose(alone, both[2:])
+
+
+def test_rare_kinds_are_learned_from_all_texts(spark, nothing):
+    common = [(f"red green blue red {'red ' * (i % 3)}x{i}",) for i in range(4000)]
+    table = spark.createDataFrame(common + [("uno dos tres uno dos",)] * 4, "text string")
+    pieces = [b"red ", b"green ", b"blue ", b"uno ", b"dos ", b"tres "]
+    one, other = (context_mixing.find_kinds(table.repartition(n), pieces, 2).log_p for n in (2, 5))
+    assert (one == other).all()
+    # A text of the rare kind is likelier in one kind, and by far.
+    rare = one[:, 3:].sum(axis=1)
+    assert abs(rare[0] - rare[1]) > 3
