@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from trisect.llm import (
     chat_format,
     context_mixing,
+    filter_audit,
     lattice_dedup,
     lexicon_bpe,
     packing,
@@ -140,3 +141,12 @@ def op10_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op2_lattice_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Links, component and verdict of every vector."""
     return lattice_dedup.near_duplicates(read(spark, folder, "embeddings"))
+
+
+@query
+def op13_gray_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders of five filters, step by step, per language."""
+    return filter_audit.audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+ORACLE["op13_gray_audit"] = filter_audit.ORACLE
