@@ -28,8 +28,8 @@ def failed(rows):
 
 
 def steps_plainly(rows, labels):
-    quality = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, t in labels if t == 1}
+    quality = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
     letters = failed(rows)
     out = {}
     for part in {r[2] or "" for r in rows}:
