@@ -18,6 +18,7 @@ from trisect.llm import (
     quality_mil,
     rule_ledger,
     secret_forest,
+    source_mix,
     toxicity_cnn,
     weighted_minhash,
 )
@@ -150,3 +151,9 @@ def op13_gray_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op13_gray_audit"] = filter_audit.ORACLE
+
+
+@query
+def op11_hypergeometric_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that a mix of all sources to target weights takes from every document."""
+    return source_mix.taken(read(spark, folder, "documents"))
