@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from trisect.llm import (
     chat_format,
     context_mixing,
+    conversation_repair,
     filter_audit,
     lattice_dedup,
     lexicon_bpe,
@@ -157,3 +158,11 @@ ORACLE["op13_gray_audit"] = filter_audit.ORACLE
 def op11_hypergeometric_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of all sources to target weights takes from every document."""
     return source_mix.taken(read(spark, folder, "documents"))
+
+
+@query
+def op12_checkpoint_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations damaged by a checksum, and their cheapest repair."""
+    table = read(spark, folder, "conversations")
+    repaired = conversation_repair.repair(conversation_repair.damaged(table))
+    return conversation_repair.digests(repaired, table)
