@@ -38,7 +38,7 @@ WEIGHTS = (1, 2, 3)
 GROUPS = 1024
 # numpy draws from up to 1e9 items; blocks are doubled until there are fewer.
 MOST_DRAWS = 1 << 28
-BUCKET_DOCUMENTS = 50_000
+BUCKET_DOCUMENTS = 4096
 CHUNK = 1 << 16
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -110,7 +110,8 @@ def quotas(
     earlier = W.partitionBy("group").orderBy("rank").rowsBetween(W.unboundedPreceding, -1)
     made = made.withColumn("group_from", F.coalesce(F.sum("draws").over(earlier), F.lit(0)))
     made = made.withColumn("group_draws", F.sum("draws").over(W.partitionBy("group")))
-    return lookup(made.drop("rest", "rest_draws", "passes", "words")), block_words
+    # Stored without a broadcast hint, which would pass on to the draws that are made from it.
+    return stored(made.drop("rest", "rest_draws", "passes", "words"), "quotas"), block_words
 
 
 def permuted(index: np.ndarray, n: int, *key: int) -> np.ndarray:
@@ -215,7 +216,10 @@ def shard_positions(sources: DataFrame, shard_blocks: int, seed: int) -> DataFra
 
 def block_draws(sources: DataFrame, block_words: int, shard_blocks: int = 256, seed: int = 11) -> DataFrame:
     """(shard, place, rank, block, words): the mix as an ordered list of blocks per shard."""
-    drawn = source_draws(sources, block_words, seed).join(shard_positions(sources, shard_blocks, seed), ["group", "position"])
+    # Both sides grow out of a few rows, so that the optimizer would take them for small and broadcast one.
+    drawn = source_draws(sources, block_words, seed).hint("merge").join(
+        shard_positions(sources, shard_blocks, seed), ["group", "position"]
+    )
     local = W.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "group", "position"), "group", "position")
     return drawn.select("shard", F.row_number().over(local).alias("place"), "rank", "block", "words")
 
@@ -223,7 +227,7 @@ def block_draws(sources: DataFrame, block_words: int, shard_blocks: int = 256, s
 def positions(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """The rows with their source's numbers and ``start``, their place on its line of words; null for rows without words."""
     digits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n_documents") / BUCKET_DOCUMENTS))).cast("int")
-    kept = sources.select("rank", F.col("source").alias("_source"), "source_size", "target", "n_documents")
+    kept = lookup(sources.select("rank", F.col("source").alias("_source"), "source_size", "target", "n_documents"))
     table = rows.join(kept, F.col("source").eqNullSafe(F.col("_source"))).withColumn("digits", digits)
     table = table.withColumn("bucket", F.expr("shiftright(tie, 63 - digits)")).drop("_source", "n_documents", "digits")
     earlier = W.partitionBy("rank").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -258,7 +262,8 @@ def mix(
     rows = stored(sized(documents, source, id_column, text), "sizes")
     sources, block_words = quotas(rows, weights, cap, block_words)
     placed = stored(positions(rows, sources), "positions")
-    return placed, taken_pieces(placed, block_draws(sources, block_words, shard_blocks, seed), block_words)
+    draws = stored(block_draws(sources, block_words, shard_blocks, seed), "draws")
+    return placed, taken_pieces(placed, draws, block_words)
 
 
 def taken(documents: DataFrame, **parameters) -> DataFrame:
