@@ -220,6 +220,36 @@ h AS (SELECT period, bin, sum(n_ref) AS n_ref, sum(n_cur) AS n_cur FROM u GROUP
 SELECT period, 'o_totalprice' AS "column", {digits('psi', 'psi')}, {digits('js_divergence', 'js_divergence')} FROM d"""
 
 
+# Streams
+
+ORACLE["stream_monitor"] = f"""
+WITH v AS (SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, ts, ts < TIMESTAMP '2024-01-11' AS is_ref, x.col AS col, x.value AS value
+           FROM (SELECT ts, unnest([{{'col': 'value', 'value': value}}, {{'col': 'user_id', 'value': user_id::DOUBLE}}]) AS x
+                 FROM events WHERE ts IS NOT NULL)),
+e AS (SELECT col, quantile_cont(value, {DECILES}) AS e FROM v WHERE is_ref GROUP BY col),
+b AS (SELECT window_start, ts, is_ref, v.col AS col, value IS NULL OR isnan(value) AS missing,
+             CASE WHEN value BETWEEN e[1] AND e[11] THEN len(list_filter(e[2:10], lambda z: z <= value)) END AS bin
+      FROM v JOIN e ON v.col = e.col),
+ref AS (SELECT col, bin, count(*) AS n FROM b WHERE is_ref AND NOT missing GROUP BY col, bin),
+sizes AS (SELECT window_start, col, count(*) FILTER (NOT missing) AS n, count(*) FILTER (missing) AS n_null FROM b GROUP BY 1, 2),
+u AS (SELECT window_start, col, bin, 0 AS n_ref, count(*) AS n_cur FROM b WHERE NOT missing GROUP BY 1, 2, 3
+      UNION ALL SELECT window_start, ref.col, bin, ref.n, 0 FROM sizes JOIN ref ON sizes.col = ref.col WHERE sizes.n > 0),
+h AS (SELECT window_start, col, bin, sum(n_ref) AS n_ref, sum(n_cur) AS n_cur FROM u GROUP BY 1, 2, 3),
+{divergence_ctes('h', 'window_start, col')},
+t AS (SELECT sizes.*, psi, js_divergence,
+             window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM b) AND sizes.n >= 20 AS judged
+      FROM sizes LEFT JOIN d USING (window_start, col)),
+turned AS (SELECT window_start, col,
+                  CASE WHEN psi >= 0.25 AND lag(psi) OVER w >= 0.25 THEN true
+                       WHEN psi < 0.1 AND lag(psi) OVER w < 0.1 THEN false END AS turn
+           FROM t WHERE judged WINDOW w AS (PARTITION BY col ORDER BY window_start)),
+held AS (SELECT window_start, col, coalesce(last_value(turn IGNORE NULLS) OVER (
+             PARTITION BY col ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), false) AS alert FROM turned)
+SELECT window_start, col AS "column", n, n_null, {digits('psi', 'psi')}, {digits('js_divergence', 'js_divergence')},
+       CASE WHEN alert IS NULL THEN 'open' WHEN alert THEN 'alert' ELSE 'calm' END AS state
+FROM t LEFT JOIN held USING (window_start, col)"""
+
+
 # Summaries
 
 ORACLE["histogram_equal_width"] = f"""

@@ -17,6 +17,7 @@ from trisect.plans import distinct_users, monitoring, search
 from trisect.plans.selection import MODEL_NAME, PARAMS_NAME, RANKING_NAME, run_selection
 from trisect.session import scratch_path
 from trisect.sources import tables
+from trisect.streaming import continuous
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -216,6 +217,24 @@ def drift_by_period(spark, folder):
     return rounded(found, "psi", "js_divergence")
 
 
+# Streams
+
+
+@query
+def stream_monitor(spark, folder):
+    """The events as a stream, watched by day against the first ten days."""
+    events = read(spark, folder, "events")
+    reference = events.where(F.col("ts") < ntz("2024-01-11")).select("value", "user_id")
+    edges = drift.reference_edges(reference.withColumn("is_ref", F.lit(True)), ["value", "user_id"])
+    watch = continuous.Watch("ts", "1 day", edges, high=0.25, low=0.1, up=2, down=2, least_rows=20)
+    monitor = continuous.Monitor(scratch_path(spark, "monitor"), watch, continuous.reference_counts(reference, edges))
+    # A pattern, since a table may be one file, which a stream cannot take for its base folder.
+    monitor.start(spark.readStream.schema(events.schema).parquet(f"{folder}/events[.]parquet")).awaitTermination()
+    state = F.when(F.col("alert").isNull(), "open").when(F.col("alert"), "alert").otherwise("calm")
+    found = monitor.report(spark).withColumn("state", state).drop("alert")
+    return rounded(found, "psi", "js_divergence")
+
+
 # Summaries
 
 
