@@ -240,8 +240,8 @@ t AS (SELECT sizes.*, psi, js_divergence,
              window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM b) AND sizes.n >= 20 AS judged
       FROM sizes LEFT JOIN d USING (window_start, col)),
 turned AS (SELECT window_start, col,
-                  CASE WHEN psi >= 0.25 AND lag(psi) OVER w >= 0.25 THEN true
-                       WHEN psi < 0.1 AND lag(psi) OVER w < 0.1 THEN false END AS turn
+                  CASE WHEN psi >= 0.04 AND lag(psi) OVER w >= 0.04 THEN true
+                       WHEN psi < 0.02 AND lag(psi) OVER w < 0.02 THEN false END AS turn
            FROM t WHERE judged WINDOW w AS (PARTITION BY col ORDER BY window_start)),
 held AS (SELECT window_start, col, coalesce(last_value(turn IGNORE NULLS) OVER (
              PARTITION BY col ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), false) AS alert FROM turned)
@@ -445,6 +445,17 @@ SELECT least(floor(score * 10), 9)::INT AS bin, count(*) AS n, {digits('avg(scor
        {digits('avg((quality = 1)::INT)', 'rate')}
 FROM scored GROUP BY 1"""
 
+# The isotonic fit at a point is the largest, over all starts up to it, of the least mean over all ends from it on.
+ORACLE["isotonic_calibration"] = f"""
+WITH c AS (SELECT l_quantity AS score, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS hits FROM lineitem
+           WHERE l_quantity IS NOT NULL AND NOT isnan(l_quantity) GROUP BY 1),
+r AS (SELECT *, sum(n) OVER w AS n_to, sum(hits) OVER w AS hits_to FROM c WINDOW w AS (ORDER BY score)),
+m AS (SELECT a.score AS low, b.score AS high, (b.hits_to - a.hits_to + a.hits)::DOUBLE / (b.n_to - a.n_to + a.n) AS mean
+      FROM r a JOIN r b ON a.score <= b.score),
+least_mean AS (SELECT p.score, low, min(mean) AS mean FROM c p JOIN m ON low <= p.score AND p.score <= high GROUP BY 1, 2),
+f AS (SELECT score, max(mean) AS fitted FROM least_mean GROUP BY 1)
+SELECT c.score AS score, n, {digits('hits::DOUBLE / n', 'rate')}, {digits('fitted', 'fitted')} FROM c JOIN f ON c.score = f.score"""
+
 
 # Features
 

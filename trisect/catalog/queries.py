@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from trisect.operators import checks, drift, features, metrics, summary
 from trisect.operators.quantiles import edge_probabilities, quantiles
 from trisect.operators.split import SplitSpec, fit_split, random_split_by_hash, split, split_in_blocks
-from trisect.plans import distinct_users, monitoring, search
+from trisect.plans import calibration, distinct_users, monitoring, search
 from trisect.plans.selection import MODEL_NAME, PARAMS_NAME, RANKING_NAME, run_selection
 from trisect.session import scratch_path
 from trisect.sources import tables
@@ -226,7 +226,7 @@ def stream_monitor(spark, folder):
     events = read(spark, folder, "events")
     reference = events.where(F.col("ts") < ntz("2024-01-11")).select("value", "user_id")
     edges = drift.reference_edges(reference.withColumn("is_ref", F.lit(True)), ["value", "user_id"])
-    watch = continuous.Watch("ts", "1 day", edges, high=0.25, low=0.1, up=2, down=2, least_rows=20)
+    watch = continuous.Watch("ts", "1 day", edges, high=0.04, low=0.02, up=2, down=2, least_rows=20)
     monitor = continuous.Monitor(scratch_path(spark, "monitor"), watch, continuous.reference_counts(reference, edges))
     # A pattern, since a table may be one file, which a stream cannot take for its base folder.
     monitor.start(spark.readStream.schema(events.schema).parquet(f"{folder}/events[.]parquet")).awaitTermination()
@@ -464,6 +464,13 @@ def calibration_bins(spark, folder):
     return rounded(found, "mean_score", "rate")
 
 
+@query
+def isotonic_calibration(spark, folder):
+    """Share of returned lines by quantity, observed and fitted to be non-decreasing."""
+    found = calibration.isotonic_table(read(spark, folder, "lineitem"), "l_returnflag", "l_quantity", "R")
+    return rounded(found, "rate", "fitted")
+
+
 # Features
 
 

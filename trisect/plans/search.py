@@ -14,7 +14,6 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -47,6 +46,7 @@ from trisect.operators.metrics import (
     roc_auc_per_class,
 )
 from trisect.operators.split import SplitSpec, fit_split
+from trisect.plans.calibration import CalibratedOneVsRest
 from trisect.session import lookup
 
 # Fixed values
@@ -79,7 +79,9 @@ class Candidate:
 
 def _boosted(n_classes: int, _: int, params: dict) -> Estimator:
     trees = GBTClassifier(labelCol=LABEL, featuresCol=FEATURES, seed=SEED, **params)
-    return trees if n_classes == 2 else OneVsRest(classifier=trees, labelCol=LABEL, featuresCol=FEATURES)
+    if n_classes == 2:
+        return trees
+    return CalibratedOneVsRest(classifier=trees, n_classes=n_classes, labelCol=LABEL, featuresCol=FEATURES)
 
 
 def _forest(_: int, __: int, params: dict) -> Estimator:
