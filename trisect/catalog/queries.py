@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from trisect.operators import checks, drift, features, metrics, summary
 from trisect.operators.quantiles import edge_probabilities, quantiles
 from trisect.operators.split import SplitSpec, fit_split, random_split_by_hash, split, split_in_blocks
-from trisect.plans import calibration, distinct_users, monitoring, search
+from trisect.plans import calibration, distinct_users, halving, monitoring, search
 from trisect.plans.selection import MODEL_NAME, PARAMS_NAME, RANKING_NAME, run_selection
 from trisect.session import scratch_path
 from trisect.sources import tables
@@ -598,6 +598,25 @@ def selection_job(spark, folder):
     )
 
 
+@query
+def halving_samples(spark, folder):
+    """Samples of a search over 18 parameter sets for the price of three full fits."""
+    lines = read(spark, folder, "lineitem")
+    n = lines.count()
+    return halving.rung_sizes(lines, LINE_KEY, halving.plan_rungs(n, 18, 3 * n, least_rows=100))
+
+
+@query
+def halving_search(spark, folder):
+    train, test = model_tables(spark, folder)
+    linear = halving.spread_grid(search.LINEAR, {"regParam": (1e-4, 1.0, "log"), "elasticNetParam": (0.0, 1.0)}, 6)
+    forest = halving.spread_grid(search.FOREST, {"numTrees": (4, 10), "maxDepth": (3, 6)}, 3)
+    _, fits = halving.search_halving(
+        train, test, FEATURES, "returned", LINE_KEY, (linear, forest), 4 * train.count(), partitions=PARTITIONS, parallelism=2
+    )
+    return fits.withColumn("hiperparameters", F.to_json("hiperparameters"))
+
+
 @query
 def hyperparam_search(spark, folder):
     train, _ = model_tables(spark, folder)
