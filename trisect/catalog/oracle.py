@@ -514,12 +514,12 @@ FROM f JOIN v USING (place) LEFT JOIN gone ON place = pb LEFT JOIN ranked USING
 ORACLE["feature_selection"] = selection(["l_quantity", "l_extendedprice", "l_discount", "l_tax"], 2)
 
 
-# Search under a budget of rows: the fewest rungs whose fits read at most three times all rows.
+# Search under a budget of rows: the fewest rungs whose fits read at most four times all rows.
 ORACLE["halving_samples"] = f"""
 WITH c AS (SELECT count(*) AS n FROM lineitem),
 p AS (SELECT l.range AS last, r.range AS rung, ceil(18 / pow(3, r.range))::INT AS configs, pow(3.0, r.range - l.range) AS share, n
       FROM c, range(0, 4) l, range(0, 4) r WHERE r.range <= l.range AND (l.range = 0 OR n / pow(3, l.range) >= 100)),
-fits AS (SELECT last FROM p GROUP BY last, n HAVING sum(configs * ceil(share * n)) <= 3 * n),
+fits AS (SELECT last FROM p GROUP BY last, n HAVING sum(configs * ceil(share * n)) <= 4 * n),
 h AS (SELECT ('0x' || substr({tie(LINE_KEY.split(', '))}, 1, 8))::BIGINT AS mark FROM lineitem)
 SELECT rung::INT AS rung, share, configs, (SELECT count(*) FROM h WHERE mark < ceil(share * 4294967296)) AS "rows"
 FROM p WHERE last = (SELECT min(last) FROM fits)"""

@@ -600,10 +600,10 @@ def selection_job(spark, folder):
 
 @query
 def halving_samples(spark, folder):
-    """Samples of a search over 18 parameter sets for the price of three full fits."""
+    """Samples of a search over 18 parameter sets for the price of four full fits."""
     lines = read(spark, folder, "lineitem")
     n = lines.count()
-    return halving.rung_sizes(lines, LINE_KEY, halving.plan_rungs(n, 18, 3 * n, least_rows=100))
+    return halving.rung_sizes(lines, LINE_KEY, halving.plan_rungs(n, 18, 4 * n, least_rows=100))
 
 
 @query
