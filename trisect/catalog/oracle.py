@@ -523,3 +523,32 @@ fits AS (SELECT last FROM p GROUP BY last, n HAVING sum(configs * ceil(share * n
 h AS (SELECT ('0x' || substr({tie(LINE_KEY.split(', '))}, 1, 8))::BIGINT AS mark FROM lineitem)
 SELECT rung::INT AS rung, share, configs, (SELECT count(*) FROM h WHERE mark < ceil(share * 4294967296)) AS "rows"
 FROM p WHERE last = (SELECT min(last) FROM fits)"""
+
+
+# Placement values from ranks: negatives below a positive, positives above a negative, ties half.
+ORACLE["auc_difference"] = """
+WITH v AS (SELECT coalesce(l_returnflag = 'R', false) AS hit, l_extendedprice AS a, l_quantity AS b FROM lineitem
+           WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL),
+t AS (SELECT count(*) FILTER (hit) AS m, count(*) FILTER (NOT hit) AS n FROM v),
+r AS (SELECT hit,
+             (count(*) FILTER (NOT hit) OVER below_a + count(*) FILTER (NOT hit) OVER up_to_a) / 2.0 / n AS beats_a,
+             (count(*) FILTER (NOT hit) OVER below_b + count(*) FILTER (NOT hit) OVER up_to_b) / 2.0 / n AS beats_b,
+             1 - (count(*) FILTER (hit) OVER below_a + count(*) FILTER (hit) OVER up_to_a) / 2.0 / m AS beaten_a,
+             1 - (count(*) FILTER (hit) OVER below_b + count(*) FILTER (hit) OVER up_to_b) / 2.0 / m AS beaten_b
+      FROM v, t
+      WINDOW up_to_a AS (ORDER BY a), below_a AS (ORDER BY a RANGE UNBOUNDED PRECEDING EXCLUDE GROUP),
+             up_to_b AS (ORDER BY b), below_b AS (ORDER BY b RANGE UNBOUNDED PRECEDING EXCLUDE GROUP)),
+s AS (SELECT count(*) FILTER (hit) AS n_pos, count(*) FILTER (NOT hit) AS n_neg,
+             avg(beats_a) FILTER (hit) AS auc_first, avg(beats_b) FILTER (hit) AS auc_second,
+             sqrt(var_samp(beats_a - beats_b) FILTER (hit) / count(*) FILTER (hit)
+                  + var_samp(beaten_a - beaten_b) FILTER (NOT hit) / count(*) FILTER (NOT hit)) AS std_error
+      FROM r),
+z AS (SELECT *, auc_first - auc_second AS delta, (auc_first - auc_second) / std_error AS z,
+             abs((auc_first - auc_second) / std_error) / sqrt(2) AS x FROM s),
+p AS (SELECT 1 - 2 / sqrt(pi()) * exp(-(any_value(x) * any_value(x)))
+             * sum(exp(k * ln(2) + (2 * k + 1) * ln(x) - (k + 1) * ln(2) - lgamma(k + 1.5) + 0.5 * ln(pi()))) AS p_value
+      FROM z, (SELECT range AS k FROM range(121)))
+SELECT n_pos, n_neg, round(auc_first, 9) AS auc_first, round(auc_second, 9) AS auc_second, round(delta, 9) AS delta,
+       round(std_error, 9) AS std_error, round(delta - 1.959963984540054 * std_error, 9) AS low,
+       round(delta + 1.959963984540054 * std_error, 9) AS high, round(z, 9) AS z, round(p_value, 9) AS p_value
+FROM z, p"""

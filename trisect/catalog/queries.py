@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trisect.operators import auc_difference as auc_test
 from trisect.operators import checks, drift, features, metrics, summary
 from trisect.operators.quantiles import edge_probabilities, quantiles
 from trisect.operators.split import SplitSpec, fit_split, random_split_by_hash, split, split_in_blocks
@@ -452,6 +453,13 @@ def classification_report_multiclass(spark, folder):
     return rounded(metrics.classification_report(lines, "l_returnflag", "predicted", scores), "value")
 
 
+@query
+def auc_difference(spark, folder):
+    """How well price and quantity tell returned lines from others, and whether one does better."""
+    found = auc_test.auc_difference(read(spark, folder, "lineitem"), "l_returnflag", "l_extendedprice", "l_quantity", "R")
+    return found.select("n_pos", "n_neg", *[F.round(c, 9).alias(c) for c in found.columns[2:]])
+
+
 @query
 def score_deciles(spark, folder):
     found = metrics.score_deciles(scored_documents(spark, folder), "quality", F.col("score"), ["doc_id"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # Fixed values
 EMPTY_SHARE = 1e-8
 KS_TERMS = 100
+NORMAL_TERMS = 120
 
 
 def psi_term(expected: Column, actual: Column) -> Column:
@@ -45,6 +46,26 @@ def ks_pvalue(stat: Column, n_ref: Column, n_cur: Column) -> Column:
     return F.when(x <= 0, F.lit(1.0)).when(x < 1, 1 - lower).otherwise(upper)
 
 
+def normal_two_sided(z: Column) -> Column:
+    """Probability that a standard normal value is at least as far from 0 as ``z``.
+
+    The series of the error function has positive terms only; where it would need too many, the tail's asymptotic form serves.
+    """
+    x = F.abs(z) / math.sqrt(2.0)
+    start = F.struct(x.alias("term"), x.alias("total"))
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(NORMAL_TERMS)),
+        start,
+        lambda s, k: F.struct(
+            (s["term"] * 2.0 * x * x / (2.0 * k + 1.0)).alias("term"),
+            (s["total"] + s["term"] * 2.0 * x * x / (2.0 * k + 1.0)).alias("total"),
+        ),
+        lambda s: 1.0 - s["total"] * F.exp(-x * x) * (2.0 / math.sqrt(math.pi)),
+    )
+    tail = F.exp(-x * x) / (x * math.sqrt(math.pi)) * (1.0 - 1.0 / (2.0 * x * x) + 3.0 / (4.0 * x * x * x * x))
+    return F.when(x > 5.0, tail).otherwise(F.greatest(series, F.lit(0.0)))
+
+
 def lerp(low: Column, high: Column, weight: Column) -> Column:
     """Linear interpolation, anchored at the nearer end so that weight 1 gives ``high`` exactly."""
     gap = high - low

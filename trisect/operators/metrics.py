@@ -51,6 +51,11 @@ def _auc(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def roc_auc_by(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Exact AUC per group of rows with a ``score`` and a boolean ``positive``: ``by``, ``auc``, ``n_pos``, ``n_neg``."""
+    return _auc(rows, by)
+
+
 def roc_auc_binary(df: DataFrame, label: str, score: Column | str, positive=1) -> DataFrame:
     """Exact area under the ROC curve: ``auc``, ``n_pos``, ``n_neg``."""
     score = F.col(score) if isinstance(score, str) else score

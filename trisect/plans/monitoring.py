@@ -77,12 +77,14 @@ def validate_model(
     least_gain: float = 0.0,
     psi_limit: float = PSI_ALERT,
     ks_limit: float = KS_ALERT,
+    difference: DataFrame | None = None,
 ) -> DataFrame:
     """One table for the decision on a model: ``check, name, value, reference, passed, accept``.
 
     ``new`` and ``old`` are metric tables, ``both`` the marked reference and current rows. A metric passes if it does not
     fall by more than ``least_gain`` asks for, a column if it raises no drift alert. ``accept`` repeats the decision: the
-    decisive metric passes and no column has drifted.
+    decisive metric passes and no column has drifted. With ``difference``, a row of ``auc_difference`` of the new and the old
+    score, the decisive gain must hold at the lower end of its interval, not just as measured.
     """
     metrics = compare_models(new, old, decisive, least_gain).select(
         F.lit("metric").alias("check"), F.col("metric").alias("name"), F.col("new_value").alias("value"),
@@ -94,7 +96,13 @@ def validate_model(
         # No index (an empty side) is no proof of stability.
         (~F.col("alert") & F.col("psi").isNotNull()).alias("passed"),
     )
-    checks = lookup(metrics.unionByName(drift))
-    counts = (F.col("check") == "drift") | (F.col("name") == decisive)
+    checks = metrics.unionByName(drift)
+    if difference is not None:
+        checks = checks.unionByName(difference.select(
+            F.lit("difference").alias("check"), F.lit(decisive).alias("name"), F.col("low").alias("value"),
+            F.lit(float(least_gain)).alias("reference"), F.coalesce(F.col("low") >= least_gain, F.lit(False)).alias("passed"),
+        ))
+    checks = lookup(checks)
+    counts = (F.col("check") != "metric") | (F.col("name") == decisive)
     decision = checks.agg((F.min(F.when(counts, F.col("passed"))) & F.max(F.col("name") == decisive)).alias("accept"))
     return join_groups(checks, decision, [])
