@@ -552,3 +552,42 @@ SELECT n_pos, n_neg, round(auc_first, 9) AS auc_first, round(auc_second, 9) AS a
        round(std_error, 9) AS std_error, round(delta - 1.959963984540054 * std_error, 9) AS low,
        round(delta + 1.959963984540054 * std_error, 9) AS high, round(z, 9) AS z, round(p_value, 9) AS p_value
 FROM z, p"""
+
+
+# Interpretation of a linear score. Values are exchanged within hash buckets, by ranks that hashes shift.
+LINEAR_SCORE = "0.02 * {0} - 3 * {2} + 0.000001 * {1}"
+
+
+def exchanged(i: int, repeat: int) -> str:
+    """Scores of all lines with one number exchanged; a rank takes the value of the one ``shift`` further on, round the bucket."""
+    values = [f"r.{c}" if k != i else f"d.{c}" for k, c in enumerate(PRICES)]
+    return f"""
+SELECT '{PRICES[i]}|{repeat}' AS class, r.positive AS positive, {LINEAR_SCORE.format(*values)} AS score
+FROM r JOIN r d ON r.bucket = d.bucket AND d.rank = (r.rank - 1 + CASE WHEN r.n > 1
+  THEN 1 + ('0x' || substr(md5('{PRICES[i]}|{repeat}|' || r.bucket || '|0'), 1, 8))::BIGINT % (r.n - 1) ELSE 0 END) % r.n + 1"""
+
+
+ORACLE["permutation_importance"] = f"""
+WITH h AS (SELECT *, l_returnflag = 'R' AS positive, {tie(LINE_KEY.split(', ')).replace('seed:42', 'seed:0')} AS tie, count(*) OVER () AS total FROM lineitem),
+b AS (SELECT *, substr(tie, 1, CASE WHEN total / 16 <= 2000 THEN 1 WHEN total / 256 <= 2000 THEN 2 ELSE 3 END) AS bucket FROM h),
+r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY tie, {', '.join(PRICES)}) AS rank, count(*) OVER (PARTITION BY bucket) AS n FROM b),
+long AS (SELECT '(none)|0' AS class, positive, {LINEAR_SCORE.format(*PRICES)} AS score FROM r
+         UNION ALL {' UNION ALL '.join(exchanged(i, k) for i in range(len(PRICES)) for k in range(2))}),
+{area('SELECT * FROM long')},
+a AS (SELECT split_part(class, '|', 1) AS feature, auc AS exchanged FROM au WHERE class <> '(none)|0'),
+o AS (SELECT auc FROM au WHERE class = '(none)|0')
+SELECT feature, count(*) AS repeats, round(any_value(auc), 9) AS auc, round(avg(exchanged), 9) AS auc_exchanged,
+       round(avg(auc - exchanged), 9) AS importance, round(stddev_samp(exchanged), 9) AS std
+FROM a, o GROUP BY feature"""
+
+
+def held(i: int) -> str:
+    values = [c if k != i else "value" for k, c in enumerate(PRICES)]
+    return f"""
+SELECT '{PRICES[i]}' AS feature, value, avg({LINEAR_SCORE.format(*values)}) AS mean_score, count(*) AS n
+FROM lineitem, (SELECT DISTINCT unnest(quantile_cont({PRICES[i]}, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0])) AS value FROM lineitem) GROUP BY value"""
+
+
+ORACLE["partial_dependence"] = f"""
+SELECT feature, {digits('value', 'value')}, {digits('mean_score', 'mean_score')}, n
+FROM ({' UNION ALL '.join(held(i) for i in range(len(PRICES)))})"""

@@ -14,7 +14,7 @@ from trisect.operators import auc_difference as auc_test
 from trisect.operators import checks, drift, features, metrics, summary
 from trisect.operators.quantiles import edge_probabilities, quantiles
 from trisect.operators.split import SplitSpec, fit_split, random_split_by_hash, split, split_in_blocks
-from trisect.plans import calibration, distinct_users, halving, monitoring, search
+from trisect.plans import calibration, distinct_users, halving, interpretation, monitoring, search
 from trisect.plans.selection import MODEL_NAME, PARAMS_NAME, RANKING_NAME, run_selection
 from trisect.session import scratch_path
 from trisect.sources import tables
@@ -684,3 +684,37 @@ def feature_importance(spark, folder):
     return search.importances(spark, model)
 
 
+LINEAR_SCORE = "0.02 * l_quantity - 3 * l_discount + 0.000001 * l_extendedprice"
+
+
+def with_linear_score(df: DataFrame) -> DataFrame:
+    return df.withColumn("score", F.expr(LINEAR_SCORE))
+
+
+@query
+def permutation_importance(spark, folder):
+    """How much each number of a line counts in a linear score for returned lines."""
+    found = interpretation.permutation_importance(
+        read(spark, folder, "lineitem"), LINE_KEY, PRICES, "l_returnflag", with_linear_score,
+        {"other": -F.col("score"), "R": F.col("score")}, repeats=2,
+    )
+    return found.select("feature", "repeats", *[F.round(c, 9).alias(c) for c in ("auc", "auc_exchanged", "importance", "std")])
+
+
+@query
+def partial_dependence(spark, folder):
+    """Mean of the linear score over all lines, each number held at its quintiles."""
+    found = interpretation.partial_dependence(
+        read(spark, folder, "lineitem"), PRICES, with_linear_score, F.col("score"), points=6
+    )
+    return rounded(found.withColumn("value", F.col("value").cast("double")), "value", "mean_score")
+
+
+@query
+def model_interpretation(spark, folder):
+    """Permutation importance of a fitted model on the validation lines."""
+    model, labels, test = saved_model(spark, folder, "explained", LogisticRegression(regParam=0.001))
+    scores = {int(c): F.col("scores")[i] for i, c in enumerate(labels)}
+    return interpretation.permutation_importance(
+        test, LINE_KEY, FEATURES, "returned", lambda df: search.score(model, labels, df), scores, repeats=1
+    )
