@@ -364,6 +364,41 @@ ORACLE["validate_duplicates"] = """
 WITH g AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)
 SELECT sum(n)::BIGINT AS n_rows, count(*) AS n_keys, count(*) FILTER (n > 1) AS duplicated_keys,
        sum(n - 1)::BIGINT AS surplus_rows, count(*) FILTER (n > 1) = 0 AS passed FROM g"""
+
+
+def cross_rule(rule: str, subject: str, checked: str, offenders: str) -> str:
+    """The row of a rule, from the rows it checks and a select of offending keys with their violations."""
+    return f"""
+SELECT '{rule}' AS rule, '{subject}' AS subject, ({checked})::BIGINT AS checked, coalesce(sum(n), 0)::BIGINT AS violations,
+       count(*) AS offenders, count(*) = 0 AS passed,
+       coalesce(string_agg(k || ':' || n, ' ' ORDER BY n DESC, k) FILTER (place <= 5), '') AS sample
+FROM (SELECT *, row_number() OVER (ORDER BY n DESC, k) AS place FROM (SELECT key::VARCHAR AS k, n::BIGINT AS n FROM ({offenders})))"""
+
+
+def reference(subject: str, child: str, key: str, parents: str) -> str:
+    return cross_rule(
+        "refers_to", subject, f"SELECT count({key}) FROM {child}",
+        f"SELECT {key} AS key, count(*) AS n FROM {child} WHERE {key} NOT IN ({parents}) GROUP BY 1",
+    )
+
+
+ORACLE["validate_across_tables"] = " UNION ALL ".join(f"({part})" for part in (
+    reference("orders.o_custkey", "orders", "o_custkey", "SELECT c_custkey FROM customer"),
+    reference("orders.o_custkey, known", "orders", "o_custkey", "SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING'"),
+    reference("lineitem.l_partkey", "lineitem", "l_partkey", "SELECT p_partkey FROM part"),
+    cross_rule("determines", "orders.o_custkey -> o_orderstatus", "SELECT count(o_custkey) FROM orders", """
+        SELECT o_custkey AS key, sum(m) - max(m) AS n
+        FROM (SELECT o_custkey, count(*) AS m FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey, o_orderstatus)
+        GROUP BY 1 HAVING sum(m) > max(m)"""),
+    cross_rule("has_children", "lines of an order", "SELECT count(DISTINCT o_orderkey) FROM orders", """
+        SELECT * FROM (SELECT o_orderkey AS key, greatest(1 - count(l_orderkey), 0) + greatest(count(l_orderkey) - 7, 0) AS n
+                       FROM (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL) o
+                       LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1) WHERE n > 0"""),
+    cross_rule("adds_up", "o_totalprice", "SELECT count(DISTINCT o_orderkey) FROM orders", """
+        SELECT o_orderkey AS key, 1 AS n FROM orders
+        LEFT JOIN (SELECT l_orderkey, sum(l_extendedprice) AS total FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey
+        WHERE NOT coalesce(abs(o_totalprice - coalesce(total, 0)) <= 1000, false)"""),
+))
 ENGLISH = "SELECT lang = 'en' AS is_ref, 'score' AS col, n_chars / 5000.0::DOUBLE AS value FROM documents"
 ORACLE["validate_predictions"] = f"""
 WITH {drift_ctes(ENGLISH)},

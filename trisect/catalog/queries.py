@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trisect.operators import auc_difference as auc_test
-from trisect.operators import checks, drift, features, metrics, summary
+from trisect.operators import checks, cross_checks, drift, features, metrics, summary
 from trisect.operators.quantiles import edge_probabilities, quantiles
 from trisect.operators.split import SplitSpec, fit_split, random_split_by_hash, split, split_in_blocks
 from trisect.plans import calibration, distinct_users, halving, interpretation, monitoring, search
@@ -372,6 +372,25 @@ def validate_rules(spark, folder):
     ])
 
 
+@query
+def validate_across_tables(spark, folder):
+    """References between orders, customers, lines and parts, dependencies and numbers of lines."""
+    orders, lines = read(spark, folder, "orders"), read(spark, folder, "lineitem")
+    customers, parts = read(spark, folder, "customer"), read(spark, folder, "part")
+    # Only customers of some segments, so that the rule has something to find.
+    known = customers.where("c_mktsegment <> 'BUILDING'")
+    found = cross_checks.report(
+        cross_checks.refers_to("orders.o_custkey", orders, ["o_custkey"], customers, ["c_custkey"]),
+        cross_checks.refers_to("orders.o_custkey, known", orders, ["o_custkey"], known, ["c_custkey"]),
+        cross_checks.refers_to("lineitem.l_partkey", lines, ["l_partkey"], parts, ["p_partkey"]),
+        cross_checks.determines("orders.o_custkey -> o_orderstatus", orders, ["o_custkey"], ["o_orderstatus"]),
+        cross_checks.has_children("lines of an order", orders, ["o_orderkey"], lines, ["l_orderkey"], 1, 7),
+        cross_checks.adds_up("o_totalprice", orders, ["o_orderkey"], "o_totalprice", lines, ["l_orderkey"], "l_extendedprice", 1000.0),
+    )
+    shown = F.array_join(F.transform("sample", lambda s: F.concat(s["key"], F.lit(":"), s["n"].cast("string"))), " ")
+    return found.withColumn("sample", shown)
+
+
 @query
 def validate_duplicates(spark, folder):
     return checks.duplicate_keys(read(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
