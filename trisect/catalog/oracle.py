@@ -351,6 +351,15 @@ FROM orders WHERE o_orderpriority = '5-LOW'"""
 
 # Checks
 
+ORACLE["compare_versions"] = """
+WITH o AS (SELECT c_custkey, c_acctbal FROM customer),
+n AS (SELECT c_custkey, CASE WHEN c_custkey % 97 = 5 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM o WHERE c_custkey % 89 <> 3
+      UNION ALL SELECT c_custkey + 1000000000, c_acctbal FROM o WHERE c_custkey % 83 = 7)
+SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey,
+       CASE WHEN o.c_custkey IS NULL THEN 'added' WHEN n.c_custkey IS NULL THEN 'removed' ELSE 'changed' END AS change,
+       (o.c_custkey IS NOT NULL)::BIGINT AS n_old, (n.c_custkey IS NOT NULL)::BIGINT AS n_new
+FROM o FULL JOIN n ON o.c_custkey = n.c_custkey
+WHERE o.c_custkey IS NULL OR n.c_custkey IS NULL OR o.c_acctbal <> n.c_acctbal"""
 ORACLE["validate_rules"] = """
 WITH a AS (SELECT count(*) AS n, count(*) FILTER (o_totalprice IS NULL) AS missing,
                   count(*) FILTER (NOT coalesce(o_totalprice BETWEEN 2000 AND 450000, FALSE)) AS outside,

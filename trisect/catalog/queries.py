@@ -17,7 +17,7 @@ from trisect.operators.split import SplitSpec, fit_split, random_split_by_hash,
 from trisect.plans import calibration, distinct_users, halving, interpretation, monitoring, search
 from trisect.plans.selection import MODEL_NAME, PARAMS_NAME, RANKING_NAME, run_selection
 from trisect.session import scratch_path
-from trisect.sources import tables
+from trisect.sources import tables, versions
 from trisect.streaming import continuous
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -357,6 +357,19 @@ def ingest_rejected_rows(spark, folder):
     return rejected.select("o_orderkey", "o_totalprice", F.array_join("faults", ",").alias("faults"))
 
 
+@query
+def compare_versions(spark, folder):
+    """Customers as published, and once more with some removed, added and changed."""
+    root = scratch_path(spark, "versions")
+    first = read(spark, folder, "customer")
+    moved = F.when(F.col("c_custkey") % 97 == 5, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
+    second = first.where("c_custkey % 89 <> 3").withColumn("c_acctbal", moved)
+    more = first.where("c_custkey % 83 = 7").withColumn("c_custkey", F.col("c_custkey") + 1_000_000_000)
+    old = versions.publish(first, root, "customers", "1", ["c_custkey"], buckets=64)
+    new = versions.publish(second.unionByName(more), root, "customers", "2", ["c_custkey"], parent="1")
+    return versions.compare(old, new)
+
+
 # Checks
 
 
