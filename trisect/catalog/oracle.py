@@ -220,6 +220,22 @@ h AS (SELECT period, bin, sum(n_ref) AS n_ref, sum(n_cur) AS n_cur FROM u GROUP
 SELECT period, 'o_totalprice' AS "column", {digits('psi', 'psi')}, {digits('js_divergence', 'js_divergence')} FROM d"""
 
 
+ORACLE["profile_quantiles"] = """
+WITH q AS (SELECT year(o_orderdate)::INT AS year, count(o_totalprice) AS n, quantile_disc(o_totalprice, [0.25, 0.5, 0.75]) AS q
+           FROM orders GROUP BY 1)
+SELECT year, 'o_totalprice' AS "column", n, (i - 1)::INT AS i, q[i] AS quantile FROM q, (SELECT unnest([1, 2, 3]) AS i)"""
+ORACLE["profile_drift"] = f"""
+WITH v AS (SELECT year(o_orderdate)::INT AS year, unnest([{{'col': 'o_orderpriority', 'bin': o_orderpriority}},
+                                                          {{'col': 'o_orderstatus', 'bin': o_orderstatus}}]) AS x FROM orders),
+c AS (SELECT year, x.col AS col, x.bin AS bin, count(*) AS n FROM v WHERE x.bin IS NOT NULL GROUP BY 1, 2, 3),
+u AS (SELECT year, col, bin, 0 AS n_ref, n AS n_cur FROM c
+      UNION ALL SELECT g.year, r.col, r.bin, r.n, 0
+      FROM (SELECT DISTINCT year, col FROM c) g JOIN (SELECT col, bin, sum(n) AS n FROM c WHERE year < 1997 GROUP BY 1, 2) r ON g.col = r.col),
+h AS (SELECT year, col, bin, sum(n_ref) AS n_ref, sum(n_cur) AS n_cur FROM u GROUP BY 1, 2, 3),
+{divergence_ctes('h', 'year, col')}
+SELECT year, col AS "column", {digits('psi', 'psi')}, {digits('js_divergence', 'js_divergence')} FROM d"""
+
+
 # Streams
 
 ORACLE["stream_monitor"] = f"""

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trisect.operators import auc_difference as auc_test
-from trisect.operators import checks, cross_checks, drift, features, metrics, summary
+from trisect.operators import checks, cross_checks, drift, features, metrics, profiles, summary
 from trisect.operators.quantiles import edge_probabilities, quantiles
 from trisect.operators.split import SplitSpec, fit_split, random_split_by_hash, split, split_in_blocks
 from trisect.plans import calibration, distinct_users, halving, interpretation, monitoring, search
@@ -218,6 +218,33 @@ def drift_by_period(spark, folder):
     return rounded(found, "psi", "js_divergence")
 
 
+def monthly_profiles(spark, folder) -> DataFrame:
+    """Stored profiles of the orders by month, as later queries read them."""
+    orders = read(spark, folder, "orders")
+    month = orders.withColumn("month", F.date_trunc("month", "o_orderdate").cast("timestamp_ntz"))
+    root = scratch_path(spark, "profiles")
+    found = profiles.profile(month, ["o_totalprice"], ["o_orderpriority", "o_orderstatus"], by=["month"])
+    tables.write_artifact(found, root, "orders", "1")
+    return tables.read_artifact(spark, root, "orders", "1").withColumn("year", F.year("month"))
+
+
+@query
+def profile_quantiles(spark, folder):
+    """Quartiles of prices by year, from merged monthly profiles; exact up to about 4,000 orders a year."""
+    years = profiles.merge(monthly_profiles(spark, folder), ["year"])
+    return profiles.profile_quantiles(years, [0.25, 0.5, 0.75], ["year"])
+
+
+@query
+def profile_drift(spark, folder):
+    """Drift of categories by year against the years before 1997, from merged monthly profiles."""
+    months = monthly_profiles(spark, folder).where(F.col("kind") == profiles.CATEGORY)
+    found = profiles.profile_drift(
+        profiles.merge(months.where("year < 1997")), profiles.merge(months, ["year"]), ["year"]
+    )
+    return rounded(found, "psi", "js_divergence")
+
+
 # Streams
 
 
