@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from trisect.operators.joint_drift import fourier_features
+
 ORACLE: dict[str, str] = {}
 
 LINE_KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -220,6 +223,20 @@ h AS (SELECT period, bin, sum(n_ref) AS n_ref, sum(n_cur) AS n_cur FROM u GROUP
 SELECT period, 'o_totalprice' AS "column", {digits('psi', 'psi')}, {digits('js_divergence', 'js_divergence')} FROM d"""
 
 
+WEIGHTS, PHASES = fourier_features(len(PRICES), 16, 7)
+
+
+def mean_cosine(j: int) -> str:
+    parts = [f"({c} - avg_{c}) / dev_{c} * {float(WEIGHTS[j, i])!r}::DOUBLE" for i, c in enumerate(PRICES)]
+    cosine = f"{math.sqrt(2 / 16)!r}::DOUBLE * cos({' + '.join(parts)} + {float(PHASES[j])!r}::DOUBLE)"
+    return f"pow(avg({cosine}) FILTER (is_ref) - avg({cosine}) FILTER (NOT is_ref), 2)"
+
+
+ORACLE["joint_drift"] = f"""
+WITH v AS (SELECT *, l_shipdate < {DEFAULT_CUT} AS is_ref FROM lineitem),
+s AS (SELECT {', '.join(f'avg({c}) AS avg_{c}, stddev_samp({c}) AS dev_{c}' for c in PRICES)} FROM v WHERE is_ref)
+SELECT round({' + '.join(mean_cosine(j) for j in range(16))}, 10) AS mmd2, count(*) FILTER (is_ref) AS n_ref, count(*) FILTER (NOT is_ref) AS n_cur
+FROM v, s"""
 ORACLE["profile_quantiles"] = """
 WITH q AS (SELECT year(o_orderdate)::INT AS year, count(o_totalprice) AS n, quantile_disc(o_totalprice, [0.25, 0.5, 0.75]) AS q
            FROM orders GROUP BY 1)

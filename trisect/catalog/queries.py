@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from trisect.operators import auc_difference as auc_test
 from trisect.operators import checks, cross_checks, drift, features, metrics, profiles, summary
+from trisect.operators.joint_drift import joint_drift as joint_distance
 from trisect.operators.quantiles import edge_probabilities, quantiles
 from trisect.operators.split import SplitSpec, fit_split, random_split_by_hash, split, split_in_blocks
 from trisect.plans import calibration, distinct_users, halving, interpretation, monitoring, search
@@ -218,6 +219,13 @@ def drift_by_period(spark, folder):
     return rounded(found, "psi", "js_divergence")
 
 
+@query
+def joint_drift(spark, folder):
+    """Distance of the joint distribution of prices before and after a date."""
+    found = joint_distance(lines_over_time(spark, folder), PRICES, features=16)
+    return found.select(F.round("mmd2", 10).alias("mmd2"), "n_ref", "n_cur")
+
+
 def monthly_profiles(spark, folder) -> DataFrame:
     """Stored profiles of the orders by month, as later queries read them."""
     orders = read(spark, folder, "orders")
