@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trisect.llm.bytebpe import PieceEncoder, Runs, blocks, gather, vocabulary
-from trisect.llm.tables import local_file, most_frequent, shared_file, stored, texts_of, with_columns
+from trisect.llm.tables import kept_between_tasks, local_file, most_frequent, shared_file, stored, texts_of, with_columns
 
 # Distinct pieces a counting task holds before it passes its counts on.
 MOST_COUNTED = 200_000
@@ -171,6 +171,7 @@ def build_lexicon(
     return shared_file(documents.sparkSession, compile_words(words, vocabulary(tokenizer).merge(words)), "lexicon")
 
 
+@kept_between_tasks
 @lru_cache(maxsize=2)
 def _encoder(tokenizer: str, lexicon: str) -> PieceEncoder:
     vocab = vocabulary(tokenizer)

@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trisect.llm.bytebpe import PieceEncoder, blocks, vocabulary
-from trisect.llm.tables import stored, text_or_empty, texts_of, with_columns
+from trisect.llm.tables import kept_between_tasks, stored, text_or_empty, texts_of, with_columns
 
 
 def combinations(units: int, depth: int) -> np.ndarray:
@@ -133,6 +133,7 @@ class Places:
         return sequence, offset
 
 
+@kept_between_tasks
 @lru_cache(maxsize=2)
 def _encoder(tokenizer: str) -> PieceEncoder:
     return PieceEncoder(vocabulary(tokenizer))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Callable
@@ -20,6 +22,30 @@ from trisect.session import scratch_path, shared_folder
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
+_kept: list = []
+
+
+def kept_between_tasks(cached):
+    """Register a cache that a reused worker process carries from task to task."""
+    _kept.append(cached)
+    return cached
+
+
+def fresh_worker() -> None:
+    """Give back what earlier tasks have left in this worker process, of any stage: their caches, and memory they have freed.
+
+    A reused worker otherwise holds the sum of what the stages of a job need. Tasks call it that have no use for the caches.
+    """
+    for cached in _kept:
+        cached.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    # Only some C libraries have it; without it the memory goes back when the worker ends.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package from here; a cluster ships it with --py-files."""
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)

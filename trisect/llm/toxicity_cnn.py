@@ -22,12 +22,12 @@ from trisect.llm.hashed_words import (
     SLOTS, Adam, WordNumbers, best_threshold, calibrate, constant_logit, means, row_sums, sigmoid, split_words, steady, training_sample,
     word_features,
 )
-from trisect.llm.tables import texts_of, with_columns
+from trisect.llm.tables import fresh_worker, texts_of, with_columns
 
 WIDTHS = (1, 2, 3)
 DIMENSIONS, FILTERS = 16, 12
 # Words whose filter answers one task remembers; beyond it the memory is emptied.
-MOST_REMEMBERED = 150_000
+MOST_REMEMBERED = 80_000
 
 
 class ToxicityModel:
@@ -230,11 +230,12 @@ def score(documents: DataFrame, model: ToxicityModel, text: str = "text") -> Dat
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def make():
+        fresh_worker()
         model = shared.value
         scorer = Scorer(model)
 
         def columns(batch):
-            runs = [model.score(scorer.raw(run)) for run in blocks(texts_of(batch, text))]
+            runs = [model.score(scorer.raw(run)) for run in blocks(texts_of(batch, text), 500_000)]
             return [np.concatenate([np.empty(0), *runs])]
 
         return columns
