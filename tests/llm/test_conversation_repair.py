@@ -5,11 +5,12 @@ import zlib
 from functools import lru_cache
 
 import pytest
+from compare import differences, oracle_connection
 from llm.conftest import SF
 from pyspark.sql import functions as F
 
 from trisect.llm import conversation_repair as repairs
-from trisect.llm.queries import QUERIES
+from trisect.llm.queries import ORACLE, QUERIES
 
 
 def shown(x):
@@ -93,6 +94,11 @@ def test_op12(spark):
     assert result == expected(damaged_plainly(rows), {r[0] for r in rows})
 
 
+def test_op12_equals_its_twin(spark):
+    name = "op12_checkpoint_repair"
+    assert differences(QUERIES[name](spark, SF).toPandas(), oracle_connection(SF).sql(ORACLE[name]).df()) is None
+
+
 TEXTS = ["Hello.", "What?", "no end", "", " \n", None, "Done! ", "more\t", "é"]
 ROLES = ["user", "assistant", "system", "user", "assistant", "tool", None, "", "User", "ú"]
 

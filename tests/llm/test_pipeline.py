@@ -35,4 +35,4 @@ def test_stages_take_hard_and_empty_tables(spark, hard, nothing, name, stage):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")) == list(range(1, 14))

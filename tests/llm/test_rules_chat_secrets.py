@@ -48,6 +48,19 @@ def test_policies_and_ablations(hard):
     assert kept.count() == sum(not x.failed_bits & every for x in rows)
 
 
+def test_columns_named_like_steps(hard):
+    table = rule_ledger.ledger(hard.withColumnRenamed("text", "_text").withColumn("_words", F.lit(3)), "_text")
+    assert table.columns[:6] == ["doc_id", "_text", "lang", "source", "n_chars", "_words"]
+    rows = table.collect()
+    assert all(r.n_words == measured_plainly(r._text)["n_words"] and r._words == 3 for r in rows)
+
+
+def test_op_twins(spark):
+    oracle = oracle_connection(SF)
+    for name in ("rule_ablations", "op9_chat_format"):
+        assert differences(QUERIES[name](spark, SF).toPandas(), oracle.sql(ORACLE[name]).df()) is None
+
+
 def test_rules_on_nothing(nothing):
     assert rule_ledger.keep_passing(nothing).count() == 0 and rule_ledger.ablations(rule_ledger.ledger(nothing)).count() >= 0
 

@@ -357,3 +357,83 @@ def digests(repaired: DataFrame, conversations: DataFrame) -> DataFrame:
             yield batch_of([[last, *tally.values()]])
 
     return ordered.mapInArrow(run, schema)
+
+
+def _oracle() -> str:
+    """The same in SQL: a recursion from the last row to the first, over the cheapest end from each of the four states."""
+
+    def end(cost, audit: str, text: str) -> str:
+        return f"{{'c': {cost}, 'a': {audit}, 't': {text}}}"
+
+    def turn(name: str, text: str) -> str:
+        return f"chr(10) || '{name}:' || {text}"
+
+    def inserted(name: str, state: str) -> str:
+        return end(f"{INSERT} + {state}.c", f"'I' || {state}.a", f"{turn(name, chr(39) * 2)} || {state}.t")
+
+    name_of = {"u": "user", "a": "assistant"}
+    through = []
+    for s in range(4):
+        keeps = [k for k, steps in NEXT.items() if s in steps]
+        kept = "CASE " + " ".join(f"WHEN kind = '{k}' THEN s{NEXT[k][s]}" for k in keeps) + " END"
+        to = f"s{AFTER_FITS[s]}"
+        options = [
+            f"[{end(f'{DELETE} + s{s}.c', f'{chr(39)}D{chr(39)} || s{s}.a', f's{s}.t')}]",
+            f"""CASE WHEN kind IN ({', '.join(f"'{k}'" for k in keeps)}) THEN [{
+                end(f"extra + ({kept}).c", f"'K' || ({kept}).a", f"chr(10) || role || ':' || text || ({kept}).t")}] ELSE [] END""",
+            f"""CASE WHEN kind <> 'x' THEN [{
+                end(f"{REROLE} + extra + {to}.c", f"'R' || {to}.a", f"{turn(name_of[FITS[s]], 'text')} || {to}.t")}] ELSE [] END""",
+        ]
+        through.append(f"list_min({' || '.join(options)}) AS t{s}")
+    ends = [end(c, f"'{'I' * len(t)}'", " || ".join(turn(name_of[x], "''") for x in t) or "''") for c, t in zip(ENDS, TAILS, strict=True)]
+    return f"""
+WITH RECURSIVE damaged AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+    FROM conversations
+), sums AS (
+    SELECT *, xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(k) + 1), lambda i: ord(substr(k, i, 1))::BIGINT),
+        lambda crc, b: list_reduce([xor(crc, b)] || range(8),
+            lambda x, n: CASE WHEN (x & 1) = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 20 AS what
+    FROM damaged
+), rows_ AS (
+    SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role,
+           CASE what WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN what = 3 THEN [0, 1] ELSE [0] END) AS again
+    FROM sums WHERE what <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS i,
+           rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS kept, left(role, 1) AS initial
+    FROM rows_
+), faulty AS (
+    SELECT *, CASE WHEN kept = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                   WHEN right(kept, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM placed
+), coded AS (
+    SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'x' WHEN initial IN ('s', 'u', 'a') THEN initial ELSE 'o' END AS kind,
+           CASE WHEN fault = 'truncated' THEN {TRUNCATED} ELSE 0 END AS extra
+    FROM faulty
+), best AS (
+    SELECT conv_id, max(i) + 1 AS i, {', '.join(f'{e} AS s{s}' for s, e in enumerate(ends))} FROM coded GROUP BY conv_id
+    UNION ALL
+    SELECT conv_id, i, list_min([t0, {inserted('user', 'two')}]) AS s0, list_min([t1, {inserted('user', 'two')}]) AS s1, two AS s2,
+           list_min([t3, {inserted('user', 't2')}]) AS s3
+    FROM (SELECT *, list_min([t2, {inserted('assistant', 't3')}]) AS two
+          FROM (SELECT coded.conv_id AS conv_id, coded.i AS i, {', '.join(through)}
+                FROM best JOIN coded ON coded.conv_id IS NOT DISTINCT FROM best.conv_id AND coded.i = best.i - 1))
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM coded GROUP BY conv_id
+)
+SELECT o.conv_id AS conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(s0.c, 0)::BIGINT AS cost,
+       coalesce(s0.a, '') AS audit, sha256(coalesce(substr(s0.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id AND best.i = 1
+"""
+
+
+ORACLE = _oracle()

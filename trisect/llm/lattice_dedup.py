@@ -336,3 +336,23 @@ def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         if (new == root).all():
             return root
         root = new
+
+
+# All pairs of a label, for tables small enough for that.
+ORACLE = """
+WITH RECURSIVE v AS (
+    SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e,
+           label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+    FROM embeddings
+), links AS (
+    SELECT a.r AS a, b.r AS b, b.vec_id AS other FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+    WHERE a.usable AND b.usable AND list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+    SELECT r, vec_id AS root FROM v
+    UNION SELECT links.a, reach.root FROM reach JOIN links ON links.b = reach.r
+)
+SELECT v.vec_id AS vec_id, (SELECT count(*) FROM links WHERE links.a = v.r) AS n_links, c.root AS component_id,
+       v.vec_id IS NOT DISTINCT FROM c.root AS kept
+FROM v JOIN (SELECT r, min(root) AS root FROM reach GROUP BY r) c ON v.r = c.r
+"""

@@ -58,13 +58,22 @@ def op3_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     table = rule_ledger.ledger(read(spark, folder, "documents").select("doc_id", "text"))
     return table.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        (~rule_ledger.passes("base")).alias("base_failed"), rule_ledger.passes().alias("kept"),
+        (~rule_ledger.passes("base")).alias("base_failed"), rule_ledger.passes().alias("kept"), "failed_bits",
     )
 
 
 ORACLE["op3_rule_ledger"] = rule_ledger.ORACLE
 
 
+@query
+def rule_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    """What each rule of the current policy decides, from the bits of all documents."""
+    return rule_ledger.ablations(rule_ledger.ledger(read(spark, folder, "documents").select("doc_id", "text")))
+
+
+ORACLE["rule_ablations"] = rule_ledger.ABLATIONS
+
+
 @query
 def op4_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Group, group size and verdict of every document."""
@@ -133,6 +142,9 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(table.unionByName(hard)))
 
 
+ORACLE["op9_chat_format"] = chat_format.ORACLE
+
+
 @query
 def op10_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document packed into sequences of 2048 tokens."""
@@ -145,6 +157,9 @@ def op2_lattice_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lattice_dedup.near_duplicates(read(spark, folder, "embeddings"))
 
 
+ORACLE["op2_lattice_dedup"] = lattice_dedup.ORACLE
+
+
 @query
 def op13_gray_audit(spark: SparkSession, folder: str) -> DataFrame:
     """All orders of five filters, step by step, per language."""
@@ -166,3 +181,6 @@ def op12_checkpoint_repair(spark: SparkSession, folder: str) -> DataFrame:
     table = read(spark, folder, "conversations")
     repaired = conversation_repair.repair(conversation_repair.damaged(table))
     return conversation_repair.digests(repaired, table)
+
+
+ORACLE["op12_checkpoint_repair"] = conversation_repair.ORACLE

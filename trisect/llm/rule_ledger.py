@@ -73,10 +73,10 @@ def measured(documents: DataFrame, text: str = "text") -> DataFrame:
     """The documents with one column per measurement."""
     kept = documents.drop(*MEASUREMENTS, "failed_bits")
     own = ["_text", "_words", "_hashes", "_windows", "_lines", "_again", "_placed", "_starts"]
-    clash = set(own) & set(kept.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} are needed inside; rename them")
-    table = kept.withColumn("_text", text_or_empty(text))
+    # Input columns with such names wait under others meanwhile.
+    spare = "_" * (max(map(len, kept.columns), default=0) + 1)
+    held = {c: f"{spare}{c}" for c in own if c in kept.columns}
+    table = kept.withColumnsRenamed(held).withColumn("_text", text_or_empty(held.get(text, text)))
     # The regular expressions run once; later expressions read the columns made here.
     table = table.withColumns({
         "_words": F.filter(F.split("_text", SPACE + "+"), lambda w: w != ""),
@@ -107,7 +107,7 @@ def measured(documents: DataFrame, text: str = "text") -> DataFrame:
         "n_exclaim": (F.length("_text") - F.length(F.replace(F.col("_text"), F.lit("!"), F.lit("")))).cast("long"),
         "n_distinct_words": F.size(F.array_distinct("_hashes")).cast("long"),
     })
-    return table.drop(*own)
+    return table.drop(*own).withColumnsRenamed({new: c for c, new in held.items()})
 
 
 def failed_bits() -> Column:
@@ -159,7 +159,7 @@ def ablations(table: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 
 # The same in SQL, for a table of documents. Windows are compared as text here, not as hashes.
-ORACLE = rf"""
+LEDGER = rf"""
 WITH d AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
 ), w AS (
@@ -179,13 +179,18 @@ WITH d AS (
            (length(t) - length(regexp_replace(t, '{SYMBOLS}', '', 'g')))::BIGINT AS n_symbols,
            (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
            coalesce(covered.n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines,
-           (length(t) - length(replace(t, '!', '')))::BIGINT AS n_exclaim
+           (length(t) - length(replace(t, '!', '')))::BIGINT AS n_exclaim, len(list_distinct(words))::BIGINT AS n_distinct_words
     FROM w LEFT JOIN covered USING (r)
-)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 100 * n_symbols > 30 * n_words
-            OR 100 * n_exclaim > 50 * n_words OR 100 * n_dup_lines > 50 * n_lines
-            OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words))) AS kept
-FROM m
+)"""
+FAILED_BITS = " + ".join(f"CASE WHEN {fails} THEN {BIT[name]} ELSE 0 END" for name, fails in RULES)
+ORACLE = f"""{LEDGER}, b AS (SELECT *, ({FAILED_BITS})::BIGINT AS failed_bits FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_bits & {POLICIES["base"]}) <> 0 AS base_failed,
+       (failed_bits & {POLICIES[CURRENT]}) = 0 AS kept, failed_bits
+FROM b
+"""
+ABLATIONS = f"""{LEDGER}, b AS (SELECT ({FAILED_BITS}) & {POLICIES[CURRENT]} AS bits FROM m),
+r AS (SELECT * FROM (VALUES {", ".join(f"('{n}', {b})" for n, b in BIT.items() if b & POLICIES[CURRENT])}) v(rule, bit))
+SELECT rule, count(*) FILTER (bits & bit <> 0) AS n_failed, count(*) FILTER (bits = bit) AS n_failed_alone,
+       count(*) FILTER (bits & ~bit = 0) AS n_kept_without
+FROM b, r GROUP BY rule
 """
