@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from compare import differences, oracle_connection
@@ -61,6 +62,36 @@ def test_op_twins(spark):
         assert differences(QUERIES[name](spark, SF).toPandas(), oracle.sql(ORACLE[name]).df()) is None
 
 
+def test_starts_in_a_text_with_very_many_candidates(spark):
+    """Linear in the candidates of one text, and every start where its value stands."""
+    def text(n):
+        return " ".join(f"k{i}: id{i:07d}x{'y' * (i % 5)}" for i in range(n))
+
+    seconds = {}
+    for n in (300, 20_000, 160_000):
+        table = spark.createDataFrame([(1, text(n))], "doc_id long, text string")
+        began = time.perf_counter()
+        found = secret_forest.scan(table, secret_forest.Forest((), secret_forest._no_words())).first()
+        seconds[n] = time.perf_counter() - began
+        assert len(found.findings) >= n
+        assert all(found.text[f.start : f.start + f.length] == f.value for f in found.findings)
+    assert seconds[160_000] < 20 + 8 * seconds[20_000]
+
+
+def test_dictionary_is_the_most_frequent_words_of_each_language(spark):
+    rows = []
+    for lang, base in (("en", 0), ("de", 100), (None, 200)):
+        for d in range(64):
+            rows.append((lang, " ".join(f"w{chr(97 + (base + k) // 26 % 26)}{chr(97 + (base + k) % 26)}q" for k in range(7) if d % (k + 1) == 0)))
+    table = spark.createDataFrame(rows, "lang string, text string")
+    every = secret_forest.common_words(table, 100, 2)
+    assert len(every) == 21
+    few = secret_forest.common_words(table, 9, 2)
+    # Three of each language: held by all, by half and by a third of its documents.
+    assert sorted(few) == sorted(f"w{chr(97 + (b + k) // 26 % 26)}{chr(97 + (b + k) % 26)}q" for b in (0, 100, 200) for k in range(3))
+    assert secret_forest.common_words(table.where("false"), 9, 2) == ()
+
+
 def test_rules_on_nothing(nothing):
     assert rule_ledger.keep_passing(nothing).count() == 0 and rule_ledger.ablations(rule_ledger.ledger(nothing)).count() >= 0
 

@@ -73,6 +73,8 @@ FEATURES = (
 )
 # Characters of the neighbourhood that are looked at on either side.
 NEAR = 32
+# Candidates whose starts are added up in one array.
+CHUNK = 256
 
 
 @dataclass(frozen=True)
@@ -90,14 +92,24 @@ def described(documents: DataFrame, dictionary: tuple[str, ...], text: str = "te
         "_gaps": F.split(text_or_empty(text), CANDIDATE, -1),
         "_values": F.regexp_extract_all(text_or_empty(text), F.lit(CANDIDATE), F.lit(0)),
     })
-    # Starts are running sums of the lengths before; texts without candidates stop at an empty array.
+    # Starts are running sums of the lengths before, within chunks and over chunks: an array that grows by one element at a time is
+    # copied each time, so a text with many candidates would take their square. Texts without candidates stop at an empty array.
     steps = F.zip_with("_gaps", "_values", lambda g, v: F.struct(F.length(g).alias("g"), F.coalesce(F.length(v), F.lit(0)).alias("v")))
-    starts = F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")),
+    table = table.withColumn("_steps", F.when(F.size("_values") > 0, steps).otherwise(F.array().cast("array<struct<g: int, v: int>>")))
+    places = F.sequence(F.lit(0), F.floor((F.size("_steps") - 1) / CHUNK).cast("int"))
+    chunks = F.transform(F.filter(places, lambda k: k >= 0), lambda k: F.slice("_steps", k * CHUNK + 1, F.lit(CHUNK)))
+    table = table.withColumn("_chunks", chunks)
+    total = lambda c: F.aggregate(c, F.lit(0), lambda acc, s: acc + s["g"] + s["v"])
+    offsets = F.aggregate(
+        F.transform("_chunks", total), F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))
+    )
+    table = table.withColumn("_offsets", F.slice(offsets, 1, F.size("_chunks")))
+    inside = lambda c, o: F.aggregate(
+        c, F.struct(o.alias("at"), F.array().cast("array<int>").alias("all")),
         lambda acc, s: F.struct((acc["at"] + s["g"] + s["v"]).alias("at"), F.concat(acc["all"], F.array(acc["at"] + s["g"])).alias("all")),
         lambda acc: acc["all"],
     )
-    table = table.withColumn("_starts", F.when(F.size("_values") > 0, starts).otherwise(F.array().cast("array<int>")))
+    table = table.withColumn("_starts", F.flatten(F.zip_with("_chunks", "_offsets", inside))).drop("_steps", "_chunks", "_offsets")
     context = F.arrays_zip(
         F.col("_values").alias("value"), F.slice("_starts", 1, F.size("_values")).alias("start"),
         # What stands before may itself be a candidate, such as the name of what is assigned.
@@ -173,8 +185,13 @@ def common_words(
     )
     counts = stored(counts.where((F.col("n") > 1) | (F.col("w") == "")), "words")
     sizes = counts.where("w = ''").select("lang", F.least(F.lit(min_documents), F.greatest(F.lit(2), F.col("n") / 100)).alias("bar"))
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
-    ranked = counts.where("w <> ''").join(sizes, "lang").where("n >= bar").withColumn("turn", turn).where(F.col("turn") <= most)
+    # The first ``most`` of each part of a language's words hold the first ``most`` of all, so that no task ranks a whole language.
+    words = counts.where("w <> ''").join(sizes, "lang").where("n >= bar").withColumn("part", F.pmod(F.xxhash64("w"), F.lit(64)))
+    order = (F.desc("n"), "w")
+    turn = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    words = words.withColumn("turn", turn).where(F.col("turn") <= most)
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    ranked = words.withColumn("turn", turn).where(F.col("turn") <= most)
     first = ranked.groupBy("w").agg(F.min("turn").alias("turn"), F.max("n").alias("n")).orderBy("turn", F.desc("n"), "w").limit(most)
     return tuple(sorted(r["w"] for r in first.select("w").collect()))
 
