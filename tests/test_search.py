@@ -67,7 +67,7 @@ def test_no_candidate_gives_an_empty_ranking(tables):
     assert found.ranking.columns == ["estimator_name", "metric_train", "metric_test", "hiperparameters"]
 
 
-SMALL = {"Random Forest": {"numTrees": 3}, "Neural Network": {"maxIter": 5, "hidden": [4]}}
+SMALL = {"Random Forest": {"numTrees": 3}, "Extra Trees": {"numTrees": 3, "maxDepth": 3}, "Neural Network": {"maxIter": 5, "hidden": [4]}}
 
 
 @pytest.mark.parametrize("label", ["y", "z"])

@@ -47,6 +47,7 @@ from trisect.operators.metrics import (
 )
 from trisect.operators.split import SplitSpec, fit_split
 from trisect.plans.calibration import CalibratedOneVsRest
+from trisect.plans.extra_trees import ExtraTreesClassifier
 from trisect.session import lookup
 
 # Fixed values
@@ -92,6 +93,10 @@ def _logistic(_: int, __: int, params: dict) -> Estimator:
     return LogisticRegression(labelCol=LABEL, featuresCol=FEATURES, **params)
 
 
+def _extra_trees(_: int, __: int, params: dict) -> Estimator:
+    return ExtraTreesClassifier(labelCol=LABEL, featuresCol=FEATURES, seed=SEED, **params)
+
+
 def _network(n_classes: int, n_features: int, params: dict) -> Estimator:
     layers = [n_features, *params.get("hidden", [16]), n_classes]
     rest = {k: v for k, v in params.items() if k != "hidden"}
@@ -103,14 +108,15 @@ def _network(n_classes: int, n_features: int, params: dict) -> Estimator:
 BOOSTED = Candidate("Gradient Boosted Trees", _boosted, ({"maxIter": 20}, {"maxIter": 50, "stepSize": 0.05}))
 BOOSTED_SHALLOW = Candidate("Gradient Boosted Trees (Limit Depth)", _boosted, ({"maxIter": 20, "maxDepth": 3},))
 FOREST = Candidate("Random Forest", _forest, ({"numTrees": 20}, {"numTrees": 50, "maxDepth": 8}))
+EXTRA_TREES = Candidate("Extra Trees", _extra_trees, ({"numTrees": 20}, {"numTrees": 50, "maxDepth": 10}))
 LOGISTIC_L1 = Candidate(
     "Logistic Regression (L1)", _logistic, ({"elasticNetParam": 1.0, "regParam": 0.001}, {"elasticNetParam": 1.0, "regParam": 0.01})
 )
 LINEAR = Candidate("Logistic Regression (L2)", _logistic, ({"elasticNetParam": 0.0, "regParam": 0.001},))
 NETWORK = Candidate("Neural Network", _network, ({"maxIter": 50, "hidden": [16]},))
 
-SEARCH_FAMILIES = (LINEAR, LOGISTIC_L1, FOREST, BOOSTED_SHALLOW, BOOSTED)
-HOLDOUT_FAMILIES = (BOOSTED, FOREST, NETWORK)
+SEARCH_FAMILIES = (LINEAR, LOGISTIC_L1, FOREST, EXTRA_TREES, BOOSTED_SHALLOW, BOOSTED)
+HOLDOUT_FAMILIES = (BOOSTED, FOREST, EXTRA_TREES, NETWORK)
 
 
 def feature_stages(df: DataFrame, columns: Sequence[str], encode: dict[str, str] | None = None) -> list:
