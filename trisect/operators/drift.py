@@ -55,9 +55,15 @@ class _Prepared:
         self.both = both
         self.long, self.buckets = bucketed_long(both, self.columns, extra=["is_ref"], buckets=buckets)
 
+        # Counted once: both the quantiles and the KS statistic look at the counts of buckets first.
+        self.counts = lookup(self.long.groupBy("column", "bucket").agg(
+            F.count_if("is_ref").alias("ref"), F.count_if(~F.col("is_ref")).alias("cur")
+        ))
+
     def edges(self, bins: int) -> Edges:
         reference = self.long.where("is_ref").drop("is_ref")
-        return edge_lists(long_quantiles(reference, ["column"], edge_probabilities(bins)), self.columns)
+        counts = self.counts.where("ref > 0").select("column", "bucket", F.col("ref").alias("_rows"))
+        return edge_lists(long_quantiles(reference, ["column"], edge_probabilities(bins), counts), self.columns)
 
 
 def reference_edges(both: DataFrame, columns: Sequence[str], bins: int = BINS) -> Edges:
@@ -66,21 +72,24 @@ def reference_edges(both: DataFrame, columns: Sequence[str], bins: int = BINS) -
 
 
 def histogram_by_edges(
-    both: DataFrame, edges: Edges, by: Sequence[str] = (), open_ends: bool = False
+    both: DataFrame, edges: Edges, by: Sequence[str] = (), open_ends: bool = False, missing: bool = False
 ) -> DataFrame:
     """Counts per column and bin: ``by``, ``column``, ``bin`` (null outside), ``n_ref``, ``n_cur``.
 
     Bins are half open but for the last; repeated edges leave empty bins. Bins that are empty on
-    both sides have no row.
+    both sides have no row. With ``missing``, null and NaN values are counted too, in rows of their own marked by that column.
     """
     binned = [
         F.struct(F.lit(c).alias("column"), ordinal(both, c).alias("value"), edge_bin(ordinal(both, c), e, open_ends).alias("bin"))
         for c, e in edges.items()
     ]
+    values = both.select(*by, "is_ref", F.inline(F.array(*binned)))
+    if missing:
+        values, by = values.withColumn("missing", F.col("value").isNull()), [*by, "missing"]
+    else:
+        values = values.where(F.col("value").isNotNull())
     return (
-        both.select(*by, "is_ref", F.inline(F.array(*binned)))
-        .where(F.col("value").isNotNull())
-        .groupBy(*by, "column", "bin")
+        values.groupBy(*by, "column", "bin")
         .agg(F.count_if("is_ref").alias("n_ref"), F.count_if(~F.col("is_ref")).alias("n_cur"))
     )
 
@@ -148,7 +157,7 @@ def ks(both: DataFrame, columns: Sequence[str], prepared: _Prepared | None = Non
     """
     prepared = prepared or _Prepared(both, columns)
     sides = [F.count_if("is_ref").alias("ref"), F.count_if(~F.col("is_ref")).alias("cur")]
-    counts = prepared.long.groupBy("column", "bucket").agg(*sides)
+    counts = prepared.counts
     so_far = Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     column = Window.partitionBy("column")
     share = lambda part, whole: ratio(F.col(part), F.col(whole))

@@ -33,14 +33,19 @@ def bucketed_long(
     return long, buckets
 
 
-def long_quantiles(long: DataFrame, by: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """Quantiles of a long table with ``bucket`` and ``value``: ``by``, ``n``, ``i``, ``quantile``."""
+def long_quantiles(
+    long: DataFrame, by: Sequence[str], probabilities: Sequence[float], counts: DataFrame | None = None
+) -> DataFrame:
+    """Quantiles of a long table with ``bucket`` and ``value``: ``by``, ``n``, ``i``, ``quantile``.
+
+    ``counts`` (``by``, ``bucket``, ``_rows``) spares the counting of buckets where they are counted already.
+    """
     place = lambda q: lambda n: (n - 1) * F.lit(float(q))
     positions = {}
     for i, q in enumerate(probabilities):
         positions[f"{i}_low"] = lambda n, q=q: F.floor(place(q)(n)) + 1
         positions[f"{i}_high"] = lambda n, q=q: F.ceil(place(q)(n)) + 1
-    found = at_positions(long, by, "bucket", ["value"], positions)
+    found = at_positions(long, by, "bucket", ["value"], positions, counts=counts)
     parts = F.split("label", "_")
     pairs = found.groupBy(*by, "n", parts[0].cast("int").alias("i")).agg(
         F.max(F.when(parts[1] == "low", F.col("value"))).alias("low"),

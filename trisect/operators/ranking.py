@@ -172,6 +172,7 @@ def at_positions(
     order: Sequence[str],
     positions: dict[str, Callable[[Column], Column]],
     limits: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """The rows standing at given 1-based positions of each group, in (bucket, order) order.
 
@@ -179,9 +180,9 @@ def at_positions(
     of the per-group table ``limits``). Result: ``by``, ``label``,
     ``n`` and the ``order`` columns; positions outside 1..n give no row.
 
-    Buckets are counted first, then only rows in a bucket with a wanted position are sorted.
+    Buckets are counted first, unless ``counts`` has their ``_rows``; then only rows in a bucket with a wanted position are sorted.
     """
-    counts = rows.groupBy(*by, bucket).agg(F.count("*").alias("_rows"))
+    counts = counts if counts is not None else rows.groupBy(*by, bucket).agg(F.count("*").alias("_rows"))
     group = Window.partitionBy(*by)
     placed = counts.select(
         *by,

@@ -38,7 +38,8 @@ def drift_by_period(
         F.date_trunc(period, time).cast(kind).alias("period"), is_reference.alias("is_ref"), *columns
     )
     edges = reference_edges(rows, columns, bins)
-    counted = lookup(histogram_by_edges(rows, edges, by=["period"]))
+    everything = lookup(histogram_by_edges(rows, edges, by=["period"], missing=True))
+    counted = everything.where("NOT missing").drop("missing")
     reference = counted.groupBy("column", "bin").agg(F.sum("n_ref").alias("n_ref")).where("n_ref > 0")
     current = counted.select("period", "column", "bin", (F.col("n_ref") + F.col("n_cur")).alias("n_cur"))
     # Every period needs the reference bins, also those in which it has no rows of its own.
@@ -50,7 +51,7 @@ def drift_by_period(
         .groupBy("period", "column", "bin")
         .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     )
-    every = lookup(rows.select("period").distinct()).select("period", F.explode(F.lit(list(columns))).alias("column"))
+    every = everything.select("period", "column").distinct()
     return join_groups(every, lookup(divergences(counts, by=["period", "column"])), ["period", "column"], "left").select(
         "period", "column", "psi", "js_divergence"
     )

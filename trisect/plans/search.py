@@ -1,14 +1,17 @@
 """Model search over MLlib families: candidates, time budget, ranking, hyper-parameters.
 
-Fits are distributed and run one after another; the budget is tested between fits.
+Fits are distributed; they run one after another, or a few at once where a single one leaves cores idle. The budget is tested
+before each.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -257,12 +260,13 @@ def search_models(
     budget_s: float | None = SEARCH_BUDGET_S,
     encode: dict[str, str] | None = None,
     partitions: int | None = None,
+    parallelism: int = 1,
 ) -> SearchResult:
     """Fit candidate families on ``train``, score them on ``valid``, rank them.
 
-    Every family gets its first parameter set before any gets its second. The first fit always
-    runs; later ones only while the budget lasts (None: always), and what it left untried is in ``skipped``.
-    ``metric`` defaults to ROC AUC, one-vs-rest for more than two labels.
+    Every family gets its first parameter set before any gets its second. The first fits, ``parallelism`` of them, always
+    run; later ones only while the budget lasts (None: always), and what it left untried is in ``skipped``.
+    ``metric`` defaults to ROC AUC, one-vs-rest for more than two labels. Fits that run at once do not see each other.
     """
     if metric is not None and metric not in METRICS:
         raise ValueError(f"metric must be one of {', '.join(METRICS)}")
@@ -285,25 +289,31 @@ def search_models(
         best: dict[str, tuple[float, dict, object]] = {}
         failures: dict[str, str] = {}
         skipped: list[tuple[str, dict]] = []
-        started, fits = time.monotonic(), 0
-        for turn in range(max((len(c.grid) for c in candidates), default=0)):
-            for candidate in candidates:
-                if turn >= len(candidate.grid):
-                    continue
-                params = candidate.grid[turn]
-                if fits and budget_s is not None and time.monotonic() - started > budget_s:
+        turns = range(max((len(c.grid) for c in candidates), default=0))
+        tries = [(i, c, c.grid[t]) for i, (t, c) in enumerate((t, c) for t in turns for c in candidates if t < len(c.grid))]
+        started, fits = time.monotonic(), []
+
+        def fit(place: int, candidate: Candidate, params: dict):
+            if fits and place >= parallelism and budget_s is not None and time.monotonic() - started > budget_s:
+                return candidate, params, None, None, None
+            try:
+                model = candidate.make(n_classes, n_features, params).fit(sets[0])
+                value = metric_value(model.transform(sets[1]), metric, n_classes)
+            except Exception as error:  # a family that fails is reported, the search goes on
+                return candidate, params, None, None, str(error)
+            fits.append(place)
+            return candidate, params, model, value, None
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            for candidate, params, model, value, error in pool.map(lambda t: inheritable_thread_target(spark)(fit)(*t), tries):
+                if error is not None:
+                    failures[candidate.name] = error
+                elif model is None:
                     skipped.append((candidate.name, params))
-                    continue
-                try:
-                    model = candidate.make(n_classes, n_features, params).fit(sets[0])
-                    value = metric_value(model.transform(sets[1]), metric, n_classes)
-                except Exception as error:  # a family that fails is reported, the search goes on
-                    failures[candidate.name] = str(error)
-                    continue
-                fits += 1
-                known = best.get(candidate.name)
-                if known is None or (value is not None and (known[0] is None or value > known[0])):
-                    best[candidate.name] = (value, params, model)
+                else:
+                    known = best.get(candidate.name)
+                    if known is None or (value is not None and (known[0] is None or value > known[0])):
+                        best[candidate.name] = (value, params, model)
         records = [
             (name, metric_value(model.transform(sets[0]), metric, n_classes), value, {k: str(v) for k, v in params.items()})
             for name, (value, params, model) in best.items()
@@ -409,7 +419,12 @@ def fit_final(
     """Refit features and model on the whole training table: the pipeline and its labels."""
     estimator = estimator.copy({estimator.labelCol: LABEL, estimator.featuresCol: FEATURES})
     prepared = Pipeline(stages=[*feature_stages(train, features, encode), label_stage(label)]).fit(train)
-    fitted = estimator.fit(spread(prepared.transform(train).select(FEATURES, LABEL), partitions))
+    # Read once per iteration of the fit.
+    rows = spread(prepared.transform(train).select(FEATURES, LABEL), partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = estimator.fit(rows)
+    finally:
+        rows.unpersist()
     return PipelineModel([*prepared.stages[:-1], fitted]), list(prepared.stages[-1].labels)
 
 
