@@ -9,7 +9,7 @@ from trisect.catalog.queries import QUERIES
 # Searches and fits are covered by test_search.
 FITTED = {
     "model_search", "model_search_f1", "model_ranking", "best_model", "selection_job", "hyperparam_search",
-    "halving_search", "feature_reduction", "final_model", "batch_score", "compare_models", "feature_importance", "model_interpretation",
+    "halving_search", "feature_reduction", "final_model", "batch_score", "compare_models", "feature_importance", "model_interpretation", "extra_trees",
 }
 
 

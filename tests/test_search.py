@@ -67,6 +67,30 @@ def test_no_candidate_gives_an_empty_ranking(tables):
     assert found.ranking.columns == ["estimator_name", "metric_train", "metric_test", "hiperparameters"]
 
 
+def test_logistic_fit_equals_newtons_method(spark, tables):
+    train, _ = tables
+    rows = [(r.a, float(np.nan if r.b is None else r.b), r.y) for r in train.collect()]
+    a, b, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.array([r[2] == "yes" for r in rows], float)
+    b = np.where(np.isnan(b), np.nanmean(b), b)
+    x, w = np.stack([np.ones_like(a), a, b], axis=1), np.zeros(3)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-x @ w))
+        w += np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x, x.T @ (y - p))
+    model, labels = search.fit_final(train, ["a", "b"], "y", LogisticRegression(regParam=0.0, maxIter=200, tol=1e-12))
+    fitted = model.stages[-1]
+    assert labels == ["no", "yes"]
+    assert [fitted.intercept, *fitted.coefficients] == pytest.approx(w, abs=1e-5)
+
+
+def test_fits_at_once_give_the_same_ranking(spark, tables):
+    train, valid = tables
+    families = (*QUICK, search.Candidate("Broken", broken), search.LINEAR)
+    runs = [search.search_models(train, valid, ["a", "b"], "y", families, budget_s=None, partitions=2, parallelism=p) for p in (1, 3)]
+    shown = [sorted((r.estimator_name, round(r.metric_test, 9), str(r.hiperparameters)) for r in x.ranking.collect()) for x in runs]
+    assert shown[0] == shown[1] and len(shown[0]) == 3 and set(runs[1].failures) == {"Broken"}
+    assert runs[0].best_params == runs[1].best_params
+
+
 SMALL = {"Random Forest": {"numTrees": 3}, "Extra Trees": {"numTrees": 3, "maxDepth": 3}, "Neural Network": {"maxIter": 5, "hidden": [4]}}
 
 

@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from trisect.session import shared_folder
+from trisect.session import scratch_path, scratch_run, shared_folder
 
 
 def session(setting=None, chosen=None, master="local[2]"):
@@ -22,5 +22,33 @@ def test_the_setting_of_the_session_is_used():
 def test_only_a_local_master_goes_without():
     spark = session()
     assert shared_folder(spark) == spark.sparkContext.chosen == shared_folder(spark)
-    with pytest.raises(ValueError):
-        shared_folder(session(master="yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://local:7077"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master=master))
+    for master in ("local", "local[*]", "local[4,2]"):
+        assert shared_folder(session(master=master))
+
+
+def test_a_run_deletes_its_tables(spark):
+    def table(name):
+        path = scratch_path(spark, name)
+        spark.range(3).write.parquet(path)
+        return path
+
+    outside = table("before")
+    with scratch_run(spark) as folder:
+        inside = table("inside")
+        assert inside.startswith(folder) and spark.read.parquet(inside).count() == 3
+        with scratch_run(spark):
+            inner = table("inner")
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(inner)
+        assert spark.read.parquet(inside).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(inside)
+    with pytest.raises(RuntimeError), scratch_run(spark):
+        lost = table("lost")
+        raise RuntimeError("a failing job")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(lost)
+    assert spark.read.parquet(outside).count() == 3 and not scratch_path(spark, "after").startswith(folder)

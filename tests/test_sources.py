@@ -10,6 +10,7 @@ from trisect.operators.checks import (
     check_predictions,
     check_target_exists,
     duplicate_keys,
+    guard_report,
     has_type,
     in_range,
     not_null,
@@ -180,3 +181,11 @@ def test_lookup_beyond_the_limit_is_not_broadcast(spark):
     assert (small.count(), large.count()) == (5, 6)
     hinted = lambda t: "ResolvedHint" in t._jdf.queryExecution().analyzed().toString()
     assert hinted(small) and not hinted(large)
+
+
+def test_guard_report(spark):
+    full = spark.createDataFrame([(1, 2.0), (2, None), (3, float("nan"))], "k long, y double")
+    found = {r["table"]: tuple(r)[1:] for r in guard_report(
+        {"bad": full, "good": full.where("k = 1"), "empty": full.where("false"), "other": full.drop("y")}, "y"
+    ).collect()}
+    assert found == {"bad": (True, 3, 2, False), "good": (True, 1, 0, True), "empty": (True, 0, 0, False), "other": (False, 3, None, False)}

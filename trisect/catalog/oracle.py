@@ -668,3 +668,32 @@ FROM lineitem, (SELECT DISTINCT unnest(quantile_cont({PRICES[i]}, [0.0, 0.2, 0.4
 ORACLE["partial_dependence"] = f"""
 SELECT feature, {digits('value', 'value')}, {digits('mean_score', 'mean_score')}, n
 FROM ({' UNION ALL '.join(held(i) for i in range(len(PRICES)))})"""
+
+
+# A model family that SQL can fit: Gaussian naive Bayes, variances raised by a billionth of the largest one.
+def density(c: str) -> str:
+    return " - ".join(["ln(n_{0}::DOUBLE / n)".format(c)] + [
+        f"0.5 * (ln(v{i}_{c} + eps) + pow({p} - m{i}_{c}, 2) / (v{i}_{c} + eps))" for i, p in enumerate(PRICES)
+    ])
+
+
+BAYES = f"""
+l AS (SELECT *, (l_returnflag = 'R')::INT AS returned, l_shipdate <= TIMESTAMP '1999-06-01' AS train,
+             l_shipdate > TIMESTAMP '1999-06-01' AND l_shipdate <= TIMESTAMP '2001-06-01' AS test FROM lineitem),
+p AS (SELECT count(*) AS n, greatest({', '.join(f'var_pop({p})' for p in PRICES)}) * 1e-9 AS eps,
+             {', '.join(f'count(*) FILTER (returned = {c}) AS n_{c}' for c in (0, 1))},
+             {', '.join(f'avg({p}) FILTER (returned = {c}) AS m{i}_{c}, var_pop({p}) FILTER (returned = {c}) AS v{i}_{c}'
+                        for c in (0, 1) for i, p in enumerate(PRICES))}
+      FROM l WHERE train),
+b AS (SELECT l.*, 1 / (1 + exp(({density('0')}) - ({density('1')}))) AS score FROM l, p)"""
+ORACLE["own_family_ranking"] = f"""
+WITH {BAYES},
+{area("SELECT CASE WHEN train THEN 'train' ELSE 'test' END AS class, score, returned = 1 AS positive FROM b WHERE train OR test")}
+SELECT 'Gaussian Naive Bayes' AS estimator_name, round(max(auc) FILTER (class = 'train'), 6) AS metric_train,
+       round(max(auc) FILTER (class = 'test'), 6) AS metric_test FROM au"""
+ORACLE["own_family_scores"] = f"""
+WITH {BAYES} SELECT {LINE_KEY}, round(score, 7) AS score, 1.0::DOUBLE AS total, (score > 0.5)::INT AS predicted FROM b"""
+ORACLE["table_guards"] = """
+SELECT 'orders' AS "table", true AS has_target, count(*) AS n_rows, count(*) FILTER (o_orderstatus IS NULL) AS n_missing,
+       count(*) > 0 AND count(*) FILTER (o_orderstatus IS NULL) = 0 AS passed FROM orders
+UNION ALL SELECT 'customer', false, count(*), NULL, false FROM customer UNION ALL SELECT 'events', false, count(*), NULL, false FROM events"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from trisect.operators.joint_drift import joint_drift as joint_distance
 from trisect.operators.quantiles import edge_probabilities, quantiles
 from trisect.operators.split import SplitSpec, fit_split, random_split_by_hash, split, split_in_blocks
 from trisect.plans import calibration, distinct_users, halving, interpretation, monitoring, search
+from trisect.plans.extra_trees import ExtraTreesClassifier
 from trisect.plans.selection import MODEL_NAME, PARAMS_NAME, RANKING_NAME, run_selection
 from trisect.session import scratch_path
 from trisect.sources import tables, versions
@@ -630,7 +631,7 @@ def ranking_rows(ranking: DataFrame) -> DataFrame:
 def model_search(spark, folder):
     train, test = model_tables(spark, folder)
     return ranking_rows(search.search_models(
-        train, test, FEATURES, "returned", SMALL_FAMILIES, budget_s=None, partitions=PARTITIONS
+        train, test, FEATURES, "returned", SMALL_FAMILIES, budget_s=None, partitions=PARTITIONS, parallelism=4
     ).ranking)
 
 
@@ -644,17 +645,50 @@ def model_search_f1(spark, folder):
 @query
 def model_ranking(spark, folder):
     train, test = model_tables(spark, folder)
-    return ranking_rows(search.search_models(train, test, FEATURES, "l_returnflag", QUICK, budget_s=None, partitions=PARTITIONS).ranking)
+    return ranking_rows(search.search_models(train, test, FEATURES, "l_returnflag", QUICK, budget_s=None, partitions=PARTITIONS, parallelism=4).ranking)
 
 
 @query
 def best_model(spark, folder):
     train, test = model_tables(spark, folder)
     return ranking_rows(search.best_model(
-        search.search_models(train, test, FEATURES, "returned", QUICK, budget_s=None, partitions=PARTITIONS).ranking
+        search.search_models(train, test, FEATURES, "returned", QUICK, budget_s=None, partitions=PARTITIONS, parallelism=4).ranking
     ))
 
 
+# A family of the caller's own, with a fit that SQL can repeat.
+OWN_FAMILY = search.Candidate(
+    "Gaussian Naive Bayes", lambda *_: NaiveBayes(modelType="gaussian", labelCol=search.LABEL, featuresCol=search.FEATURES)
+)
+
+
+def own_search(spark, folder) -> search.SearchResult:
+    train, test = model_tables(spark, folder)
+    return search.search_models(train, test, PRICES, "returned", (OWN_FAMILY,), budget_s=None, partitions=PARTITIONS)
+
+
+@query
+def own_family_ranking(spark, folder):
+    ranking = search.best_model(own_search(spark, folder).ranking)
+    return ranking.select("estimator_name", F.round("metric_train", 6).alias("metric_train"), F.round("metric_test", 6).alias("metric_test"))
+
+
+@query
+def own_family_scores(spark, folder):
+    """Probability and label of every line by the best model."""
+    scored = own_search(spark, folder).predict_proba(model_lines(spark, folder))
+    return scored.select(
+        *LINE_KEY, F.round(F.col("scores")[1], 7).alias("score"), F.round(F.col("scores")[0] + F.col("scores")[1], 7).alias("total"),
+        F.col("predicted").cast("int").alias("predicted"),
+    )
+
+
+@query
+def table_guards(spark, folder):
+    """Which tables have the target, hold rows, and miss no target."""
+    return checks.guard_report({n: read(spark, folder, n) for n in ("orders", "customer", "events")}, "o_orderstatus")
+
+
 @query
 def selection_job(spark, folder):
     root = scratch_path(spark, "selection")
@@ -777,6 +811,17 @@ def partial_dependence(spark, folder):
     return rounded(found.withColumn("value", F.col("value").cast("double")), "value", "mean_score")
 
 
+@query
+def extra_trees(spark, folder):
+    """Predictions of extremely randomised trees on the validation lines, counted by return flag."""
+    train, test = model_tables(spark, folder)
+    model, labels = search.fit_final(train, FEATURES, "returned", ExtraTreesClassifier(numTrees=10, maxDepth=6), partitions=PARTITIONS)
+    scored = search.score(model, labels, test)
+    return scored.groupBy("returned", F.col("predicted").cast("int").alias("predicted")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.col("scores")[1]).alias("mean_score")
+    )
+
+
 @query
 def model_interpretation(spark, folder):
     """Permutation importance of a fitted model on the validation lines."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,9 +50,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_run: ContextVar[str | None] = ContextVar("trisect_run", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or below that of the run it is asked for in."""
+    return f"{_run.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession):
+    """Intermediate tables that are written inside are deleted at the end, also after an error.
+
+    What is to outlive them must be written, or fetched, inside: results are read from these tables when they are computed.
+    """
+    folder = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    mark = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(mark)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def keep(table: DataFrame) -> DataFrame:
