@@ -122,7 +122,7 @@ def groups_plainly(rows, common=0.5):
         for k in bag:
             df[k] = df.get(k, 0) + 1
     n = len(rows)
-    weigh = lambda k: 1.0 if df[k] <= common * n else np.log(n / df[k]) / np.log(1 / common)
+    weigh = lambda k: 1.0 if df[k] <= common * n else max(np.log(n / df[k]) / np.log(1 / common), 0.75)
     bags = [{k: (1 + np.log(v)) * weigh(k) for k, v in bag.items()} for bag in bags]
     links = []
     for a, b in itertools.combinations(range(n), 2):
