@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections import defaultdict
 from functools import lru_cache
+from itertools import count as from_zero
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -199,16 +202,9 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-class _Numbered(dict):
-    """Numbers keys in the order they are first asked for."""
-
-    def __init__(self):
-        self.new: list = []
-
-    def __missing__(self, key):
-        self[key] = number = len(self)
-        self.new.append(key)
-        return number
+def numbering() -> defaultdict:
+    """Numbers keys in the order they are first asked for; its keys stand in that order."""
+    return defaultdict(from_zero().__next__)
 
 
 class PieceEncoder:
@@ -220,7 +216,7 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self):
-        self.numbers = _Numbered()
+        self.numbers, self.learned = numbering(), 0
         self.start, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
         self.flat = np.empty(0, np.uint32)
 
@@ -249,23 +245,37 @@ class PieceEncoder:
         return text.replace("\n", " ").split(" ")
 
     def _learn(self):
-        new, self.numbers.new = self.numbers.new, []
+        new = list(islice(self.numbers, self.learned, None))
         if not new:
             return
-        word_number = _Numbered()
+        self.learned = len(self.numbers)
+        word_number = numbering()
         number, split, special = word_number.__getitem__, self.vocab.split_piece, self.vocab.special
         words: list[int] = []
-        ends = []
+        ends, marked = [], False
         for piece in new:
-            # A special string is a "word" of its own that bypasses the merges.
-            words.extend([number(piece)] if isinstance(piece, tuple) else map(number, split(piece)))
+            if isinstance(piece, tuple):
+                # A special string is a "word" of its own that bypasses the merges.
+                words.append(number(piece))
+                marked = True
+            elif piece.isascii() and piece.isalpha():
+                # What split_piece makes of most pieces, without the calls.
+                words.append(number(piece.lower().encode()))
+            elif piece.isascii() and piece[:-1].isalpha() and piece[-1] in ",.":
+                words.append(number(piece[:-1].lower().encode()))
+                words.append(number(piece[-1].encode()))
+            else:
+                words.extend(map(number, split(piece)))
             ends.append(len(words))
-        marks = [i for i, w in enumerate(word_number.new) if isinstance(w, tuple)]
-        runs = self.words_to_ids([b"" if isinstance(w, tuple) else w for w in word_number.new])
-        flat = np.concatenate([runs.flat, np.array([special[word_number.new[i][0]] for i in marks], np.uint32)])
-        runs.start[marks], runs.length[marks] = len(runs.flat) + np.arange(len(marks)), 1
+        found = list(word_number)
+        marks = [i for i, w in enumerate(found) if isinstance(w, tuple)] if marked else []
+        runs = self.words_to_ids([b"" if isinstance(w, tuple) else w for w in found] if marked else found)
+        if marked:
+            flat = np.concatenate([runs.flat, np.array([special[found[i][0]] for i in marks], np.uint32)])
+            runs.start[marks], runs.length[marks] = len(runs.flat) + np.arange(len(marks)), 1
+            runs = Runs(flat, runs.start, runs.length)
         index = np.array(words, np.int64)
-        learned, stops = gather(Runs(flat, runs.start, runs.length), index)
+        learned, stops = gather(runs, index)
         stops = stops[np.concatenate([[0], np.array(ends, np.int64)])]
         self.start = np.concatenate([self.start, len(self.flat) + stops[:-1]])
         self.length = np.concatenate([self.length, np.diff(stops)])
