@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.conftest import SF
 
-from trisect.llm import lexicon_bpe, packing
+from trisect.llm import bytebpe, lexicon_bpe, packing
 from trisect.llm.bytebpe import LONG_WORD, PieceEncoder, vocabulary
 from trisect.llm.queries import QUERIES
 
@@ -31,6 +31,18 @@ def test_pieces_encode_like_the_library(texts):
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [ids_of(library, t) for t in texts]
 
 
+@pytest.mark.parametrize("most,kept", [(40, 10), (40, 40), (1, 0)])
+def test_forgetting_changes_nothing(documents, tokenizer, library, monkeypatch, most, kept):
+    monkeypatch.setattr(bytebpe, "MOST_REMEMBERED", most)
+    monkeypatch.setattr(bytebpe, "KEPT", kept)
+    encoder = PieceEncoder(vocabulary(tokenizer))
+    texts = [r.text[:2000] for r in documents.orderBy("doc_id").limit(40).collect()] + ["", "a <|endoftext|> b", "a b"]
+    for begin in range(0, len(texts), 5):
+        run = texts[begin : begin + 5]
+        ids, at = encoder.encode(run)
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [ids_of(library, t) for t in run]
+
+
 def test_long_words_are_merged_like_short_ones(tokenizer):
     vocab = vocabulary(tokenizer)
     word = b"theandingstthethe" * 5

@@ -21,8 +21,9 @@ END = "</w>"
 NO_MERGE = np.int32(2**31 - 1)
 # Words longer than this are merged one by one with a heap, which is not quadratic.
 LONG_WORD = 96
-# Distinct pieces remembered by one task; beyond it the memory is emptied, results stay the same.
+# Distinct pieces remembered by one task; beyond it only those met first stay, the frequent ones among them. Results are the same.
 MOST_REMEMBERED = 250_000
+KEPT = 160_000
 
 # Pieces of these characters need no library call: composed, lower-cased one to one, no white space.
 PLAIN = regex.compile(r"[\x21-\x7e¡-įı-ɏ]*")
@@ -220,10 +221,18 @@ class PieceEncoder:
         self.start, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
         self.flat = np.empty(0, np.uint32)
 
+    def _forget_late(self):
+        """Forget all but the pieces that were met first."""
+        self.numbers = defaultdict(from_zero(KEPT).__next__, zip(islice(self.numbers, KEPT), from_zero()))
+        self.learned = KEPT
+        self.start, self.length = self.start[:KEPT].copy(), self.length[:KEPT].copy()
+        # Ids of pieces stand in the order the pieces were met.
+        self.flat = self.flat[: int(self.length.sum())].copy()
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text begins (one more entry than texts)."""
         if len(self.numbers) > MOST_REMEMBERED:
-            self._forget()
+            self._forget_late()
         look, special = self.numbers.__getitem__, self.vocab.specials
         pieces: list[int] = []
         ends = []
