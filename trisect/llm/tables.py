@@ -31,13 +31,8 @@ def kept_between_tasks(cached):
     return cached
 
 
-def fresh_worker() -> None:
-    """Give back what earlier tasks have left in this worker process, of any stage: their caches, and memory they have freed.
-
-    A reused worker otherwise holds the sum of what the stages of a job need. Tasks call it that have no use for the caches.
-    """
-    for cached in _kept:
-        cached.cache_clear()
+def trim_worker() -> None:
+    """Give back memory that this worker process holds but no longer uses, from this task or earlier ones."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     # Only some C libraries have it; without it the memory goes back when the worker ends.
@@ -46,6 +41,27 @@ def fresh_worker() -> None:
         trim(0)
 
 
+def fresh_worker() -> None:
+    """Give back all that earlier tasks have left in this worker process, of any stage: their caches too.
+
+    A reused worker otherwise holds the sum of what the stages of a job need. Tasks call it that have no use for the caches.
+    """
+    for cached in _kept:
+        cached.cache_clear()
+    trim_worker()
+
+
+def light(run: Callable) -> Callable:
+    """A function over batches that begins in a fresh worker and leaves none of its own memory behind."""
+
+    def wrapped(batches):
+        fresh_worker()
+        yield from run(batches)
+        trim_worker()
+
+    return wrapped
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package from here; a cluster ships it with --py-files."""
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
@@ -93,12 +109,15 @@ def with_columns(table: DataFrame, added: str, make: Callable) -> DataFrame:
     kinds = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches):
+        trim_worker()
         columns_of = make()
         for batch in batches:
             arrays = [pa.array(a, t) for a, t in zip(columns_of(batch), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *arrays], names=[*batch.schema.names, *fields.fieldNames()]
             )
+        columns_of = batch = arrays = None  # noqa: F841
+        trim_worker()
 
     return table.mapInArrow(run, T.StructType([*table.schema.fields, *fields.fields]))
 
