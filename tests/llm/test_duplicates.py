@@ -183,6 +183,31 @@ def test_common_shingles_weigh_less(spark, hard):
     assert shingle[0] == weighted_minhash.Shingler().shingles("a b c d e")[0]
 
 
+@pytest.mark.parametrize("run_texts,part_shingles", [(2000, 1_000_000), (7, 20)])
+def test_document_frequencies_are_those_of_all_documents(spark, hard, monkeypatch, run_texts, part_shingles):
+    for name, value in (("RUN_TEXTS", run_texts), ("PART_SHINGLES", part_shingles)):
+        monkeypatch.setattr(weighted_minhash, name, value)
+    table = spark.createDataFrame(near_copies(), "doc_id long, text string").unionAll(hard.select("doc_id", "text"))
+    texts = table.select(weighted_minhash.node_column().alias("node"), weighted_minhash.normalised().alias("norm")).collect()
+    shingler = weighted_minhash.Shingler()
+    own = {bytes(r.node): np.unique(shingler.shingles(r.norm)) for r in texts}
+    plain = {}
+    for r in texts:
+        for s in own[bytes(r.node)]:
+            plain[s] = plain.get(s, 0) + 1
+    idf, vectors = weighted_minhash.fit_idf(table.repartition(3))
+    found = vectors.collect()
+    assert len(found) == len(texts) == idf.documents == len({r.row for r in found})
+    assert all(r.held == [plain[s] for s in own[bytes(r.node)]] for r in found)
+    assert all(len(r.buckets) == (weighted_minhash.BANDS if r.held else 0) for r in found)
+
+
+def test_rarer_shingles_weigh_more():
+    weight = weighted_minhash.Idf(1000).of(np.array([1, 2, 10, 100, 500, 1000]))
+    assert (np.diff(weight) < 0).all() and weight[0] == 1 and weight[-1] == weighted_minhash.LEAST_IDF
+    assert weighted_minhash.Idf(1).of(np.array([1])).tolist() == [1]
+
+
 @pytest.mark.parametrize("copies,others", [(2, 0), (8, 0), (8, 4)])
 def test_near_copies_that_fill_a_table(spark, hard, copies, others):
     base = [f"w{i}" for i in range(100)]

@@ -1,8 +1,9 @@
 """Near-duplicate documents by consistent weighted sampling of TF-IDF shingles.
 
-A text's shingles are its runs of five words; a shingle weighs 1 + ln(times in the text), times its idf. The idf is 1
-up to a document frequency of ``common`` and falls from there, but never below ``LEAST_IDF``: a group of copies may hold a
-third of all documents, or a whole table, and its own shingles must keep their weight against the edits.
+A text's shingles are its runs of five words; a shingle weighs 1 + ln(times in the text), times its idf. The documents that
+hold it are counted for every shingle, over all documents. The idf is a smoothed one, ln((1 + n) / (1 + df)) plus a constant, and
+falls from 1 for a shingle of one document to ``LEAST_IDF`` for one of all: a group of copies may hold a third of all documents, or
+a whole table, and its own shingles must keep their weight against the edits.
 
 Samples: every shingle falls into one bin, and each bin keeps the shingle that improved consistent weighted sampling
 picks from it, with its rounded weight; empty bins borrow from others in a fixed random order. Two texts agree
@@ -21,10 +22,10 @@ compared whole. Other columns are not read, and stay as they are in ``keep_one_e
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,11 +41,13 @@ CHUNK = 256
 PER_PIVOT = 2000
 PIVOT_ROUNDS = 2
 MOST_WORDS = 200_000
-# With this floor two texts of plain similarity 16 / 19 (0.842) reach 0.8 however common what they share is.
+# With this least weight two texts of plain similarity 16 / 19 (0.842) reach 0.8 however common what they share is.
 LEAST_IDF = 0.75
-RUN_WORDS = 400_000
-# Shingles that are hashed at once.
-RUN_SHINGLES = 200_000
+# Documents, and about how many shingles, of a run; shingles of a part of the hashes; letters of a word and its blank, at least.
+RUN_TEXTS = 2000
+RUN_SHINGLES = 600_000
+PART_SHINGLES = 1_000_000
+LETTERS = 5
 
 GOLDEN = 0x9E3779B97F4A7C15
 
@@ -90,23 +93,24 @@ class Shingler:
             total = total * np.uint64(GOLDEN) + h[k : k + n]
         return mixed(total)
 
-    def weighted(self, norm: str, idf: Idf) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct shingles in order and their weights; shingles without weight are left out."""
+    def weighted(self, norm: str, held: np.ndarray, idf: Idf) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct shingles in order and their weights; ``held`` says how many documents hold each."""
         shingle, times = np.unique(self.shingles(norm), return_counts=True)
-        weight = 1 + np.log(times)
-        if len(idf.shingle):
-            at = np.minimum(np.searchsorted(idf.shingle, shingle), len(idf.shingle) - 1)
-            weight = np.where(idf.shingle[at] == shingle, weight * idf.weight[at], weight)
-            shingle, weight = shingle[weight > 0], weight[weight > 0]
-        return shingle, weight
+        return shingle, (1 + np.log(times)) * idf.of(held)
 
 
 class Idf:
-    """Weights of the common shingles; all others weigh 1."""
+    """Smoothed inverse document frequencies: 1 for a shingle of one document, LEAST_IDF for one of all documents."""
 
-    def __init__(self, shingle: np.ndarray, weight: np.ndarray):
-        order = np.argsort(shingle, kind="stable")
-        self.shingle, self.weight = shingle[order], weight[order]
+    def __init__(self, documents: int):
+        self.documents = documents
+
+    def of(self, held: np.ndarray) -> np.ndarray:
+        """Weights of shingles by how many documents hold them."""
+        if self.documents < 2:
+            return np.ones(len(held))
+        rarity = np.log((1 + self.documents) / (1 + held)) / math.log((1 + self.documents) / 2)
+        return LEAST_IDF + (1 - LEAST_IDF) * rarity
 
 
 def normalised(text: str = "text") -> Column:
@@ -115,79 +119,146 @@ def normalised(text: str = "text") -> Column:
     return F.trim(words)
 
 
-def common_shingles(norms: DataFrame, common: float) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that more than a share ``common`` of all documents hold, and their shares.
+def shingles_of(norms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of many texts, as ``Shingler`` has them, and the text of each; of all texts in no order."""
+    words = pc.split_pattern(norms, " ")
+    size = np.where(pc.equal(norms, "").to_numpy(zero_copy_only=False), 0, words.value_lengths().to_numpy())
+    coded = words.flatten().dictionary_encode()
+    values = coded.dictionary.cast(pa.binary()).to_pylist()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, values), np.uint64, len(values))
+    h = hashes[coded.indices.to_numpy()]
+    # An empty text has one empty word in the list.
+    start = np.cumsum(np.maximum(size, 1)) - np.maximum(size, 1)
+    shingle, text = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for width in range(1, WORDS + 1):
+        held = np.flatnonzero(size == width if width < WORDS else size >= width)
+        n = size[held] - width + 1
+        at = np.arange(n.sum()) + np.repeat(start[held] - (np.cumsum(n) - n), n)
+        total = np.full(len(at), width, np.uint64)
+        for k in range(width):
+            total = total * np.uint64(GOLDEN) + h[at + k]
+        shingle.append(mixed(total))
+        text.append(np.repeat(held, n))
+    return np.concatenate(shingle), np.concatenate(text)
+
+
+class Run:
+    """The shingles of a run of texts: each once, and which text holds which how often."""
+
+    def __init__(self, norms: pa.Array):
+        shingle, text = shingles_of(norms)
+        order = np.argsort(shingle)
+        same = np.append(False, shingle[order][1:] == shingle[order][:-1])
+        # Equal shingles are as wide as each other, so that their texts rise with their places.
+        again = np.flatnonzero(same | np.append(same[1:], False))
+        order[again] = order[again][np.lexsort((order[again], shingle[order[again]]))]
+        shingle, text = shingle[order], text[order]
+        new = np.ones(len(shingle), bool)
+        new[1:] = shingle[1:] != shingle[:-1]
+        pair = new.copy()
+        pair[1:] |= text[1:] != text[:-1]
+        at = np.flatnonzero(pair)
+        self.shingle, self.text = shingle[new], text[at]
+        self.times = np.diff(np.append(at, len(shingle)))
+        # Which of the run's shingles each pair of a text and a shingle is about, and how many texts hold a shingle.
+        self.which = np.cumsum(new)[at] - 1
+        self.n = np.bincount(self.which, minlength=len(self.shingle))
 
-    Such a shingle is that common in at least one task's documents, so each task names those it finds common; there are
-    at most (mean distinct shingles / ``common``) of them. A second pass counts the named ones everywhere.
-    """
 
-    @light
-    def local(batches):
-        # Runs of documents: a shingle common to all is common to one run at least. The last run joins the one before.
-        run: list[list[str]] = []
-        full: list[list[str]] = []
-        held = 0
-        for batch in slices(batches):
-            for norm in batch.column("norm").to_pylist():
-                run.append(norm.split(" ") if norm else [])
-                held += len(run[-1])
-                if held > RUN_WORDS:
-                    if full:
-                        yield _named(full, common)
-                    full, run, held = run, [], 0
-        if full or run:
-            yield _named(full + run, common)
-
-    named = norms.mapInArrow(local, "shingle long").distinct()
-    wanted = np.array([r[0] for r in named.collect()], np.int64).view(np.uint64)
-    if not len(wanted):
-        return wanted, np.empty(0)
-    wanted.sort()
+def common_shingles(norms: DataFrame, common: float) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that more than a share ``common`` of all documents hold, and their shares, counted over all documents."""
 
     @light
     def count(batches):
-        shingler, total, n = Shingler(), np.zeros(len(wanted), np.int64), 0
         for batch in slices(batches):
-            for norm in batch.column("norm").to_pylist():
-                found = np.unique(shingler.shingles(norm))
-                at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
-                total[at[wanted[at] == found]] += 1
-                n += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(wanted, np.uint64(0)).view(np.int64)), pa.array(np.append(total, n)), pa.array([False] * len(wanted) + [True])],
-            names=["shingle", "n", "is_total"],
-        )
+            run = Run(batch.column("norm"))
+            yield pa.RecordBatch.from_arrays([pa.array(run.shingle.view(np.int64)), pa.array(run.n)], names=["shingle", "n"])
+
+    documents = norms.count()
+    counts = norms.select("norm").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    # At most (mean distinct shingles / common) of them.
+    found = counts.where(F.col("n") > common * documents).collect()
+    return np.array([r["shingle"] for r in found], np.int64).view(np.uint64), np.array([r["n"] / documents for r in found])
 
-    rows = norms.mapInArrow(count, "shingle long, n long, is_total boolean").groupBy("shingle", "is_total").agg(
-        F.sum("n").alias("n")
-    ).collect()
-    documents = sum(r["n"] for r in rows if r["is_total"])
-    found = [(r["shingle"], r["n"] / documents) for r in rows if not r["is_total"] and r["n"] > common * documents]
-    return np.array([f[0] for f in found], np.int64).view(np.uint64), np.array([f[1] for f in found])
-
-
-def _named(run: list[list[str]], common: float) -> pa.RecordBatch:
-    """Shingles that are common in a run of texts. Only runs of words that are all common need a look."""
-    shingler, least = Shingler(), common * len(run)
-    held_by: Counter[str] = Counter()
-    for words in run:
-        held_by.update(set(words))
-    frequent = {w for w, n in held_by.items() if n > least}
-    parts = [np.empty(0, np.uint64)]
-    for words in run if frequent else ():
-        known = np.fromiter(map(frequent.__contains__, words), bool, len(words))
-        width = min(WORDS, len(words))
-        ends = np.flatnonzero(np.convolve(known, np.ones(width, int), "valid") == width) if width else ()
-        if len(ends):
-            parts.append(np.unique(shingler.shingles(" ".join(words))[ends]))
-    values, times = np.unique(np.concatenate(parts), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(values[times > least].view(np.int64))], names=["shingle"])
-
-
-def fit_idf(norms: DataFrame, common: float = 0.5) -> Idf:
-    shingle, share = common_shingles(norms, common)
-    return Idf(shingle, np.maximum(np.log(1 / share) / math.log(1 / common), LEAST_IDF) if len(share) else share)
+
+def _packed(values: np.ndarray) -> bytes:
+    """Rising numbers as their gaps, in as few bytes each as the largest needs."""
+    gaps = np.diff(values, prepend=np.uint64(0))
+    width = (int(gaps.max()).bit_length() + 7) // 8 or 1
+    return bytes([width]) + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    width = packed[0]
+    wide = np.zeros(((len(packed) - 1) // width, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(packed, np.uint8, offset=1).reshape(-1, width)
+    return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
+
+
+def fit_idf(documents: DataFrame, text: str = "text") -> tuple[Idf, DataFrame]:
+    """Document frequencies of all shingles.
+
+    Returns the idf, and (doc_id, node, row, held, buckets) of every document: how many documents hold each of its shingles, in the
+    shingles' order, its bucket keys, and a number of its own. Documents are dealt to runs; a run sends each of its shingles once,
+    with its number of texts, to the part of the hashes it falls into, where all runs are added up, and gets the sums back.
+    Within a part 40 bits stand for a shingle, so one in a million shares its count with another.
+    """
+    total = documents.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(text_or_empty(text))), F.lit(0)).alias("chars")).first()
+    idf, shingles = Idf(total["n"]), total["chars"] // LETTERS
+    runs = 1 + max(total["n"] // RUN_TEXTS, shingles // RUN_SHINGLES)
+    bits = min(max(shingles // PART_SHINGLES, 1).bit_length() - 1, 24)
+    dealt = documents.select(
+        F.pmod(F.xxhash64(node_column(text), "doc_id"), F.lit(runs)).cast("int").alias("run"), "doc_id", node_column(text).alias("node"),
+        normalised(text).alias("norm"),
+    )
+
+    def sent(key, texts):
+        run = Run(texts.column("norm").combine_chunks())
+        part = (run.shingle >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(run.shingle), np.int64)
+        short = (run.shingle << np.uint64(bits)) >> np.uint64(24)
+        ends = np.searchsorted(part, np.arange((1 << bits) + 1))
+        spans = [(i, a, b) for i, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if a < b]
+        return pa.table({
+            "run": pa.array([key[0].as_py()] * len(spans), pa.int32()), "part": pa.array([i for i, _, _ in spans], pa.int32()),
+            "shingles": pa.array([_packed(short[a:b]) for _, a, b in spans], pa.binary()),
+            "n": pa.array([run.n[a:b].astype("<u4").tobytes() for _, a, b in spans], pa.binary()),
+        })
+
+    def added(key, table):
+        parts = [_unpacked(s) for s in table.column("shingles").to_pylist()]
+        n = np.concatenate([np.frombuffer(b, "<u4") for b in table.column("n").to_pylist()])
+        _, which = np.unique(np.concatenate(parts), return_inverse=True)
+        held = np.bincount(which, n).astype("<u4")[which]
+        ends = np.cumsum([len(p) for p in parts])
+        return pa.table({
+            "run": table.column("run"), "part": table.column("part"),
+            "held": pa.array([held[b - len(p) : b].tobytes() for p, b in zip(parts, ends, strict=True)], pa.binary()),
+        })
+
+    def weighed(key, texts, sums):
+        run, n = Run(texts.column("norm").combine_chunks()), texts.num_rows
+        sums = sums.sort_by("part").column("held").to_pylist()
+        held = np.frombuffer(b"".join(sums), "<u4").astype(np.int64)[run.which]
+        # Text by text, the shingles of each in order.
+        order = np.argsort(run.text.astype(np.uint16) if n <= 1 << 16 else run.text, kind="stable")
+        text, which, times, held = run.text[order], run.which[order], run.times[order], held[order]
+        weight = (1 + np.log(times)) * idf.of(held)
+        size = np.bincount(text, minlength=n)
+        full = np.flatnonzero(size)
+        keys = bands(run.shingle[which], weight, (np.cumsum(size > 0) - 1)[text], len(full), borrow_order()) if len(full) else np.empty(0, np.int64)
+        return pa.table({
+            "doc_id": texts.column("doc_id"), "node": texts.column("node"), "row": pa.array(np.arange(n) + (key[0].as_py() << 33)),
+            "held": pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(held, pa.int32())),
+            "buckets": pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum((size > 0) * BANDS)), pa.int32()), pa.array(keys.ravel())),
+        })
+
+    counted = dealt.groupBy("run").applyInArrow(sent, "run int, part int, shingles binary, n binary")
+    sums = counted.groupBy("part").applyInArrow(added, "run int, part int, held binary")
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    vectors = dealt.groupBy("run").cogroup(sums.groupBy("run")).applyInArrow(
+        weighed, f"doc_id {kind}, node binary, row long, held array<int>, buckets array<long>"
+    )
+    return idf, stored(vectors, "vectors")
 
 
 def borrow_order() -> np.ndarray:
@@ -233,33 +304,6 @@ def slices(batches, rows: int = 1000):
             yield batch.slice(begin, rows)
 
 
-def _bucket_rows(classes: DataFrame, idf: Idf) -> DataFrame:
-    @light
-    def run(batches):
-        shingler, order = Shingler(), borrow_order()
-        for batch in slices(batches):
-            nodes, norms = batch.column("node"), batch.column("norm").to_pylist()
-            begin = 0
-            while begin < len(norms):
-                parts, rows, held = [], [], 0
-                while begin < len(norms) and held < RUN_SHINGLES:
-                    shingle, weight = shingler.weighted(norms[begin], idf)
-                    if len(shingle):
-                        parts.append((shingle, weight))
-                        rows.append(begin)
-                        held += len(shingle)
-                    begin += 1
-                if not rows:
-                    continue
-                document = np.repeat(np.arange(len(rows)), [len(s) for s, _ in parts])
-                key = bands(np.concatenate([s for s, _ in parts]), np.concatenate([w for _, w in parts]), document, len(rows), order)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.ravel()), nodes.take(pa.array(np.repeat(rows, BANDS)))], names=["bucket", "node"]
-                )
-
-    return classes.mapInArrow(run, "bucket long, node binary")
-
-
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two texts."""
     at = np.minimum(np.searchsorted(a[0], b[0]), len(a[0]) - 1)
@@ -268,6 +312,14 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(least / (a[1].sum() + b[1].sum() - least))
 
 
+def _columns(batch: pa.RecordBatch, names: tuple[str, ...]):
+    """The rows of a batch with these columns; lists of numbers are arrays."""
+    lists = batch.column("held")
+    ends = lists.offsets.to_numpy()
+    held = np.split(lists.flatten().to_numpy(), (ends - ends[0])[1:-1]) if batch.num_rows else []
+    return zip(*(batch.column(c).to_pylist() for c in names), held, strict=True)
+
+
 def _linked_to_pivot(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> DataFrame:
     """Of (pivot, node) the pairs whose similarity reaches the threshold, as links (a, b).
 
@@ -289,17 +341,15 @@ def _linked_to_pivot(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: fl
         shingler, pivot, own = Shingler(), None, None
         for batch in batches:
             a, b = [], []
-            for p, node, is_pivot, norm in zip(
-                *(batch.column(c).to_pylist() for c in ("pivot", "node", "is_pivot", "norm")), strict=True
-            ):
+            for p, node, is_pivot, norm, held in _columns(batch, ("pivot", "node", "is_pivot", "norm")):
                 if is_pivot:
-                    pivot, own = p, shingler.weighted(norm, idf)
-                elif p == pivot and similarity(own, shingler.weighted(norm, idf)) >= threshold:
+                    pivot, own = p, shingler.weighted(norm, held, idf)
+                elif p == pivot and similarity(own, shingler.weighted(norm, held, idf)) >= threshold:
                     a.append(p)
                     b.append(node)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    return dealt.select("pivot", "node", "is_pivot", "norm").mapInArrow(run, "a binary, b binary")
+    return dealt.select("pivot", "node", "is_pivot", "norm", "held").mapInArrow(run, "a binary, b binary")
 
 
 def _linked_in_blocks(members: DataFrame, texts: DataFrame, idf: Idf, threshold: float) -> DataFrame:
@@ -312,10 +362,10 @@ def _linked_in_blocks(members: DataFrame, texts: DataFrame, idf: Idf, threshold:
     dealt = rows.join(texts, "node").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
 
     def verify(group, shingler):
-        nodes, roots, norms = ([g[i] for g in group] for i in (4, 5, 6))
+        nodes, roots = ([g[i] for g in group] for i in (4, 5))
         if len(set(roots)) < 2:
             return []
-        vectors = [shingler.weighted(norm, idf) for norm in norms]
+        vectors = [shingler.weighted(g[6], g[7], idf) for g in group]
         root = np.unique(roots, return_inverse=True)[1]
         total = np.array([w.sum() for _, w in vectors])
         shingle, inverse = np.unique(np.concatenate([s for s, _ in vectors]), return_inverse=True)
@@ -345,14 +395,14 @@ def _linked_in_blocks(members: DataFrame, texts: DataFrame, idf: Idf, threshold:
             dense[own] = 0
         return found
 
+    columns = ("bucket", "low", "high", "chunk", "node", "root", "norm")
+
     @light
     def run(batches):
         shingler, group, last = Shingler(), [], None
         for batch in batches:
             found = []
-            for row in zip(
-                *(batch.column(c).to_pylist() for c in ("bucket", "low", "high", "chunk", "node", "root", "norm")), strict=True
-            ):
+            for row in _columns(batch, columns):
                 if row[:3] != last:
                     found += verify(group, shingler) if group else []
                     group, last = [], row[:3]
@@ -361,8 +411,7 @@ def _linked_in_blocks(members: DataFrame, texts: DataFrame, idf: Idf, threshold:
         if group:
             yield _links(verify(group, shingler))
 
-    columns = ("bucket", "low", "high", "chunk", "node", "root", "norm")
-    return dealt.select(*columns).mapInArrow(run, "a binary, b binary")
+    return dealt.select(*columns, "held").mapInArrow(run, "a binary, b binary")
 
 
 def _links(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
@@ -383,16 +432,17 @@ def _with_roots(members: DataFrame, stars: DataFrame) -> DataFrame:
     )
 
 
-def class_roots(named: DataFrame, threshold: float = 0.8, common: float = 0.5) -> DataFrame:
-    """(node, root) of the classes that are linked with another one, from (node, norm) of all documents."""
-    idf = fit_idf(named.select("norm"), common)
+def class_roots(named: DataFrame, vectors: DataFrame, idf: Idf, threshold: float = 0.8) -> DataFrame:
+    """(node, root) of the classes that are linked with another one, from (node, norm) and what ``fit_idf`` found of all documents."""
     # Copies have the same buckets and meet in them as one node.
-    met = stored(_bucket_rows(named, idf), "buckets").distinct()
+    met = vectors.select(F.explode("buckets").alias("bucket"), "node").distinct()
     crowded = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
     members = stored(met.join(crowded, "bucket"), "crowded")
     # One text of each class that is in a crowded bucket.
     needed = members.select("node").distinct()
-    texts = stored(named.join(needed, "node").groupBy("node").agg(F.first("norm").alias("norm")), "texts")
+    chosen = vectors.select("node", "held").join(needed, "node").groupBy("node").agg(F.first("held").alias("held"))
+    texts = named.join(needed, "node").groupBy("node").agg(F.first("norm").alias("norm"))
+    texts = stored(texts.join(chosen, "node"), "texts")
     stars = None
     state = members.withColumn("root", F.col("node"))
     for turn in range(PIVOT_ROUNDS):
@@ -416,23 +466,19 @@ def class_roots(named: DataFrame, threshold: float = 0.8, common: float = 0.5) -
 
 def node_column(text: str = "text") -> Column:
     """16 bytes that stand for the words of a text."""
-    return F.unhex(F.md5(normalised(text).cast("binary")))
+    # Never null, which a join would test by making it twice.
+    return F.coalesce(F.unhex(F.md5(normalised(text).cast("binary"))), F.lit(b""))
 
 
-def _decided(documents: DataFrame, threshold: float, common: float, text: str) -> DataFrame:
+def _decided(documents: DataFrame, threshold: float, text: str) -> DataFrame:
     """One row per document: doc_id, node, class_id, class_size, kept."""
-    rows = stored(
-        documents.select("doc_id", node_column(text).alias("node"), normalised(text).alias("norm")).withColumn(
-            "row", F.monotonically_increasing_id()
-        ),
-        "document-nodes",
-    )
-    roots = class_roots(rows.select("node", "norm"), threshold, common).withColumnRenamed("node", "_node")
-    rows = rows.withColumn("empty", F.col("norm") == "").drop("norm")
-    grouped = rows.join(roots, F.col("node") == F.col("_node"), "left").select(
+    idf, vectors = fit_idf(documents, text)
+    named = documents.select(node_column(text).alias("node"), normalised(text).alias("norm"))
+    roots = class_roots(named, vectors, idf, threshold).withColumnRenamed("node", "_node")
+    grouped = vectors.join(roots, F.col("node") == F.col("_node"), "left").select(
         "doc_id", "node", "row", F.coalesce("root", "node").alias("root"),
         # Texts without words are groups by id.
-        F.when(F.col("empty"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("alone"),
+        F.when(F.size("held") == 0, F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("alone"),
     )
     # A null id counts as larger than any other.
     first = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")
@@ -443,14 +489,14 @@ def _decided(documents: DataFrame, threshold: float, common: float, text: str) -
     )
 
 
-def near_duplicates(documents: DataFrame, threshold: float = 0.8, common: float = 0.5, text: str = "text") -> DataFrame:
+def near_duplicates(documents: DataFrame, threshold: float = 0.8, text: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id (the smallest id of its group), class_size and kept."""
-    return _decided(documents, threshold, common, text).drop("node")
+    return _decided(documents, threshold, text).drop("node")
 
 
-def keep_one_each(documents: DataFrame, threshold: float = 0.8, common: float = 0.5, text: str = "text") -> DataFrame:
+def keep_one_each(documents: DataFrame, threshold: float = 0.8, text: str = "text") -> DataFrame:
     """The documents without the near duplicates of others, with their own columns."""
-    kept = _decided(documents, threshold, common, text).where("kept").select(
+    kept = _decided(documents, threshold, text).where("kept").select(
         F.col("doc_id").alias("_kept_id"), F.col("node").alias("_kept_node")
     )
     named = documents.withColumn("_node", node_column(text))
