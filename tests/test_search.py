@@ -224,3 +224,11 @@ def test_stream_counts_equal_the_batch(spark):
 def test_scores_cover_the_whole_table(spark, name):
     folder = "/root/testdata/sf0.001"
     assert QUERIES[name](spark, folder).count() == spark.read.parquet(f"{folder}/lineitem.parquet").count()
+
+
+def test_partitions_of_a_fit_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(search, "PARTITION_ROWS", 100)
+    table = spark.range(1000)
+    assert search.spread(table, 4).rdd.getNumPartitions() == 10
+    assert search.spread(table, 16).rdd.getNumPartitions() == 16
+    assert search.spread(table.limit(0), 4).rdd.getNumPartitions() == 4
