@@ -41,15 +41,20 @@ def exchanged(df: DataFrame, key: Sequence[str], columns: Sequence[str], repeats
     ranked = ranked.withColumns({
         "_rank": F.row_number().over(order), "_rows": F.count(F.lit(1)).over(W.partitionBy("_bucket"))
     }).drop("_tie")
-    turns = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(r).alias("repeat")) for c in columns for r in range(repeats)
+    # A bucket's digests are made at its first row only, and passed on to its others.
+    digests = F.array(*[
+        F.struct(
+            F.lit(c).alias("feature"), F.lit(r).alias("repeat"),
+            hash_number(F.md5(F.concat_ws("|", F.lit(c), F.lit(str(r)), "_bucket", F.lit(str(seed))))).alias("step"),
+        )
+        for c in columns for r in range(repeats)
     ])
-    donors = ranked.select(
+    turns = F.max(F.when(F.col("_rank") == 1, digests)).over(W.partitionBy("_bucket"))
+    donors = ranked.withColumn("_turns", turns).select(
         F.col("_bucket").alias("_to"), F.col("_rank").alias("_from"), F.col("_rows").alias("_all"), *columns,
-        F.inline(turns).alias("_feature", "_repeat"),
+        F.inline("_turns").alias("_feature", "_repeat", "_step"),
     )
-    steps = F.md5(F.concat_ws("|", "_feature", F.col("_repeat").cast("string"), "_to", F.lit(str(seed))))
-    shift = F.when(F.col("_all") > 1, 1 + hash_number(steps) % (F.col("_all") - 1)).otherwise(0)
+    shift = F.when(F.col("_all") > 1, 1 + F.col("_step") % (F.col("_all") - 1)).otherwise(0)
     donors = donors.select(
         "_to", (F.pmod(F.col("_from") - 1 - shift, F.col("_all")) + 1).alias("_at"), "_feature", "_repeat",
         *[F.when(F.col("_feature") == c, F.col(c)).alias(f"_new_{i}") for i, c in enumerate(columns)],
