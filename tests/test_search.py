@@ -232,3 +232,14 @@ def test_partitions_of_a_fit_grow_with_the_table(spark, monkeypatch):
     assert search.spread(table, 4).rdd.getNumPartitions() == 10
     assert search.spread(table, 16).rdd.getNumPartitions() == 16
     assert search.spread(table.limit(0), 4).rdd.getNumPartitions() == 4
+
+
+def test_holdout_fits_at_once_change_nothing(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, float(a), float(a + rng.normal()), "pqr"[int(a > 0) + int(a > 1)]) for i, a in enumerate(rng.normal(size=300))]
+    df = spark.createDataFrame(rows, "k long, a double, b double, z string")
+    one, two = (
+        search.search_with_holdout(df, ["a", "b"], "z", ["k"], (search.LINEAR, search.LOGISTIC_L1), None, partitions=2, parallelism=p)
+        for p in (1, 2)
+    )
+    assert one.ranking.collect() == two.ranking.collect() and not two.failures
