@@ -1,3 +1,4 @@
+import gc
 import itertools
 
 import numpy as np
@@ -5,7 +6,7 @@ import pytest
 from llm.conftest import SF
 from pyspark.sql import functions as F
 
-from trisect.llm import lattice_dedup, weighted_minhash
+from trisect.llm import components, lattice_dedup, tables, weighted_minhash
 from trisect.llm.components import connected_components
 from trisect.llm.queries import QUERIES
 
@@ -236,3 +237,35 @@ def test_samples_agree_as_often_as_texts_are_similar():
     assert abs((keys[0] == keys[2]).mean() - expected) < 0.25
     assert weighted_minhash.bands(a[:1], one[:1], np.zeros(1, int), 1, order).shape == (1, weighted_minhash.BANDS)
     assert two.sum() == 3000
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    """Links that are stars already are only looked at; a chain of three takes one round."""
+    rounds = []
+    star = components._small_star
+    monkeypatch.setattr(components, "_small_star", lambda edges: rounds.append(1) or star(edges))
+    for links, most in (([(1, i) for i in range(2, 30)] + [(40, 41)], 0), ([(1, 2), (2, 3)], 1)):
+        rounds.clear()
+        found = connected_components(spark.createDataFrame(links, "a long, b long"))
+        nodes = {x for pair in links for x in pair}
+        assert {r.node: r.root for r in found.collect()} == roots_plainly(links, nodes) and len(rounds) <= most
+
+
+def test_trimming_does_not_walk_through_imports():
+    tables.trim_worker()
+    assert gc.get_freeze_count() > 0
+
+
+@pytest.mark.parametrize("most", [0, 2_000_000])
+def test_vectors_are_made_once_while_remembered(monkeypatch, most):
+    monkeypatch.setattr(weighted_minhash, "MOST_IN_VECTORS", most)
+    shingler, made = weighted_minhash.Shingler(), []
+    plain = shingler.weighted
+    monkeypatch.setattr(shingler, "weighted", lambda *a: made.append(1) or plain(*a))
+    idf = weighted_minhash.Idf(9)
+    texts = {b"a": "one two three four five six", b"b": "six five four three two one"}
+    for node in [b"a", b"b"] * 3:
+        held = np.array([1, 3])
+        for found, expected in zip(shingler.remembered(node, texts[node], held, idf), plain(texts[node], held, idf), strict=True):
+            assert (found == expected).all()
+    assert len(made) == (2 if most else 6)

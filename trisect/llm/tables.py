@@ -31,9 +31,17 @@ def kept_between_tasks(cached):
     return cached
 
 
+_frozen = False
+
+
 def trim_worker() -> None:
     """Give back memory that this worker process holds but no longer uses, from this task or earlier ones."""
+    global _frozen
     gc.collect()
+    if not _frozen:
+        # What the imports made stays for good; the collector need not walk through it in every task.
+        gc.freeze()
+        _frozen = True
     pa.default_memory_pool().release_unused()
     # Only some C libraries have it; without it the memory goes back when the worker ends.
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

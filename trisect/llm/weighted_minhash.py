@@ -41,6 +41,8 @@ CHUNK = 256
 PER_PIVOT = 2000
 PIVOT_ROUNDS = 2
 MOST_WORDS = 200_000
+# Shingles of the vectors that a task remembers, 16 bytes each.
+MOST_IN_VECTORS = 2_000_000
 # With this least weight two texts of plain similarity 16 / 19 (0.842) reach 0.8 however common what they share is.
 LEAST_IDF = 0.75
 # Documents, and about how many shingles, of a run; shingles of a part of the hashes; letters of a word and its blank, at least.
@@ -67,10 +69,12 @@ def uniforms(x: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Shingler:
-    """Shingle hashes of normalised texts; remembers the hashes of words."""
+    """Shingle hashes of normalised texts; remembers the hashes of words, and vectors where it is asked to."""
 
     def __init__(self):
         self.hashes: dict[str, int] = {}
+        self.vectors: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        self.in_vectors = 0
 
     def shingles(self, norm: str) -> np.ndarray:
         words = norm.split(" ") if norm else []
@@ -98,6 +102,17 @@ class Shingler:
         shingle, times = np.unique(self.shingles(norm), return_counts=True)
         return shingle, (1 + np.log(times)) * idf.of(held)
 
+    def remembered(self, node: bytes, norm: str, held: np.ndarray, idf: Idf) -> tuple[np.ndarray, np.ndarray]:
+        """The same for a text that comes in many blocks, made once while it is remembered."""
+        found = self.vectors.get(node)
+        if found is None:
+            if self.in_vectors > MOST_IN_VECTORS:
+                self.vectors.clear()
+                self.in_vectors = 0
+            found = self.vectors[node] = self.weighted(norm, held, idf)
+            self.in_vectors += len(found[0])
+        return found
+
 
 class Idf:
     """Smoothed inverse document frequencies: 1 for a shingle of one document, LEAST_IDF for one of all documents."""
@@ -365,7 +380,7 @@ def _linked_in_blocks(members: DataFrame, texts: DataFrame, idf: Idf, threshold:
         nodes, roots = ([g[i] for g in group] for i in (4, 5))
         if len(set(roots)) < 2:
             return []
-        vectors = [shingler.weighted(g[6], g[7], idf) for g in group]
+        vectors = [shingler.remembered(g[4], g[6], g[7], idf) for g in group]
         root = np.unique(roots, return_inverse=True)[1]
         total = np.array([w.sum() for _, w in vectors])
         shingle, inverse = np.unique(np.concatenate([s for s, _ in vectors]), return_inverse=True)
@@ -422,6 +437,8 @@ def _links(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 
 def _contracted(stars: DataFrame | None, found: DataFrame) -> DataFrame:
     """Components of new links and earlier components, which are stars already and settle at once."""
+    if stars is not None and found.isEmpty():
+        return stars
     return connected_components(found if stars is None else found.unionAll(stars.toDF("a", "b")))
 
 
