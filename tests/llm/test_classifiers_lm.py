@@ -180,3 +180,33 @@ def test_rare_kinds_are_learned_from_all_texts(spark, nothing):
     # A text of the rare kind is likelier in one kind, and by far.
     rare = one[:, 3:].sum(axis=1)
     assert abs(rare[0] - rare[1]) > 3
+
+
+def test_every_context_is_counted(spark, nothing):
+    """Contexts seen once and contexts that meet in a slot are all in its counts, on any partitioning."""
+    rng = np.random.default_rng(4)
+    pieces = [b"%08x " % x for x in rng.integers(0, 1 << 32, 20_000)] + [b"the ", b"\xff"]
+    n = np.append(rng.integers(1, 3, 20_000), [150_000, 7])
+    code = context_mixing.Code(np.bincount(np.frombuffer(b"".join(pieces), np.uint8), minlength=256))
+    rows = spark.createDataFrame(list(zip(map(bytearray, pieces), n.tolist(), strict=True)), "piece binary, n long").repartition(4)
+    table = context_mixing.context_counts(rows, code).astype(np.int64)
+    bits = context_mixing.Bits(pieces, code)
+    expected = np.zeros((context_mixing.SLOTS, 2), np.int64)
+    for k in range(len(context_mixing.ORDERS)):
+        np.add.at(expected, (bits.slot[k], bits.bit), n[bits.piece])
+    small = expected.max(axis=1) < 60_000
+    assert (table[small, 1:3] + table[small, 3:] == expected[small]).all()
+    assert (table[:, 3:].sum(axis=1) > 0).sum() > 1000 and (expected.sum(axis=1) == 1).sum() > 1000
+    # The most frequent context of a slot has counts of its own, and its check.
+    assert (table[:, 1:3].sum(axis=1) * 256 >= table[:, 3:].sum(axis=1)).all()
+
+
+def test_packed_predictions_are_those_of_the_counts():
+    table = np.zeros((4, 5), np.uint16)
+    table[:, 0] = [7, 7, 9, 0]
+    table[:, 1:] = [[3, 1, 0, 0], [0, 60_000, 5, 2], [60_000, 0, 0, 60_000], [0, 0, 0, 0]]
+    x, evidence = context_mixing.Predictions(table).of(np.arange(4).repeat(2), np.array([7, 8, 7, 8, 9, 8, 0, 8]))
+    counts = table[:, 1:].reshape(-1, 2).astype(np.float32)
+    assert x == pytest.approx(context_mixing.stretched(counts[:, 0], counts[:, 1]), abs=0.0601)
+    own = context_mixing.evidence_of(counts[:, 0], counts[:, 1])
+    assert evidence.tolist() == [int(e) + (i % 2) * context_mixing.EVIDENCE for i, e in enumerate(own)]

@@ -2,8 +2,9 @@
 
 A text is lower-cased (A-Z only) and read as bytes. Bytes are coded as bits by a prefix code made from the corpus, so
 that frequent bytes take few bits. Each bit is predicted by several predictors: counts of zeros and ones, hashed by
-the last one to four bytes, and by the whole beginning of the current piece (the bytes since the last blank). A slot keeps
-the check of its most frequent context, so that another context does not take its counts for its own. The
+the last one to four bytes, and by the whole beginning of the current piece (the bytes since the last blank). Every context
+of the training texts is counted, those seen once too. A slot keeps the counts of its most frequent context, with its check,
+and those of all its other contexts added up; what the latter say has weights of its own. The
 predictions are mixed in the logistic domain with weights that are gated by how much evidence a predictor and the
 longest context have; the weights are learned online, bit by bit in small steps, each piece predicted without its own count.
 
@@ -39,14 +40,16 @@ from trisect.llm.weighted_minhash import GOLDEN, mixed, uniforms
 ORDERS = (1, 2, 3, 4, 0)
 SLOT_BITS = (18, 20, 21, 22, 22)
 EVIDENCE = 8
+# Evidence from the slot's most frequent context, and from its others.
+CLASSES = 2 * EVIDENCE
 END = 0xFF  # never a byte of UTF-8
 BLOCK_BITS = 13
 MOST_COUNTED = 250_000
 MOST_REMEMBERED = 200_000
+# Stretched predictions of 16-bit counts are within this.
+RANGE = 15.36
 # The least weight of an expert.
 FLOOR = 0.005
-# Contexts of these predictors seen once only say nothing about other texts.
-SINGLES_DROPPED = (3, 4)
 
 FIRST_SLOT = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])])
 SLOTS = int(FIRST_SLOT[-1])
@@ -193,8 +196,27 @@ def byte_counts(pieces: DataFrame) -> np.ndarray:
     return total
 
 
+def _short(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs."""
+    return values.astype(np.min_scalar_type(values.max())).tobytes()
+
+
+def _long(short: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(short, f"<u{len(short) // n}").astype(np.int64)
+
+
+def _scaled(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts in 16 bits; large ones keep their ratio."""
+    scale = np.maximum(np.maximum(zeros, ones) / 60_000, 1.0)
+    return np.ceil(zeros / scale), np.ceil(ones / scale)
+
+
 def context_counts(pieces: DataFrame, code: Code) -> np.ndarray:
-    """Per slot the check and the counts of its most frequent context, as rows (check, zeros, ones) of the whole table."""
+    """Per slot the check and the counts of its most frequent context, and the counts of all its others: a table of rows
+    (check, zeros, ones, zeros of the others, ones of the others).
+
+    A task sends what it counted block by block, each context's place once with its counts.
+    """
 
     def count(batches):
         fresh_worker()
@@ -212,20 +234,24 @@ def context_counts(pieces: DataFrame, code: Code) -> np.ndarray:
         def emitted(k):
             key, n = held[k].pop()
             context = key & ~np.uint64(255)
-            if ORDERS[k] == 0:
-                # A beginning seen once in these pieces foretells nothing; with its neighbours at hand it is known here.
-                first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-                often = np.repeat(np.add.reduceat(n, first) > 1, np.diff(np.append(first, len(key))))
-                key, n, context = key[often], n[often], context[often]
             byte, node, bit = code.bits_of((key & np.uint64(255)).astype(np.uint8))
             slot, check = place_of(context[byte], node, k)
             place = slot * 256 + check
             order = np.argsort(place, kind="stable")
             place, bit, n = place[order], bit[order], n[byte][order]
-            first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else np.empty(0, int)
-            zeros, ones = (np.add.reduceat(np.where(bit == b, n, 0), first) if len(first) else first for b in (0, 1))
+            first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            zeros, ones = (np.add.reduceat(np.where(bit == b, n, 0), first) for b in (0, 1))
+            place = place[first]
+            block = place >> (BLOCK_BITS + 8)
+            starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            spans = list(zip(starts, np.append(starts[1:], len(block)), strict=True))
+            inside = (place & ((1 << (BLOCK_BITS + 8)) - 1)).astype("<u4")
             return pa.RecordBatch.from_arrays(
-                [pa.array(place[first]), pa.array(zeros), pa.array(ones)], names=["key", "zeros", "ones"]
+                [
+                    pa.array(block[starts]), pa.array([inside[a:b].tobytes() for a, b in spans], pa.binary()),
+                    *(pa.array([_short(v[a:b]) for a, b in spans], pa.binary()) for v in (zeros, ones)),
+                ],
+                names=["block", "places", "zeros", "ones"],
             )
 
         added = 0
@@ -249,37 +275,39 @@ def context_counts(pieces: DataFrame, code: Code) -> np.ndarray:
 
     # Pieces in order: those with a common beginning are counted in one task, and few contexts meet only in the shuffle.
     ordered = pieces.repartitionByRange("piece").sortWithinPartitions("piece")
-    counts = ordered.mapInArrow(count, "key long, zeros long, ones long").withColumn(
-        "slot", F.floor(F.col("key") / 256).cast("long")
-    )
-    counts = counts.withColumn("block", F.floor(F.col("slot") / (1 << BLOCK_BITS)).cast("long"))
-    # Dealt by block once: keys, slots and blocks are then complete in a task.
-    whole = counts.repartition("block").groupBy("block", "slot", "key").agg(
-        F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")
-    )
-    rare = (F.col("slot") >= int(FIRST_SLOT[min(SINGLES_DROPPED)])) & (F.col("zeros") + F.col("ones") < 2)
-    best = whole.where(~rare).groupBy("block", "slot").agg(
-        F.max(F.struct((F.col("zeros") + F.col("ones")).alias("n"), "key", "zeros", "ones")).alias("best")
-    ).select("block", "slot", "best.*")
-
-    def packed(key, table):
-        out = np.zeros((1 << BLOCK_BITS, 3), np.uint16)
-        at = table.column("slot").to_numpy() & ((1 << BLOCK_BITS) - 1)
-        zeros, ones = table.column("zeros").to_numpy(), table.column("ones").to_numpy()
-        # Large counts keep their ratio.
-        scale = np.maximum(np.maximum(zeros, ones) / 60_000, 1.0)
-        out[at, 0] = table.column("key").to_numpy() & 255
-        out[at, 1], out[at, 2] = np.ceil(zeros / scale), np.ceil(ones / scale)
+    counts = ordered.mapInArrow(count, "block long, places binary, zeros binary, ones binary")
+
+    def packed(key, sent):
+        places = [np.frombuffer(b, "<u4") for b in sent.column("places").to_pylist()]
+        place, which = np.unique(np.concatenate(places), return_inverse=True)
+        zeros, ones = (
+            np.bincount(which, np.concatenate([_long(b, len(p)) for b, p in zip(sent.column(c).to_pylist(), places, strict=True)]))
+            for c in ("zeros", "ones")
+        )
+        slot = place >> 8
+        # The last of each slot is its most frequent context.
+        order = np.lexsort((zeros + ones, slot))
+        first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+        best = order[np.append(first[1:], len(slot)) - 1]
+        out = np.zeros((1 << BLOCK_BITS, 5), np.uint16)
+        out[slot[best], 0] = place[best] & 255
+        others = [np.add.reduceat(v, first) - v[best] for v in (zeros, ones)]
+        out[slot[best], 1:] = np.stack([*_scaled(zeros[best], ones[best]), *_scaled(*others)], axis=1)
         return pa.table({"block": [key[0].as_py()], "rows": pa.array([out.tobytes()], pa.binary())})
 
     # A block has 2 ** 13 slots at most, and the number of blocks is fixed.
-    table = np.zeros((SLOTS, 3), np.uint16)
-    for row in best.groupBy("block").applyInArrow(packed, "block long, rows binary").toLocalIterator():
-        part = np.frombuffer(row["rows"], np.uint16).reshape(-1, 3)
+    table = np.zeros((SLOTS, 5), np.uint16)
+    for row in counts.groupBy("block").applyInArrow(packed, "block long, rows binary").toLocalIterator():
+        part = np.frombuffer(row["rows"], np.uint16).reshape(-1, 5)
         table[row["block"] << BLOCK_BITS : (row["block"] + 1) << BLOCK_BITS] = part[: SLOTS - (row["block"] << BLOCK_BITS)]
     return table
 
 
+def others_of(table: np.ndarray) -> np.ndarray:
+    """Zeros and ones of a slot's other contexts; a table may do without them."""
+    return table[:, 3:] if table.shape[1] > 3 else np.zeros((len(table), 2), np.uint16)
+
+
 def stretched(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.log((ones + np.float32(0.05)) / (zeros + np.float32(0.05)))
 
@@ -292,16 +320,19 @@ class Predictions:
     """What each slot predicts, ready for scoring."""
 
     def __init__(self, table: np.ndarray):
-        zeros, ones = table[:, 1].astype(np.float32), table[:, 2].astype(np.float32)
-        # One number holds all of a slot, so that a lookup is one access: thousandths, evidence, check.
-        x = np.rint(stretched(zeros, ones) * 1000).astype(np.int16).view(np.uint16).astype(np.uint32)
-        self.packed = (x << 16) | (evidence_of(zeros, ones).astype(np.uint32) << 8) | (table[:, 0].astype(np.uint32) & 255)
+        # One number holds all of a slot, so that a lookup is one access: check, prediction and evidence, those of the others.
+        self.packed = table[:, 0].astype(np.uint32) & 255
+        for counts, levels, shift in ((table[:, 1:3], 512, 8), (others_of(table), 128, 21)):
+            zeros, ones = counts[:, 0].astype(np.float32), counts[:, 1].astype(np.float32)
+            x = np.rint(stretched(zeros, ones) * (levels / RANGE)).astype(np.int32) + levels
+            self.packed |= (x.astype(np.uint32) | evidence_of(zeros, ones).astype(np.uint32) * np.uint32(2 * levels)) << np.uint32(shift)
 
     def of(self, slot: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Prediction and evidence, both 0 where the slot belongs to another context."""
+        """Prediction and evidence class of a context, or of all contexts but the slot's most frequent one."""
         found = self.packed[slot]
-        found *= (found & np.uint32(255)) == check
-        return (found >> 16).astype(np.uint16).view(np.int16) * np.float32(0.001), (found >> 8) & np.uint32(255)
+        own = (found & np.uint32(255)) == check
+        x = np.where(own, (found >> 8) & np.uint32(1023), ((found >> 21) & np.uint32(255)) << 2).astype(np.float32)
+        return (x - 512) * np.float32(RANGE / 512), np.where(own, (found >> 18) & np.uint32(7), (found >> 29) + np.uint32(EVIDENCE))
 
 
 class Mixer:
@@ -309,7 +340,8 @@ class Mixer:
 
     def __init__(self, table: np.ndarray | Predictions, code: Code, weights: np.ndarray | None = None):
         self.table, self.code = table, code
-        self.weights = np.full((len(ORDERS), EVIDENCE, EVIDENCE), 0.3) if weights is None else weights
+        self.others = others_of(table) if isinstance(table, np.ndarray) else None
+        self.weights = np.full((len(ORDERS), CLASSES, CLASSES), 0.3) if weights is None else weights
 
     def inputs(self, bits: Bits) -> tuple[np.ndarray, np.ndarray]:
         """Stretched predictions and evidence classes [predictors, bits]."""
@@ -319,14 +351,17 @@ class Mixer:
         """The same from counts, with each bit's own occurrence taken out."""
         known = self.table[bits.slot, 0] == bits.check
         zeros, ones = (
-            np.maximum(np.where(known, self.table[bits.slot, 1 + b], 0).astype(np.float32) - (bits.bit == b), 0) for b in (0, 1)
+            np.maximum(
+                np.where(known, self.table[bits.slot, 1 + b], self.others[bits.slot, b]).astype(np.float32) - (bits.bit == b), 0
+            )
+            for b in (0, 1)
         )
-        return stretched(zeros, ones), evidence_of(zeros, ones)
+        return stretched(zeros, ones), evidence_of(zeros, ones) + np.where(known, 0, EVIDENCE)
 
     def gates(self, evidence: np.ndarray) -> np.ndarray:
         """Which weight each predictor uses for a bit: by its own evidence and that of the longest context."""
         k = np.arange(len(ORDERS))[:, None]
-        return (k * EVIDENCE + evidence) * EVIDENCE + evidence[-1].astype(np.int64)
+        return (k * CLASSES + evidence) * CLASSES + evidence[-1].astype(np.int64)
 
     def log_probabilities(self, pieces: list[bytes]) -> np.ndarray:
         """Natural logarithms of the static probabilities."""
@@ -377,7 +412,7 @@ def learned_weights(pieces: DataFrame, table, code: Code) -> np.ndarray:
     for row in rows:
         if row["seen"] > 0:
             weights[row["at"]] = row["w"] / row["seen"]
-    return weights.reshape(len(ORDERS), EVIDENCE, EVIDENCE)
+    return weights.reshape(len(ORDERS), CLASSES, CLASSES)
 
 
 def adapted(log_p: np.ndarray, piece: np.ndarray, document: np.ndarray, start: np.ndarray) -> np.ndarray:
