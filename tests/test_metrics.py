@@ -46,6 +46,23 @@ def test_auc_equals_counting_pairs(spark, tiny_buckets):
     assert exact.evaluate(raw) == pytest.approx(expected, abs=1e-12)
 
 
+@pytest.mark.parametrize("classes", [1, 2])
+def test_scores_are_made_once_per_row(spark, classes):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(s):
+        made.add(1)
+        return s
+
+    df = spark.createDataFrame(scored()).withColumn("s", F.udf(counted, "double")("s"))
+    if classes == 1:
+        roc_auc_binary(df, "y", "s").collect()
+    else:
+        # Both classes of a row are scored together.
+        roc_auc_per_class(df, "y", {0: -F.col("s"), 1: F.col("s")}).collect()
+    assert made.value == 3000
+
+
 def test_auc_of_one_class_is_null(spark):
     df = spark.createDataFrame([(1, 0.3), (1, 0.4)], "y int, s double")
     assert roc_auc_binary(df, "y", "s").first()["auc"] is None

@@ -5,8 +5,8 @@ again. Rows are ranked by the hash of their key within hash buckets, and each ta
 feature, repeat and bucket decide how many. So the exchange is one join on (bucket, rank) for all features and repeats, every value is used once per
 feature and repeat, and any partitioning gives the same result. Missing values are exchanged like others.
 
-The scored table has a copy of the rows for every feature and repeat, and one unchanged; it is scored in one pass, and only group, score and label
-are kept of it, on reliable storage. Rows with equal keys are neighbours in an order their values decide.
+The scored table has a copy of the rows for every feature and repeat, and one unchanged; it is scored in one pass, and only how often each group has a score
+and a label is kept of it, on reliable storage. Rows with equal keys are neighbours in an order their values decide.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from trisect.functions.keys import hash_number, hash_prefix, join_groups, prefix
 from trisect.functions.stats import ratio
 from trisect.operators.metrics import roc_auc_by
 from trisect.operators.quantiles import quantiles
-from trisect.session import keep, lookup
+from trisect.session import lookup
 
 # Feature of the rows whose values are not exchanged.
 UNCHANGED = "(none)"
@@ -88,7 +88,7 @@ def permutation_importance(
         )
         for c in classes
     ])))
-    areas = roc_auc_by(keep(long), ["_feature", "_repeat", "class"])
+    areas = roc_auc_by(long, ["_feature", "_repeat", "class"])
     weight = F.when(F.col("auc").isNotNull(), F.col("n_pos"))
     table = lookup(areas.groupBy("_feature", "_repeat").agg(ratio(F.sum(F.col("auc") * weight), F.sum(weight)).alias("area")))
     unchanged = table.where(F.col("_feature") == UNCHANGED).select(F.col("area").alias("auc"))
