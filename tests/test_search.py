@@ -1,8 +1,10 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from trisect.catalog.queries import QUERIES
@@ -152,6 +154,27 @@ def test_holdout_search_and_hyperparams(tables):
     assert "prediction" in model.transform(train).columns
 
 
+def test_hyperparams_are_those_of_the_cross_validator(tables, monkeypatch):
+    """Scores as MLlib's; each fold and parameter set is scored once, by the exact area."""
+    train, _ = tables
+    grid, areas = {"regParam": [0.001, 0.5]}, []
+    area = search.roc_auc_binary
+    monkeypatch.setattr(search, "roc_auc_binary", lambda *args: areas.append(1) or area(*args))
+    table, _ = search.search_hyperparams(train, ["a", "t"], "y", ["k"], LogisticRegression(), grid, folds=2)
+    ours = {r["hiperparameters"]["regParam"]: r["metric"] for r in table.collect()}
+    assert len(areas) == 4
+    prepared = Pipeline(stages=[*search.feature_stages(train, ["a", "t"]), search.label_stage("y")]).fit(train)
+    folded = train.withColumn("_fold", (search.hash_number(search.row_hash(["k"])) % 2).cast("int"))
+    lr = LogisticRegression(labelCol=search.LABEL, featuresCol=search.FEATURES)
+    maps = ParamGridBuilder().addGrid(lr.regParam, grid["regParam"]).build()
+    theirs = CrossValidator(
+        estimator=lr, estimatorParamMaps=maps, numFolds=2, foldCol="_fold",
+        evaluator=BinaryClassificationEvaluator(labelCol=search.LABEL, numBins=0),
+    ).fit(prepared.transform(folded))
+    for m, value in zip(maps, theirs.avgMetrics, strict=True):
+        assert ours[str(m[lr.regParam])] == pytest.approx(value, abs=1e-9)
+
+
 def test_network_and_importances(spark, tables):
     train, valid = tables
     found = search.search_models(train, valid, ["a", "b"], "y", (search.NETWORK,))
