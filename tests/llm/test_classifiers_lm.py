@@ -1,4 +1,5 @@
 import math
+import pickle
 import zlib
 from collections import Counter
 
@@ -210,3 +211,19 @@ def test_packed_predictions_are_those_of_the_counts():
     assert x == pytest.approx(context_mixing.stretched(counts[:, 0], counts[:, 1]), abs=0.0601)
     own = context_mixing.evidence_of(counts[:, 0], counts[:, 1])
     assert evidence.tolist() == [int(e) + (i % 2) * context_mixing.EVIDENCE for i, e in enumerate(own)]
+
+
+def test_tables_are_shipped_small_and_whole():
+    """A sparse table takes little room in a broadcast, and comes back as it was."""
+    table, code, pieces = counted()
+    table = np.concatenate([table, table[:, 1:] // 2], axis=1)
+    table[:1000, 1:] = np.random.default_rng(3).integers(0, 1 << 16, (1000, 4))
+    shipped = pickle.dumps(context_mixing.Shipped(table))
+    again = pickle.loads(shipped).array
+    assert again.dtype == table.dtype and (again == table).all()
+    assert len(shipped) < table.nbytes / 50
+    predictions = context_mixing.Predictions(table)
+    small = pickle.dumps(predictions)
+    assert len(small) < predictions.packed.nbytes / 50 and (pickle.loads(small).packed == predictions.packed).all()
+    one, other = (context_mixing.Mixer(t, code).log_probabilities(pieces) for t in (predictions, pickle.loads(small)))
+    assert (one == other).all()

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import heapq
 import uuid
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -303,6 +304,28 @@ def context_counts(pieces: DataFrame, code: Code) -> np.ndarray:
     return table
 
 
+class Shipped:
+    """An array of counts or codes that is small while it is shipped: every executor keeps a file of what is broadcast.
+
+    Most slots hold small numbers, many none; the bytes of equal weight stand together, which packs them better. Arrays come back read-only.
+    """
+
+    def __init__(self, array: np.ndarray):
+        self.array = array
+
+    def __getstate__(self):
+        planes = np.ascontiguousarray(self.array).reshape(len(self.array), -1).view(np.uint8).T
+        return self.array.shape, self.array.dtype.str, [zlib.compress(np.ascontiguousarray(plane), 1) for plane in planes]
+
+    def __setstate__(self, state):
+        shape, kind, planes = state
+        flat = np.empty((shape[0], len(planes)), np.uint8)
+        for i, plane in enumerate(planes):
+            flat[:, i] = np.frombuffer(zlib.decompress(plane), np.uint8)
+        self.array = flat.view(kind).reshape(shape)
+        self.array.flags.writeable = False
+
+
 def others_of(table: np.ndarray) -> np.ndarray:
     """Zeros and ones of a slot's other contexts; a table may do without them."""
     return table[:, 3:] if table.shape[1] > 3 else np.zeros((len(table), 2), np.uint16)
@@ -327,6 +350,12 @@ class Predictions:
             x = np.rint(stretched(zeros, ones) * (levels / RANGE)).astype(np.int32) + levels
             self.packed |= (x.astype(np.uint32) | evidence_of(zeros, ones).astype(np.uint32) * np.uint32(2 * levels)) << np.uint32(shift)
 
+    def __getstate__(self):
+        return Shipped(self.packed)
+
+    def __setstate__(self, shipped):
+        self.packed = shipped.array
+
     def of(self, slot: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Prediction and evidence class of a context, or of all contexts but the slot's most frequent one."""
         found = self.packed[slot]
@@ -395,7 +424,7 @@ def learned_weights(pieces: DataFrame, table, code: Code) -> np.ndarray:
 
     def learn(batches):
         fresh_worker()
-        mixer = Mixer(table.value, code)
+        mixer = Mixer(table.value.array, code)
         seen = 0.0
         for batch in batches:
             seen += mixer.learn(batch.column("piece").to_pylist(), batch.column("n").to_numpy())
@@ -701,7 +730,7 @@ def score(
     tokens, distinct = totals[0] + n_training, totals[1] + (n_training > 0)
     code = Code(byte_counts(pieces))
     table_of_counts = context_counts(pieces, code)
-    counts = spark.sparkContext.broadcast(table_of_counts)
+    counts = spark.sparkContext.broadcast(Shipped(table_of_counts))
     weights = learned_weights(pieces, counts, code)
     counts.destroy()
     predictions = spark.sparkContext.broadcast(Predictions(table_of_counts))
