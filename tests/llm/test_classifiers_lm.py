@@ -1,9 +1,11 @@
 import math
 import pickle
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.conftest import SF
 from pyspark.sql import functions as F
@@ -227,3 +229,35 @@ def test_tables_are_shipped_small_and_whole():
     assert len(small) < predictions.packed.nbytes / 50 and (pickle.loads(small).packed == predictions.packed).all()
     one, other = (context_mixing.Mixer(t, code).log_probabilities(pieces) for t in (predictions, pickle.loads(small)))
     assert (one == other).all()
+
+
+def test_a_task_counts_contexts_in_bounded_memory():
+    """What a task of many different pieces holds at once, its arrays taken together."""
+    class Pieces:
+        def repartitionByRange(self, *_):
+            return self
+
+        sortWithinPartitions = repartitionByRange
+
+        def mapInArrow(self, run, _):
+            raise StopIteration(run)
+
+    rng = np.random.default_rng(5)
+    pieces = [b"%012x " % x for x in rng.integers(0, 1 << 48, 120_000)]
+    code = context_mixing.Code(np.bincount(np.frombuffer(b"".join(pieces), np.uint8), minlength=256))
+    with pytest.raises(StopIteration) as caught:
+        context_mixing.context_counts(Pieces(), code)
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array(np.ones(len(part), np.int64))], names=["piece", "n"])
+        for part in (pieces[a : a + 10_000] for a in range(0, len(pieces), 10_000))
+    ]
+    tracemalloc.start()
+    bits = 0
+    for batch in caught.value.value(batches):
+        for column in ("zeros", "ones"):
+            for values, places in zip(batch.column(column).to_pylist(), batch.column("places").to_pylist(), strict=True):
+                bits += int(context_mixing._long(values, len(places) // 4).sum())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert bits == len(context_mixing.ORDERS) * code.length[np.frombuffer(b"".join(pieces), np.uint8)].sum()
+    assert peak < 260 * 2**20

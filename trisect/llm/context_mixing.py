@@ -46,6 +46,8 @@ CLASSES = 2 * EVIDENCE
 END = 0xFF  # never a byte of UTF-8
 BLOCK_BITS = 13
 MOST_COUNTED = 250_000
+# (Context, byte) pairs whose bits are placed at once.
+MOST_KEYS = 200_000
 MOST_REMEMBERED = 200_000
 # Stretched predictions of 16-bit counts are within this.
 RANGE = 15.36
@@ -233,7 +235,17 @@ def context_counts(pieces: DataFrame, code: Code) -> np.ndarray:
             return len(first)
 
         def emitted(k):
-            key, n = held[k].pop()
+            """What a predictor has counted, in slices: bits and their places take many times the room of their keys."""
+            keys, n = held[k].pop()
+            context = keys & ~np.uint64(255)
+            # A context's bytes are neighbours, and stay in one slice.
+            begins = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+            cuts = np.unique(begins[np.searchsorted(begins, np.arange(0, len(keys), MOST_KEYS), side="right") - 1])
+            del context, begins
+            for a, b in zip(cuts, np.append(cuts[1:], len(keys)), strict=True):
+                yield sent_as(k, keys[a:b], n[a:b])
+
+        def sent_as(k, key, n):
             context = key & ~np.uint64(255)
             byte, node, bit = code.bits_of((key & np.uint64(255)).astype(np.uint8))
             slot, check = place_of(context[byte], node, k)
@@ -268,11 +280,11 @@ def context_counts(pieces: DataFrame, code: Code) -> np.ndarray:
                 added = 0
                 for k in range(len(ORDERS)):
                     if fold(k) > 1_500_000:
-                        yield emitted(k)
+                        yield from emitted(k)
         for k in range(len(ORDERS)):
             if held[k]:
                 fold(k)
-                yield emitted(k)
+                yield from emitted(k)
 
     # Pieces in order: those with a common beginning are counted in one task, and few contexts meet only in the shuffle.
     ordered = pieces.repartitionByRange("piece").sortWithinPartitions("piece")
