@@ -1,11 +1,14 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm.conftest import SF
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import corpus_pipeline
 from trisect.llm import toxicity_cnn
 from trisect.llm.queries import QUERIES
-from trisect.llm.tables import read
+from trisect.llm.tables import read, with_columns
 
 
 def test_stages_keep_columns_and_filter(spark, documents):
@@ -36,3 +39,37 @@ def test_stages_take_hard_and_empty_tables(spark, hard, nothing, name, stage):
 
 def test_every_operator_has_a_query():
     assert sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")) == list(range(1, 14))
+
+
+def test_columns_are_made_of_small_parts_of_a_batch():
+    """Neither the function nor Spark, which reads what comes back, gets much of a large batch at once."""
+    class Table:
+        schema = T.StructType().add("text", "string")
+
+        def drop(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    given = []
+
+    def make():
+        return lambda part: given.append(part.nbytes) or [np.array([len(t) for t in part.column("text").to_pylist()])]
+
+    texts = ["x" * (20_000 + i) for i in range(1000)]
+    batches = [pa.RecordBatch.from_pydict({"text": t}) for t in (texts, ["y" * 5_000_000, "z"], [], ["", "w"])]
+    found = list(with_columns(Table(), "size long", make)(iter(batches)))
+    assert sorted(given)[-2] < 2_500_000 and max(b.nbytes for b in found[:-2]) < 5_100_000
+    rows = [r for b in found for r in b.to_pylist()]
+    assert [r["text"] for r in rows] == [t for b in batches for t in b.column("text").to_pylist()]
+    assert all(r["size"] == len(r["text"]) for r in rows)
+
+
+def test_remembered_answers_outgrow_their_room(monkeypatch):
+    model = toxicity_cnn.ToxicityModel()
+    texts = [f"word{i} and word{i * 7} then {i}" for i in range(300)]
+    whole = toxicity_cnn.Scorer(model).raw(texts)
+    monkeypatch.setattr(toxicity_cnn, "MOST_REMEMBERED", 8)
+    small = toxicity_cnn.Scorer(model)
+    assert (np.concatenate([small.raw(texts[a : a + 50]) for a in range(0, 300, 50)]) == whole).all()

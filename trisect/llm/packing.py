@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trisect.llm.bytebpe import PieceEncoder, blocks, vocabulary
-from trisect.llm.tables import kept_between_tasks, stored, text_or_empty, texts_of, with_columns
+from trisect.llm.tables import kept_between_tasks, light, slices, stored, text_or_empty, texts_of, with_columns
 
 
 def combinations(units: int, depth: int) -> np.ndarray:
@@ -133,6 +133,9 @@ class Places:
         return sequence, offset
 
 
+kept_between_tasks(vocabulary)
+
+
 @kept_between_tasks
 @lru_cache(maxsize=2)
 def _encoder(tokenizer: str) -> PieceEncoder:
@@ -226,8 +229,10 @@ def pack(
         (F.col("whole_before") + F.col("wholes_first")).alias("whole_at"),
     )
 
+    # All texts are encoded by now, so workers give back what they remember of pieces.
+    @light
     def place(batches):
-        for batch in batches:
+        for batch in (part for given in batches for part in slices(given)):
             size, tail, whole, rank, tail_at, whole_at = (
                 batch.column(c).to_numpy() for c in ("size", "tail", "whole", "rank", "tail_at", "whole_at")
             )

@@ -22,6 +22,9 @@ from trisect.session import scratch_path, shared_folder
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
+# Bytes of a batch whose columns are made at once.
+MOST_AT_ONCE = 2_000_000
+
 _kept: list = []
 
 
@@ -107,10 +110,18 @@ def row_key(*columns: str) -> Column:
     return F.md5(F.concat(*parts))
 
 
+def slices(batch: pa.RecordBatch, most: int | None = None):
+    """Consecutive parts of a batch of about that many bytes, a longer row alone: values made of a part take many times its room."""
+    rows = max(1, batch.num_rows * (most or MOST_AT_ONCE) // max(batch.nbytes, 1))
+    for a in range(0, batch.num_rows, rows):
+        yield batch.slice(a, rows)
+
+
 def with_columns(table: DataFrame, added: str, make: Callable) -> DataFrame:
     """Append columns made in Python. ``make()`` returns a function from a record batch to a list of columns.
 
-    Columns of the same names are replaced, all others pass through untouched.
+    Columns of the same names are replaced, all others pass through untouched. Batches are cut into slices, both for the
+    function and on their way back to Spark, which holds each that it gets in memory of its own.
     """
     fields = T._parse_datatype_string(added)
     table = table.drop(*fields.fieldNames())
@@ -120,11 +131,12 @@ def with_columns(table: DataFrame, added: str, make: Callable) -> DataFrame:
         trim_worker()
         columns_of = make()
         for batch in batches:
-            arrays = [pa.array(a, t) for a, t in zip(columns_of(batch), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *arrays], names=[*batch.schema.names, *fields.fieldNames()]
-            )
-        columns_of = batch = arrays = None  # noqa: F841
+            for part in slices(batch):
+                arrays = [pa.array(a, t) for a, t in zip(columns_of(part), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *arrays], names=[*part.schema.names, *fields.fieldNames()]
+                )
+        columns_of = batch = part = arrays = None  # noqa: F841
         trim_worker()
 
     return table.mapInArrow(run, T.StructType([*table.schema.fields, *fields.fields]))

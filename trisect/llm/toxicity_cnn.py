@@ -202,7 +202,17 @@ class Scorer:
 
     def _forget(self):
         self.numbers = WordNumbers()
-        self.answers = np.empty((0, sum(WIDTHS), FILTERS), np.float32)
+        # Room that no word has used takes no memory; growing by copies would hold all answers twice.
+        self.answers = np.empty((MOST_REMEMBERED * 5 // 4, sum(WIDTHS), FILTERS), np.float32)
+        self.known = 0
+
+    def _remember(self, answers: np.ndarray):
+        known, self.known = self.known, self.known + len(answers)
+        if self.known > len(self.answers):
+            room = np.empty((2 * self.known, *self.answers.shape[1:]), np.float32)
+            room[:known] = self.answers[:known]
+            self.answers = room
+        self.answers[known : self.known] = answers
 
     def raw(self, texts: list[str]) -> np.ndarray:
         if len(self.numbers) > MOST_REMEMBERED:
@@ -213,7 +223,7 @@ class Scorer:
             flat, at = word_features(self.numbers.new)
             vectors = means(self.model.p["rows"], flat, at)
             vectors[[i for i, w in enumerate(self.numbers.new) if w == ""]] = 0
-            self.answers = np.concatenate([self.answers, self.model.answers(vectors, steady)])
+            self._remember(self.model.answers(vectors, steady))
             self.numbers.new = []
         return self.model.raw(self.model.pooled(self.answers, words, offsets), steady)
 
