@@ -261,3 +261,26 @@ def test_a_task_counts_contexts_in_bounded_memory():
     tracemalloc.stop()
     assert bits == len(context_mixing.ORDERS) * code.length[np.frombuffer(b"".join(pieces), np.uint8)].sum()
     assert peak < 260 * 2**20
+
+
+def test_the_driver_holds_tables_packed(spark, nothing):
+    """Counts and predictions of all slots pass the driver in little room, and are the same as from the whole table."""
+    rng = np.random.default_rng(6)
+    pieces = [(bytearray(b"%06x " % x), int(x % 5) + 1) for x in rng.integers(0, 1 << 24, 20_000)]
+    code = context_mixing.Code(np.bincount(np.frombuffer(b"".join(bytes(p) for p, _ in pieces), np.uint8), minlength=256))
+    rows = spark.createDataFrame(pieces, "piece binary, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    tracemalloc.start()
+    counts, predicted = context_mixing.counted_blocks(rows, code)
+    shared = pickle.dumps(counts), pickle.dumps(predicted)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * context_mixing.SLOTS
+    table = counts.opened()
+    assert (table == context_mixing.context_counts(rows, code)).all() and table[:, 1:].any()
+    assert (predicted.opened() == context_mixing.Predictions(table).packed).all()
+    # Workers get arrays.
+    assert (pickle.loads(shared[0]).array == table).all() and (pickle.loads(shared[1]).array == predicted.opened()).all()
+    # Blocks without a context are empty, and predict so.
+    del counts.blocks[0], predicted.blocks[0]
+    assert not counts.opened()[: 1 << context_mixing.BLOCK_BITS].any()
+    assert (predicted.opened() == context_mixing.Predictions(counts.opened()).packed).all()

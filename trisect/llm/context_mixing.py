@@ -215,10 +215,16 @@ def _scaled(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def context_counts(pieces: DataFrame, code: Code) -> np.ndarray:
+    """The table of ``counted_blocks`` as one array."""
+    return counted_blocks(pieces, code)[0].opened()
+
+
+def counted_blocks(pieces: DataFrame, code: Code) -> tuple[Blocks, Blocks]:
     """Per slot the check and the counts of its most frequent context, and the counts of all its others: a table of rows
-    (check, zeros, ones, zeros of the others, ones of the others).
+    (check, zeros, ones, zeros of the others, ones of the others). With it, what the slots predict.
 
-    A task sends what it counted block by block, each context's place once with its counts.
+    A task sends what it counted block by block, each context's place once with its counts. Blocks are packed where they are
+    made, and the driver passes them on as they are.
     """
 
     def count(batches):
@@ -306,14 +312,50 @@ def context_counts(pieces: DataFrame, code: Code) -> np.ndarray:
         out[slot[best], 0] = place[best] & 255
         others = [np.add.reduceat(v, first) - v[best] for v in (zeros, ones)]
         out[slot[best], 1:] = np.stack([*_scaled(zeros[best], ones[best]), *_scaled(*others)], axis=1)
-        return pa.table({"block": [key[0].as_py()], "rows": pa.array([out.tobytes()], pa.binary())})
+        return pa.table(
+            {
+                "block": [key[0].as_py()],
+                **{c: pa.array([packed_planes(x)], pa.binary()) for c, x in (("rows", out), ("predicted", Predictions(out).packed))},
+            }
+        )
+
+    # A block has 2 ** 13 slots, and the number of blocks is fixed.
+    made = stored(counts.groupBy("block").applyInArrow(packed, "block long, rows binary, predicted binary"), "context-blocks")
+    empty = np.zeros((1, 5), np.uint16)
+    table, predicted = Blocks(empty), Blocks(Predictions(empty).packed)
+    for row in made.toLocalIterator():
+        table.blocks[row["block"]], predicted.blocks[row["block"]] = bytes(row["rows"]), bytes(row["predicted"])
+    return table, predicted
 
-    # A block has 2 ** 13 slots at most, and the number of blocks is fixed.
-    table = np.zeros((SLOTS, 5), np.uint16)
-    for row in counts.groupBy("block").applyInArrow(packed, "block long, rows binary").toLocalIterator():
-        part = np.frombuffer(row["rows"], np.uint16).reshape(-1, 5)
-        table[row["block"] << BLOCK_BITS : (row["block"] + 1) << BLOCK_BITS] = part[: SLOTS - (row["block"] << BLOCK_BITS)]
-    return table
+
+def packed_planes(array: np.ndarray) -> bytes:
+    """An array compressed; most slots hold small numbers, many none, and the bytes of equal weight stand together, which packs them better."""
+    return zlib.compress(np.ascontiguousarray(array.reshape(len(array), -1).view(np.uint8).T), 1)
+
+
+class Blocks:
+    """A table of all slots that stays packed, block by block, until a broadcast brings it to a worker; it is an array there, read-only.
+
+    ``empty`` is a slot of which nothing is known.
+    """
+
+    def __init__(self, empty: np.ndarray):
+        self.empty, self.blocks = empty, {}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.array = self.opened()
+        self.array.flags.writeable = False
+        self.blocks = {}
+
+    def opened(self) -> np.ndarray:
+        table = np.empty((SLOTS, *self.empty.shape[1:]), self.empty.dtype)
+        table[:] = self.empty
+        flat = table.view(np.uint8).reshape(SLOTS, -1)
+        for block, packed in self.blocks.items():
+            part = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(flat.shape[1], -1)
+            flat[block << BLOCK_BITS : (block + 1) << BLOCK_BITS] = part.T
+        return table
 
 
 class Shipped:
@@ -362,6 +404,12 @@ class Predictions:
             x = np.rint(stretched(zeros, ones) * (levels / RANGE)).astype(np.int32) + levels
             self.packed |= (x.astype(np.uint32) | evidence_of(zeros, ones).astype(np.uint32) * np.uint32(2 * levels)) << np.uint32(shift)
 
+    @classmethod
+    def made(cls, packed: np.ndarray) -> Predictions:
+        predictions = cls.__new__(cls)
+        predictions.packed = packed
+        return predictions
+
     def __getstate__(self):
         return Shipped(self.packed)
 
@@ -741,20 +789,22 @@ def score(
     totals = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, distinct = totals[0] + n_training, totals[1] + (n_training > 0)
     code = Code(byte_counts(pieces))
-    table_of_counts = context_counts(pieces, code)
-    counts = spark.sparkContext.broadcast(Shipped(table_of_counts))
+    counted, predicted = counted_blocks(pieces, code)
+    counts = spark.sparkContext.broadcast(counted)
     weights = learned_weights(pieces, counts, code)
     counts.destroy()
-    predictions = spark.sparkContext.broadcast(Predictions(table_of_counts))
-    del table_of_counts
+    # The destroyed broadcast still holds its value here.
+    del counts, counted
+    predictions = spark.sparkContext.broadcast(predicted)
     by_count = lambda t, c: t.sort_by([(c, "descending"), (t.column_names[0], "ascending")])
     top = by_count(most_frequent(pieces, "n", head_pieces).toArrow(), "n").column("piece").to_pylist()
     head = {p: i for i, p in enumerate(top)}
     found = find_kinds(training, top[:kind_pieces], kinds)
     piece_kinds = kind_counts(training, found, head)
-    experts = Experts(Mixer(predictions.value, code, weights), head, *piece_kinds)
+    experts = Experts(Mixer(Predictions.made(predicted.opened()), code, weights), head, *piece_kinds)
     experts.measure_outside()
     outside = experts.outside
+    del experts
     frequent = most_frequent(words, "c", head_words).toArrow()
     shared = spark.sparkContext.broadcast(
         (head, piece_kinds, dict(zip(frequent.column("word").to_pylist(), frequent.column("c").to_pylist(), strict=True)))
@@ -765,7 +815,7 @@ def score(
     def run(batches):
         def make():
             head, piece_kinds, known_words = shared.value
-            experts = Experts(Mixer(predictions.value, code, weights), head, *piece_kinds)
+            experts = Experts(Mixer(Predictions.made(predictions.value.array), code, weights), head, *piece_kinds)
             experts.outside = outside
             return Scorer(experts, known_words)
 
