@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trisect.catalog.queries import QUERIES
 from trisect.operators.drift import histogram_by_edges, psi, reference_edges
-from trisect.plans import search
+from trisect.plans import search, selection
 from trisect.plans.monitoring import compare_models, validate_model
 from trisect.plans.selection import MODEL_NAME, PARAMS_NAME, RANKING_NAME, run_selection
 from trisect.session import scratch_path
@@ -266,3 +266,42 @@ def test_holdout_fits_at_once_change_nothing(spark):
         for p in (1, 2)
     )
     assert one.ranking.collect() == two.ranking.collect() and not two.failures
+
+
+@pytest.fixture
+def line_folder(spark, tmp_path):
+    """A folder with a small lineitem table of its own, on both sides of the dates that cut it."""
+    rng = np.random.default_rng(9)
+    n = 240
+    frame = pd.DataFrame({
+        "l_orderkey": np.arange(n), "l_partkey": rng.integers(0, 20, n), "l_suppkey": rng.integers(0, 5, n), "l_linenumber": 1,
+        "l_quantity": rng.integers(1, 51, n).astype(float), "l_extendedprice": rng.uniform(900, 90000, n),
+        "l_discount": rng.integers(0, 11, n) / 100, "l_tax": rng.integers(0, 9, n) / 100,
+        "l_returnflag": rng.choice(["A", "N", "R"], n), "l_linestatus": rng.choice(["F", "O"], n),
+        "l_shipdate": pd.Timestamp("1998-01-01") + pd.to_timedelta(np.arange(n) * 5, unit="D"),
+    })
+    spark.createDataFrame(frame).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+def searched(monkeypatch) -> dict:
+    """What a query hands to the search, which then tries a quick family only."""
+    seen, search_models = {}, search.search_models
+
+    def recorded(train, valid, features, label, candidates, *args, **kwargs):
+        seen["families"] = {c.name: c.grid for c in candidates}
+        seen["budget_s"] = kwargs["budget_s"] if "budget_s" in kwargs else args[1]
+        return search_models(train, valid, features, label, QUICK[:1], *args, **kwargs)
+
+    monkeypatch.setattr(search, "search_models", recorded)
+    monkeypatch.setattr(selection, "search_models", recorded)
+    return seen
+
+
+@pytest.mark.parametrize("name, families", [
+    ("model_search", search.SEARCH_FAMILIES),
+])
+def test_searches_of_the_catalog_try_every_family(spark, line_folder, monkeypatch, name, families):
+    seen = searched(monkeypatch)
+    assert QUERIES[name](spark, line_folder).count() == 1
+    assert seen == {"families": {c.name: c.grid for c in families}, "budget_s": None}
