@@ -301,6 +301,7 @@ def searched(monkeypatch) -> dict:
 @pytest.mark.parametrize("name, families", [
     ("model_search", search.SEARCH_FAMILIES),
     ("model_search_f1", search.HOLDOUT_FAMILIES),
+    ("selection_job", search.SEARCH_FAMILIES),
 ])
 def test_searches_of_the_catalog_try_every_family(spark, line_folder, monkeypatch, name, families):
     seen = searched(monkeypatch)
