@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from trisect.operators import metrics
+from trisect.operators.ranking import Buckets
 from trisect.plans import interpretation, search
 
 
@@ -139,3 +141,31 @@ def test_repeated_rows_and_keys(spark, rows):
     assert out.where("_feature = 'b'").count() == 42
     values = lambda t: sorted(r.b for r in t.collect())
     assert values(out.where("_feature = 'b'")) == values(df)
+
+
+def test_the_exchange_takes_one_shuffle_and_no_join(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    made = interpretation.exchanged(df, ["k"], ["a", "t"], 2)
+    made.collect()
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Exchange") == 1 and "Join" not in final
+
+
+def test_areas_of_parts_equal_plain_version(spark, monkeypatch):
+    """Level scores, zeros of both signs, NaN, infinity and nulls, packed in small pieces over several buckets."""
+    monkeypatch.setattr(metrics, "PACKED_ROWS", 50)
+    rng = np.random.default_rng(3)
+    odd = [0.0, -0.0, float("nan"), float("inf"), float("-inf"), None]
+    made = [(int(p), odd[i % 6] if i % 5 == 0 else float(rng.integers(0, 40)) / 7, bool(rng.random() < 0.4)) for i, p in enumerate(rng.integers(0, 3, 900))]
+    made += [(7, 1.0, True), (8, None, True)]
+    df = spark.createDataFrame(made, "part int, score double, positive boolean").repartition(5)
+    for cuts in (Buckets((-np.inf, 0.0, np.inf), {}), Buckets((-np.inf, 0.0, 1.0, 3.0, np.inf), {}, 4)):
+        found = {r.part: r for r in metrics.roc_auc_by(df, cuts).collect()}
+        assert set(found) == {0, 1, 2, 7} and found[7].auc is None
+        for p in range(3):
+            pos, neg = ([s for q, s, y in made if q == p and s is not None and y == side] for side in (True, False))
+            rank = lambda s: (np.isnan(s), 0.0 if np.isnan(s) else s)
+            beaten = sum((rank(a) > rank(b)) + (rank(a) == rank(b)) / 2 for a in pos for b in neg)
+            assert (found[p].n_pos, found[p].n_neg) == (len(pos), len(neg))
+            assert found[p].auc == pytest.approx(beaten / len(pos) / len(neg), abs=1e-12)
